@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only behind a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A dimension lookup is broadcast only up to this many rows.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check counts at most ``max_rows + 1`` rows of ``df`` (a small job on
+    a dimension table). Above the bound no hint is given and the planner
+    (with AQE's runtime statistics) picks the join strategy.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

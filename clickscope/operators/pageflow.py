@@ -75,29 +75,30 @@ def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
     Actions are ordered by ``action_time`` text, then ``tie_col``. Rather
     than one window over a whole session (a session holding a large share
     of all actions would sit in one task), the session is cut into time
-    buckets (``action_time`` prefix, minutes by default):
+    buckets (``action_time`` prefix, minutes by default) and one window
+    runs over (session, bucket):
 
-    * pairs inside a bucket come from ``lead`` over (session, bucket);
-    * each bucket's first and last page come from a ``min_by``/``max_by``
-      aggregate (partial, skew-proof), and the pair across a bucket edge is
+    * ``lead`` gives the pairs inside a bucket;
+    * the bucket's last row (no lead) carries its last page and, through a
+      running ``first``, its first page. The pair across a bucket edge is
       (last page of a bucket, first page of the next non-empty bucket),
-      found with ``lead`` over the per-bucket summary of the session, which
-      is bounded by the session's time span rather than its row count.
+      found with ``lead`` over these per-bucket rows of the session, whose
+      number is bounded by the session's time span, not its row count.
+
+    Both branches read the same shuffled rows (the exchange is reused).
     """
     order_cols = ["action_time"] + ([tie_col] if tie_col else [])
-    key = F.struct(*order_cols)
     v = visits.select("session_id", "page_id", *order_cols,
                       F.substring("action_time", 1, bucket_len).alias("_bkt"))
     w_in = Window.partitionBy("session_id", "_bkt").orderBy(*order_cols)
-    inner = (v.select("session_id", F.col("page_id").alias("a"),
-                      F.lead("page_id").over(w_in).alias("b"))
-             .where(F.col("b").isNotNull()))
-    edges = (v.groupBy("session_id", "_bkt")
-             .agg(F.min_by("page_id", key).alias("_first"),
-                  F.max_by("page_id", key).alias("_last")))
+    running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = v.select("session_id", "_bkt", F.col("page_id").alias("a"),
+                     F.lead("page_id").over(w_in).alias("b"),
+                     F.first("page_id").over(running).alias("_first"))
+    inner = steps.where(F.col("b").isNotNull()).select("session_id", "a", "b")
     w_edge = Window.partitionBy("session_id").orderBy("_bkt")
-    across = (edges.select("session_id", F.col("_last").alias("a"),
-                           F.lead("_first").over(w_edge).alias("b"))
+    across = (steps.where(F.col("b").isNull())
+              .select("session_id", "a", F.lead("_first").over(w_edge).alias("b"))
               .where(F.col("b").isNotNull()))
     return inner.unionByName(across)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickscope.functions.timefmt import epoch_ms_of, ts_text
+from clickscope.operators.joins import broadcast_if_small
 
 
 def _k(events: DataFrame):
@@ -54,8 +55,8 @@ def ad_clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFram
     city = nation name of ``user_id % 25``, province = its region name with
     spaces turned into ``-`` (the log line format has no spaces inside a
     field), ad = k%6+1. The nation/region lookup is a fixed-size dimension
-    (25 and 5 rows); the planner broadcasts it by its measured file size,
-    so the events side is never shuffled for it.
+    (25 and 5 rows); it is broadcast after a row-count check, so the events
+    side is never shuffled for it.
     """
     geo = (nation.join(region, nation.n_regionkey == region.r_regionkey)
            .select(F.col("n_nationkey").cast("bigint").alias("_nk"),
@@ -63,7 +64,7 @@ def ad_clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFram
                    F.regexp_replace("r_name", " ", "-").alias("province")))
     ev = events.select("event_id", "ts", "user_id", _k(events).alias("_k"),
                        (F.col("user_id") % 25).alias("_nk"))
-    return (ev.join(geo, "_nk")
+    return (ev.join(broadcast_if_small(geo), "_nk")
             .select("event_id",
                     epoch_ms_of("ts").alias("ts_ms"),
                     ts_text("ts", "yyyy-MM-dd").alias("dt"),

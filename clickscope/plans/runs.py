@@ -1,11 +1,118 @@
-"""Registered sink and stream runs (filled in below)."""
+"""Registered sink and stream runs.
+
+Each run writes under a fresh folder in the shared folder
+(``spark.checkpoint.dir``) and returns the stored result as a DataFrame,
+which must equal the batch query it mirrors.
+
+Stream runs stage the ad-log lines derived from ``events`` as several
+text files in time order, then run the streaming job with
+``availableNow`` and one file per trigger, so the job sees several
+micro-batches.
+"""
 
 from __future__ import annotations
 
+import os
+
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from clickscope.operators.category import category_top10
+from clickscope.plans import inputs
+from clickscope.session import scratch_path
+from clickscope.sinks.writers import overwrite_table
+from clickscope.sources.adapters import ad_log_lines
+from clickscope.sources.adlog import read_ad_log_files
+from clickscope.streaming import jobs
+from clickscope.streaming.keyed_table import KeyedTable
+
+STREAM_FILES = 8
+RUN_TIMEOUT_S = 3600
+TRIGGER = {"availableNow": True}
+
+BLACKLIST_SCHEMA = T.StructType([T.StructField("userid", T.StringType())])
+COUNTS_SCHEMA = T.StructType([T.StructField("dt", T.StringType()), T.StructField("adid", T.StringType()),
+                              T.StructField("userid", T.StringType()), T.StructField("clicks", T.LongType())])
+
+
+def stage_ad_log(spark: SparkSession, sf_dir: str, root: str, truncate_every: int | None = None,
+                 n_files: int = STREAM_FILES) -> str:
+    """Write the derived ad-log lines as ``n_files`` text files in time order."""
+    path = os.path.join(root, "input")
+    ads = inputs.ads(spark, sf_dir).repartitionByRange(n_files, "ts_ms", "event_id")
+    ad_log_lines(ads, truncate_every).write.mode("overwrite").text(path)
+    return path
+
+
+def _stream(spark: SparkSession, input_path: str) -> DataFrame:
+    return read_ad_log_files(spark, input_path, max_files_per_trigger=1)
+
+
+def _finish(query) -> None:
+    if not query.awaitTermination(RUN_TIMEOUT_S):
+        query.stop()
+        raise TimeoutError(f"stream {query.name} did not finish")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _run_parse(spark, sf_dir, p, want: str) -> DataFrame:
+    root = scratch_path(spark, "stream_ad_log_parse")
+    src = _stream(spark, stage_ad_log(spark, sf_dir, root, p.truncate_every))
+    parsed = KeyedTable(spark, os.path.join(root, "parsed"), jobs.AD_COLS, kind="log")
+    rejects = KeyedTable(spark, os.path.join(root, "rejects"), ["line"], kind="log")
+    _finish(jobs.start_ad_log_parse(src, parsed, rejects, os.path.join(root, "chk"), TRIGGER))
+    return (parsed if want == "parsed" else rejects).state()
+
+
+def _run_blacklist(spark, sf_dir, p) -> DataFrame:
+    root = scratch_path(spark, "stream_ad_blacklist")
+    src = _stream(spark, stage_ad_log(spark, sf_dir, root))
+    counts = KeyedTable(spark, os.path.join(root, "counts"), ["dt", "adid", "userid"], ["clicks"],
+                        kind="add", schema=COUNTS_SCHEMA)
+    bl = KeyedTable(spark, os.path.join(root, "blacklist"), ["userid"], kind="set",
+                    schema=BLACKLIST_SCHEMA)
+    _finish(jobs.start_blacklist(src, counts, bl, os.path.join(root, "chk"), p.threshold, TRIGGER))
+    return bl.state()
+
+
+def _run_area_city(spark, sf_dir, p, incremental: bool) -> DataFrame:
+    root = scratch_path(spark, "stream_ad_area_city_clicks")
+    src = _stream(spark, stage_ad_log(spark, sf_dir, root))
+    table = KeyedTable(spark, os.path.join(root, "area_city"), ["dt", "province", "city", "adid"],
+                       ["clicks"], kind="add" if incremental else "put")
+    start = jobs.start_area_city_clicks_incr if incremental else jobs.start_area_city_clicks
+    _finish(start(src, table, os.path.join(root, "chk"), TRIGGER))
+    return table.state()
+
+
+def _run_top3(spark, sf_dir, p, as_json: bool) -> DataFrame:
+    root = scratch_path(spark, "stream_ad_area_top3")
+    src = _stream(spark, stage_ad_log(spark, sf_dir, root))
+    area = KeyedTable(spark, os.path.join(root, "area"), ["dt", "province", "adid"], ["clicks"], kind="put")
+    top = KeyedTable(spark, os.path.join(root, "top"), ["dt", "province"], ["entries"], kind="put")
+    _finish(jobs.start_area_top3(src, area, top, os.path.join(root, "chk"), p.top_ads, TRIGGER))
+    return jobs.top3_json(top) if as_json else jobs.top3_rows(top)
+
+
+def _table_roundtrip(spark, sf_dir, p) -> DataFrame:
+    name = overwrite_table(category_top10(inputs.visits(spark, sf_dir), p.top_categories),
+                           "clickscope_category_top10")
+    return spark.table(name)
+
 
 def sink_queries(p):
-    return {}
+    return {
+        "table_overwrite_roundtrip": lambda s, d: _table_roundtrip(s, d, p),
+    }
 
 
 def stream_queries(p):
-    return {}
+    return {
+        "stream_ad_log_parse": lambda s, d: _run_parse(s, d, p, "parsed"),
+        "stream_ad_log_rejects": lambda s, d: _run_parse(s, d, p, "rejects"),
+        "stream_ad_blacklist": lambda s, d: _run_blacklist(s, d, p),
+        "stream_ad_area_city_clicks": lambda s, d: _run_area_city(s, d, p, incremental=False),
+        "stream_ad_area_city_clicks_incr": lambda s, d: _run_area_city(s, d, p, incremental=True),
+        "stream_ad_area_top3": lambda s, d: _run_top3(s, d, p, as_json=False),
+        "stream_ad_area_top3_json": lambda s, d: _run_top3(s, d, p, as_json=True),
+    }

@@ -96,7 +96,8 @@ def _run_top3(spark, sf_dir, p, as_json: bool) -> DataFrame:
 
 def _table_roundtrip(spark, sf_dir, p) -> DataFrame:
     name = overwrite_table(category_top10(inputs.visits(spark, sf_dir), p.top_categories),
-                           "clickscope_category_top10")
+                           "clickscope_category_top10",
+                           path=scratch_path(spark, "table_category_top10"))
     return spark.table(name)
 
 

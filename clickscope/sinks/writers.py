@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 
 
 def overwrite_table(df: DataFrame, table: str, database: str | None = None,
-                    fmt: str | None = None, partition_by: list[str] | None = None) -> str:
-    """Replace a managed table with ``df`` (drop-and-recreate semantics).
-
-    Returns the qualified table name. ``partition_by`` lays the table out by
-    those columns (e.g. ``["date"]`` for the visit-action table, so date
-    filters prune folders).
+                    fmt: str | None = None, partition_by: list[str] | None = None,
+                    path: str | None = None) -> str:
+    """Replace a catalog table with ``df`` (drop-and-recreate semantics).
+
+    Returns the qualified table name. Without ``path`` the table is managed
+    (stored in the warehouse folder); with ``path`` its files go there.
+    ``partition_by`` lays the table out by those columns (e.g. ``["date"]``
+    for the visit-action table, so date filters prune folders).
     """
     name = f"{database}.{table}" if database else table
     w = df.write.mode("overwrite").option("overwriteSchema", "true")
@@ -23,6 +25,8 @@ def overwrite_table(df: DataFrame, table: str, database: str | None = None,
         w = w.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
     return name
 

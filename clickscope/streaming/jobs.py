@@ -35,16 +35,20 @@ def _start(df_writer, checkpoint: str, trigger: dict | None, name: str) -> Strea
             .start())
 
 
-def start_ad_log_parse(lines: DataFrame, parsed: KeyedTable, rejects: KeyedTable,
-                       checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Parse lines; accepted clicks and rejected lines go to two log tables."""
-    def step(batch: DataFrame, batch_id: int) -> None:
-        p = parse_ad_log(batch).persist()
+def parse_step(batch: DataFrame, batch_id: int, parsed: KeyedTable, rejects: KeyedTable) -> None:
+    p = parse_ad_log(batch).persist()
+    try:
         parsed.write_batch(batch_id, p.where("_ok").select(*AD_COLS))
         rejects.write_batch(batch_id, p.where(~F.col("_ok")).select("line"))
+    finally:
         p.unpersist()
 
-    return _start(lines.writeStream.foreachBatch(step), checkpoint, trigger, "ad_log_parse")
+
+def start_ad_log_parse(lines: DataFrame, parsed: KeyedTable, rejects: KeyedTable,
+                       checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Parse lines; accepted clicks and rejected lines go to two log tables."""
+    w = lines.writeStream.foreachBatch(lambda b, i: parse_step(b, i, parsed, rejects))
+    return _start(w, checkpoint, trigger, "ad_log_parse")
 
 
 def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
@@ -70,12 +74,14 @@ def start_area_city_clicks_incr(lines: DataFrame, table: KeyedTable, checkpoint:
     increments in ``table`` (kind ``add``); a replay rewrites the same
     increments, so nothing is counted twice.
     """
-    def step(batch: DataFrame, batch_id: int) -> None:
-        inc = (parsed_clicks(batch).groupBy("dt", "province", "city", "adid")
-               .agg(F.count(F.lit(1)).alias("clicks")))
-        table.write_batch(batch_id, inc)
+    w = lines.writeStream.foreachBatch(lambda b, i: area_city_incr_step(b, i, table))
+    return _start(w, checkpoint, trigger, "ad_area_city_clicks_incr")
+
 
-    return _start(lines.writeStream.foreachBatch(step), checkpoint, trigger, "ad_area_city_clicks_incr")
+def area_city_incr_step(batch: DataFrame, batch_id: int, table: KeyedTable) -> None:
+    inc = (parsed_clicks(batch).groupBy("dt", "province", "city", "adid")
+           .agg(F.count(F.lit(1)).alias("clicks")))
+    table.write_batch(batch_id, inc)
 
 
 def rank_top_ads(area_clicks: DataFrame, n: int = 3) -> DataFrame:
@@ -99,16 +105,19 @@ def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpo
     counts = (parsed_clicks(lines).groupBy("dt", "province", "adid")
               .agg(F.count(F.lit(1)).alias("clicks")))
 
-    def step(changed: DataFrame, batch_id: int) -> None:
-        area.write_batch(batch_id, changed)
-        touched = area.changes(before=batch_id + 1, after=batch_id - 1).select("dt", "province").distinct()
-        current = area.state(before=batch_id + 1).join(touched, ["dt", "province"], "left_semi")
-        top.write_batch(batch_id, rank_top_ads(current, n))
-
-    w = counts.writeStream.outputMode("update").foreachBatch(step)
+    w = counts.writeStream.outputMode("update").foreachBatch(
+        lambda b, i: top3_step(b, i, area, top, n))
     return _start(w, checkpoint, trigger, "ad_area_top3")
 
 
+def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTable, n: int = 3) -> None:
+    """Upsert changed (dt, province, adid, clicks) and re-rank the touched groups."""
+    area.write_batch(batch_id, changed)
+    touched = area.changes(before=batch_id + 1, after=batch_id - 1).select("dt", "province").distinct()
+    current = area.state(before=batch_id + 1).join(touched, ["dt", "province"], "left_semi")
+    top.write_batch(batch_id, rank_top_ads(current, n))
+
+
 def top3_rows(top: KeyedTable) -> DataFrame:
     """(dt, province, adid, clicks, rn) from a top-n table."""
     return (top.state().select("dt", "province", F.explode("entries").alias("e"))
@@ -124,8 +133,8 @@ def top3_json(top: KeyedTable) -> DataFrame:
 
 
 def start_blacklist(lines: DataFrame, counts: KeyedTable, blacklist: KeyedTable,
-                    checkpoint: str, threshold: int,
-                    trigger: dict | None = None) -> StreamingQuery:
+                    checkpoint: str, threshold: int, trigger: dict | None = None,
+                    compact_every: int | None = 100) -> StreamingQuery:
     """The blacklist feedback loop.
 
     Batch N: drop clicks of users on the blacklist as of batch N-1 (read at
@@ -136,16 +145,26 @@ def start_blacklist(lines: DataFrame, counts: KeyedTable, blacklist: KeyedTable,
     only reads batches < N and rewrites its own folders, so a replay gives
     the same tables. The blacklist join has no broadcast hint: it grows
     with the user base, and the planner decides from its real size.
+    Every ``compact_every`` batches both tables are folded into snapshots,
+    so a batch reads one snapshot plus the recent batches.
     """
-    def step(batch: DataFrame, batch_id: int) -> None:
-        banned = blacklist.state(before=batch_id)
-        admitted = parsed_clicks(batch).join(banned, "userid", "left_anti")
-        delta = admitted.groupBy("dt", "adid", "userid").agg(F.count(F.lit(1)).alias("clicks"))
-        counts.write_batch(batch_id, delta)
-        touched = counts.changes(before=batch_id + 1, after=batch_id - 1).select(*counts.keys)
-        totals = counts.state(before=batch_id + 1).join(touched, counts.keys, "left_semi")
-        new = (totals.where(F.col("clicks") >= threshold).select("userid").distinct()
-               .join(banned, "userid", "left_anti"))
-        blacklist.write_batch(batch_id, new)
-
-    return _start(lines.writeStream.foreachBatch(step), checkpoint, trigger, "ad_blacklist")
+    w = lines.writeStream.foreachBatch(
+        lambda b, i: blacklist_step(b, i, counts, blacklist, threshold, compact_every))
+    return _start(w, checkpoint, trigger, "ad_blacklist")
+
+
+def blacklist_step(batch: DataFrame, batch_id: int, counts: KeyedTable, blacklist: KeyedTable,
+                   threshold: int, compact_every: int | None = None) -> None:
+    """One micro-batch of the blacklist loop on a batch of log lines."""
+    banned = blacklist.state(before=batch_id)
+    admitted = parsed_clicks(batch).join(banned, "userid", "left_anti")
+    delta = admitted.groupBy("dt", "adid", "userid").agg(F.count(F.lit(1)).alias("clicks"))
+    counts.write_batch(batch_id, delta)
+    touched = counts.changes(before=batch_id + 1, after=batch_id - 1).select(*counts.keys)
+    totals = counts.state(before=batch_id + 1).join(touched, counts.keys, "left_semi")
+    new = (totals.where(F.col("clicks") >= threshold).select("userid").distinct()
+           .join(banned, "userid", "left_anti"))
+    blacklist.write_batch(batch_id, new)
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        counts.compact(batch_id)
+        blacklist.compact(batch_id)

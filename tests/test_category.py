@@ -1,0 +1,75 @@
+from fixtures import visits_df
+
+from clickscope.operators import category as C
+from clickscope.sources.tables import conform_visits, visits_in_range
+
+
+def test_category_top10_fixture(spark):
+    rows = C.category_top10(visits_df(spark)).collect()
+    assert [tuple(r) for r in rows] == [("1", 3, 1, 0), ("2", 1, 2, 1), ("4", 0, 1, 0), ("3", 0, 0, 1)]
+
+
+def test_category_top10_task_id(spark):
+    rows = C.category_top10(visits_df(spark), n=2, task_id="run-1").collect()
+    assert rows[0].task_id == "run-1" and [r.category_id for r in rows] == ["1", "2"]
+
+
+def test_action_priority_and_repeats(spark):
+    facts = sorted(tuple(r) for r in C.category_action_facts(visits_df(spark)).collect())
+    # row 3 counts category 2 twice, row 7 only as a click, row 8 only as an order
+    assert facts.count(("2", "order")) == 2
+    assert ("9", "order") not in facts and ("5", "pay") not in facts
+    assert facts.count(("1", "click")) == 3
+
+
+def test_category_session_top10_fixture(spark):
+    rows = C.category_session_top10(visits_df(spark)).orderBy("category_id", "rn").collect()
+    assert [(r.category_id, r.session_id, r.click_count) for r in rows] == [
+        ("1", "s1", 2), ("1", "s2", 1), ("2", "s2", 1)]
+
+
+def test_ties_pay_breaks_then_text_order(spark):
+    # categories a=7 (1 click, 1 order, 0 pay) and b=8 (1,1,5): b first;
+    # 10 and 2 equal on everything: '10' before '2'.
+    rows = [
+        (1, "s", 1, "10:00:00", 7, None, None), (2, "s", 1, "10:00:01", -1, "7", None),
+        (3, "s", 1, "10:00:02", 8, None, None), (4, "s", 1, "10:00:03", -1, "8", None),
+        (5, "s", 1, "10:00:04", -1, None, "8,8,8,8,8"),
+        (6, "s", 1, "10:00:05", 10, None, None), (7, "s", 1, "10:00:06", 2, None, None),
+    ]
+    got = [r.category_id for r in C.category_top10(visits_df(spark, rows)).collect()]
+    assert got == ["8", "7", "10", "2"]
+
+
+def test_time_bounds_are_text(spark):
+    v = visits_df(spark)
+    assert visits_in_range(v, end="2019-01-01").count() == 0
+    got = sorted(r.event_id for r in visits_in_range(v, end="2019-01-01 10:00:05").collect())
+    assert got == [1, 2]
+    assert visits_in_range(v).count() == 11
+
+
+def test_conform_quarantines_null_keys(spark):
+    v = visits_df(spark)
+    broken = v.limit(1).withColumn("click_category_id", v.click_category_id * None)
+    good, bad = conform_visits(v.unionByName(broken))
+    assert good.count() == 11 and bad.count() == 1
+
+
+def test_top_n_is_total_order_subset_of_counts(spark):
+    v = visits_df(spark)
+    counts = {r.category_id: tuple(r)[1:] for r in C.category_counts(v).collect()}
+    top = [tuple(r) for r in C.category_top10(v, n=3).collect()]
+    assert all(counts[t[0]] == t[1:] for t in top)
+    keys = [(-t[1], -t[2], -t[3], t[0]) for t in top]
+    assert keys == sorted(keys)
+
+
+def test_table_overwrite_replaces_rows(spark, tmp_dir):
+    import os
+    from clickscope.sinks import overwrite_table
+    v = visits_df(spark)
+    path = os.path.join(tmp_dir, "t")
+    name = overwrite_table(C.category_top10(v), "t_top", path=path)
+    name = overwrite_table(C.category_top10(v, n=2), "t_top", path=path)
+    assert spark.table(name).count() == 2

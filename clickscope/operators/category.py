@@ -88,17 +88,22 @@ def category_session_clicks(visits: DataFrame) -> DataFrame:
 
 
 def category_session_top10(visits: DataFrame, top: DataFrame | None = None,
-                           n_categories: int = 10, n_sessions: int = 10) -> DataFrame:
+                           n_categories: int = 10, n_sessions: int = 10,
+                           task_id: str | None = None) -> DataFrame:
     """For each top category, its n sessions with most clicks.
 
     (category_id, session_id, click_count, rn); ties by session id. The
     session ranking is a ``row_number() <= n`` window, which Spark plans
     with a partial WindowGroupLimit before the shuffle: each map task sends
     at most n rows per category, so a category holding most of the data
-    does not pile up in one task.
+    does not pile up in one task. ``task_id`` (one id per run) is added as
+    the first column when given, for the result sinks.
     """
     in_top = category_clicks_in_top10(visits, top, n_categories)
     counts = in_top.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
-    return (counts.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= n_sessions))
+    ranked = (counts.withColumn("rn", F.row_number().over(w))
+              .where(F.col("rn") <= n_sessions))
+    if task_id is not None:
+        ranked = ranked.select(F.lit(task_id).alias("task_id"), *ranked.columns)
+    return ranked

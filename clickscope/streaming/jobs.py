@@ -93,7 +93,8 @@ def rank_top_ads(area_clicks: DataFrame, n: int = 3) -> DataFrame:
 
 
 def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpoint: str,
-                    n: int = 3, trigger: dict | None = None) -> StreamingQuery:
+                    n: int = 3, trigger: dict | None = None,
+                    compact_every: int | None = 100) -> StreamingQuery:
     """Top-n ads per (dt, province) on the running counts.
 
     Running clicks per (dt, province, adid) are a streaming aggregation in
@@ -106,16 +107,27 @@ def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpo
               .agg(F.count(F.lit(1)).alias("clicks")))
 
     w = counts.writeStream.outputMode("update").foreachBatch(
-        lambda b, i: top3_step(b, i, area, top, n))
+        lambda b, i: top3_step(b, i, area, top, n, compact_every))
     return _start(w, checkpoint, trigger, "ad_area_top3")
 
 
-def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTable, n: int = 3) -> None:
+def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTable, n: int = 3,
+              compact_every: int | None = None) -> None:
     """Upsert changed (dt, province, adid, clicks) and re-rank the touched groups."""
     area.write_batch(batch_id, changed)
     touched = area.changes(before=batch_id + 1, after=batch_id - 1).select("dt", "province").distinct()
     current = area.state(before=batch_id + 1).join(touched, ["dt", "province"], "left_semi")
     top.write_batch(batch_id, rank_top_ads(current, n))
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        area.compact(batch_id)
+        top.compact(batch_id)
+
+
+def start_console_preview(stream: DataFrame, checkpoint: str, rows: int = 20,
+                          trigger: dict | None = None) -> StreamingQuery:
+    """Debug sink: print the first rows of every micro-batch on the driver."""
+    w = stream.writeStream.format("console").option("numRows", str(rows)).option("truncate", "false")
+    return _start(w, checkpoint, trigger, "console_preview")
 
 
 def top3_rows(top: KeyedTable) -> DataFrame:

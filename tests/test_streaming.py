@@ -77,3 +77,26 @@ def test_file_stream_two_batches(spark, tmp_dir):
     q = jobs.start_ad_log_parse(stream, parsed, rej, os.path.join(tmp_dir, "chk4"), trig)
     q.awaitTermination(300)
     assert parsed.state().count() == 6 and [r.line for r in rej.state().collect()] == ["short line"]
+
+
+def test_kafka_reader_is_configured(spark):
+    """No Kafka connector or broker here: check the reader fails only for the
+    missing connector, after taking the topic and offsets options."""
+    import pytest
+    from clickscope.sources.adlog import read_ad_log_kafka
+    with pytest.raises(Exception) as err:
+        read_ad_log_kafka(spark, "broker:9092", starting_offsets="earliest")
+    assert "kafka" in str(err.value).lower()
+
+
+def test_top3_step_replay_and_compaction(spark, tmp_dir):
+    from clickscope.sources.adlog import ad_log_parse
+    from clickscope.operators.ads import ad_area_clicks, with_day
+    area = KeyedTable(spark, os.path.join(tmp_dir, "a"), ["dt", "province", "adid"], ["clicks"])
+    top = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["dt", "province"], ["entries"])
+    b0 = ad_area_clicks(with_day(ad_log_parse(lines_df(spark, BATCH0))))
+    b1 = ad_area_clicks(with_day(ad_log_parse(lines_df(spark, BATCH0 + BATCH1))))
+    jobs.top3_step(b0, 0, area, top, 3, compact_every=1)
+    jobs.top3_step(b1, 1, area, top, 3, compact_every=1)
+    jobs.top3_step(b1, 1, area, top, 3, compact_every=1)
+    assert [r.value_json for r in jobs.top3_json(top).collect()] == ['{"a1":5,"a2":1}']

@@ -115,8 +115,8 @@ def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTab
               compact_every: int | None = None) -> None:
     """Upsert changed (dt, province, adid, clicks) and re-rank the touched groups."""
     area.write_batch(batch_id, changed)
-    touched = area.changes(before=batch_id + 1, after=batch_id - 1).select("dt", "province").distinct()
-    current = area.state(before=batch_id + 1).join(touched, ["dt", "province"], "left_semi")
+    touched = area.changes(before=batch_id + 1, after=batch_id - 1)
+    current = area.state(before=batch_id + 1, only=touched, on=["dt", "province"])
     top.write_batch(batch_id, rank_top_ads(current, n))
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
         area.compact(batch_id)
@@ -173,7 +173,7 @@ def blacklist_step(batch: DataFrame, batch_id: int, counts: KeyedTable, blacklis
     delta = admitted.groupBy("dt", "adid", "userid").agg(F.count(F.lit(1)).alias("clicks"))
     counts.write_batch(batch_id, delta)
     touched = counts.changes(before=batch_id + 1, after=batch_id - 1).select(*counts.keys)
-    totals = counts.state(before=batch_id + 1).join(touched, counts.keys, "left_semi")
+    totals = counts.state(before=batch_id + 1, only=touched)
     new = (totals.where(F.col("clicks") >= threshold).select("userid").distinct()
            .join(banned, "userid", "left_anti"))
     blacklist.write_batch(batch_id, new)

@@ -98,8 +98,15 @@ class KeyedTable:
               .parquet(*[self._batch_path(i) for i in ids]))
         return df.select(*self._columns(), F.col(BATCH_COL).cast("int").alias(BATCH_COL))
 
-    def state(self, before: int | None = None) -> DataFrame:
-        """Current state from batches ``< before`` (all batches when None)."""
+    def state(self, before: int | None = None, only: DataFrame | None = None,
+              on: list[str] | None = None) -> DataFrame:
+        """Current state from batches ``< before`` (all batches when None).
+
+        ``only`` restricts the result to the keys it holds, matched on the
+        key columns ``on`` (all keys by default; any subset of them is
+        valid, e.g. a group prefix). The rows are filtered by a semi join
+        *before* they are resolved, so only matching keys are aggregated.
+        """
         snaps = [u for u in self._committed(self._snap_root(), "upto")
                  if before is None or u < before]
         upto = snaps[-1] if snaps else -1
@@ -107,6 +114,11 @@ class KeyedTable:
         if snaps:
             snap = self.spark.read.parquet(os.path.join(self._snap_root(), f"upto={upto}"))
             rows = snap.select(*self._columns(), F.lit(upto).alias(BATCH_COL)).unionByName(rows)
+        if only is not None:
+            on = list(on or self.keys)
+            if not set(on) <= set(self.keys):
+                raise ValueError("state(on=...) must name key columns")
+            rows = rows.join(only.select(*on).distinct(), on, "left_semi")
         return self._resolve(rows)
 
     def _resolve(self, rows: DataFrame) -> DataFrame:

@@ -61,3 +61,14 @@ def test_compaction_keeps_state(spark, tmp_dir):
         assert ("a",) in [r[:1] for r in after]
         t.compact(2)  # re-running a compaction is harmless
         assert _state(t) == after
+
+
+def test_state_only_filters_before_resolution(spark, tmp_dir):
+    s2 = T.StructType([T.StructField("g", T.StringType()), T.StructField("k", T.StringType()),
+                       T.StructField("v", T.LongType())])
+    t = KeyedTable(spark, tmp_dir, ["g", "k"], ["v"], kind="add")
+    t.write_batch(0, spark.createDataFrame([("x", "a", 1), ("x", "b", 2), ("y", "a", 3)], s2))
+    t.write_batch(1, spark.createDataFrame([("x", "a", 4)], s2))
+    only = spark.createDataFrame([("x", "a", 0)], s2)
+    assert sorted(tuple(r) for r in t.state(only=only).collect()) == [("x", "a", 5)]
+    assert sorted(tuple(r) for r in t.state(only=only, on=["g"]).collect()) == [("x", "a", 5), ("x", "b", 2)]

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickscope.operators.ads import TOP3_KEY_PREFIX, with_day
 from clickscope.functions.render import ordered_json_object
+from clickscope.functions.timefmt import epoch_ms_to_day
 from clickscope.sources.adlog import parse_ad_log
 from clickscope.streaming.keyed_table import KeyedTable
 
@@ -28,6 +29,25 @@ def parsed_clicks(lines: DataFrame) -> DataFrame:
     return with_day(parse_ad_log(lines).where("_ok").select(*AD_COLS))
 
 
+def running_counts(clicks: DataFrame, keys: list[str], late_tolerance: str | None = None) -> DataFrame:
+    """Streaming count per (dt, *keys) as ``clicks``.
+
+    By default the day is a plain grouping column and state is kept for
+    every day forever (late clicks always count). With ``late_tolerance``
+    (e.g. ``"2 days"``) the day is a UTC-aligned one-day event-time window
+    under a watermark: once the watermark passes a day, its keys leave the
+    state store, and clicks arriving later than the tolerance are dropped.
+    """
+    cnt = F.count(F.lit(1)).alias("clicks")
+    if late_tolerance is None:
+        return clicks.groupBy("dt", *keys).agg(cnt)
+    ev = (clicks.withColumn("_event_ts", F.timestamp_millis("ts_ms"))
+          .withWatermark("_event_ts", late_tolerance))
+    day = F.window("_event_ts", "1 day").alias("_day")
+    return (ev.groupBy(day, *keys).agg(cnt)
+            .select(epoch_ms_to_day(F.unix_millis(F.col("_day.start"))).alias("dt"), *keys, "clicks"))
+
+
 def _start(df_writer, checkpoint: str, trigger: dict | None, name: str) -> StreamingQuery:
     return (df_writer.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or DEFAULT_TRIGGER))
@@ -52,15 +72,16 @@ def start_ad_log_parse(lines: DataFrame, parsed: KeyedTable, rejects: KeyedTable
 
 
 def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
-                           trigger: dict | None = None) -> StreamingQuery:
+                           trigger: dict | None = None,
+                           late_tolerance: str | None = None) -> StreamingQuery:
     """Running clicks per (dt, province, city, adid), absolute values (hash set).
 
     The running count is a streaming aggregation (state in the state store,
     partial-aggregated before its shuffle); ``update`` mode emits only the
     keys a batch changed, which are upserted into ``table`` (kind ``put``).
+    ``late_tolerance`` bounds the state (see :func:`running_counts`).
     """
-    counts = (parsed_clicks(lines).groupBy("dt", "province", "city", "adid")
-              .agg(F.count(F.lit(1)).alias("clicks")))
+    counts = running_counts(parsed_clicks(lines), ["province", "city", "adid"], late_tolerance)
     w = counts.writeStream.outputMode("update").foreachBatch(
         lambda df, batch_id: table.write_batch(batch_id, df))
     return _start(w, checkpoint, trigger, "ad_area_city_clicks")
@@ -94,7 +115,8 @@ def rank_top_ads(area_clicks: DataFrame, n: int = 3) -> DataFrame:
 
 def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpoint: str,
                     n: int = 3, trigger: dict | None = None,
-                    compact_every: int | None = 100) -> StreamingQuery:
+                    compact_every: int | None = 100,
+                    late_tolerance: str | None = None) -> StreamingQuery:
     """Top-n ads per (dt, province) on the running counts.
 
     Running clicks per (dt, province, adid) are a streaming aggregation in
@@ -103,9 +125,7 @@ def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpo
     (a ranking cannot run on the stream itself) and upserts their top-n
     lists into ``top`` (kind ``put``, keyed by dt and province).
     """
-    counts = (parsed_clicks(lines).groupBy("dt", "province", "adid")
-              .agg(F.count(F.lit(1)).alias("clicks")))
-
+    counts = running_counts(parsed_clicks(lines), ["province", "adid"], late_tolerance)
     w = counts.writeStream.outputMode("update").foreachBatch(
         lambda b, i: top3_step(b, i, area, top, n, compact_every))
     return _start(w, checkpoint, trigger, "ad_area_top3")

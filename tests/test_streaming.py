@@ -100,3 +100,17 @@ def test_top3_step_replay_and_compaction(spark, tmp_dir):
     jobs.top3_step(b1, 1, area, top, 3, compact_every=1)
     jobs.top3_step(b1, 1, area, top, 3, compact_every=1)
     assert [r.value_json for r in jobs.top3_json(top).collect()] == ['{"a1":5,"a2":1}']
+
+
+def test_state_expiry_option_keeps_results(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "part-0.txt"), "w") as f:
+        f.write("\n".join(BATCH0 + BATCH1) + "\n")
+    stream = read_ad_log_files(spark, src)
+    area = KeyedTable(spark, os.path.join(tmp_dir, "area"), ["dt", "province", "city", "adid"], ["clicks"])
+    q = jobs.start_area_city_clicks(stream, area, os.path.join(tmp_dir, "chk"), {"availableNow": True},
+                                    late_tolerance="2 days")
+    q.awaitTermination(300)
+    assert {(r.dt, r.adid, r.clicks) for r in area.state().collect()} == {
+        ("2019-01-01", "a1", 5), ("2019-01-01", "a2", 1)}

@@ -14,8 +14,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# 'yyyy-MM-dd HH:mm' : adjacent pairs are found inside minute buckets of a session.
-MINUTE_PREFIX = 16
+# action_time prefixes 'yyyy-MM-dd HH:mm:ss' (second) and 'yyyy-MM-dd HH:mm'
+# (minute): the time buckets adjacent pairs are found in, finest first.
+BUCKET_LEVELS = (19, 16)
 
 
 def parse_page_path(path: str | list) -> list[str]:
@@ -69,38 +70,54 @@ def page_views_in_flow(visits: DataFrame, path) -> DataFrame:
 
 
 def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
-                     bucket_len: int = MINUTE_PREFIX) -> DataFrame:
+                     levels: tuple[int, ...] = BUCKET_LEVELS) -> DataFrame:
     """Adjacent page pairs of every session: (session_id, a, b).
 
-    Actions are ordered by ``action_time`` text, then ``tie_col``. Rather
-    than one window over a whole session (a session holding a large share
-    of all actions would sit in one task), the session is cut into time
-    buckets (``action_time`` prefix, minutes by default) and one window
-    runs over (session, bucket):
-
-    * ``lead`` gives the pairs inside a bucket;
-    * the bucket's last row (no lead) carries its last page and, through a
-      running ``first``, its first page. The pair across a bucket edge is
-      (last page of a bucket, first page of the next non-empty bucket),
-      found with ``lead`` over these per-bucket rows of the session, whose
-      number is bounded by the session's time span, not its row count.
-
-    Both branches read the same shuffled rows (the exchange is reused).
+    Actions are ordered by ``action_time`` text, then ``tie_col``. One
+    window over a whole session would put a session holding a large share
+    of all actions in one task, so the session is cut into time buckets
+    (``action_time`` prefixes, finest first: seconds, then minutes):
+
+    * level 0: ``lead`` over (session, second) gives the pairs inside a
+      bucket; each bucket's last row (no lead) also carries its first page
+      (a running ``first``), giving one edge row per non-empty bucket;
+    * each next level groups the edge rows by a coarser prefix (minute,
+      then the whole session) and pairs the last page of a bucket with the
+      first page of the next non-empty one, again leaving one edge row per
+      coarser bucket.
+
+    Level 0 holds the rows of one session-second per task; each later
+    level holds one narrow row per finer bucket (at most 60 per minute,
+    and one per non-empty minute of a session at the last level), so no
+    task grows with a session's size. The result equals a single ``lead``
+    over the session.
     """
     order_cols = ["action_time"] + ([tie_col] if tie_col else [])
+    first_len, *coarser = levels
     v = visits.select("session_id", "page_id", *order_cols,
-                      F.substring("action_time", 1, bucket_len).alias("_bkt"))
-    w_in = Window.partitionBy("session_id", "_bkt").orderBy(*order_cols)
-    running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = v.select("session_id", "_bkt", F.col("page_id").alias("a"),
-                     F.lead("page_id").over(w_in).alias("b"),
-                     F.first("page_id").over(running).alias("_first"))
-    inner = steps.where(F.col("b").isNotNull()).select("session_id", "a", "b")
-    w_edge = Window.partitionBy("session_id").orderBy("_bkt")
-    across = (steps.where(F.col("b").isNull())
-              .select("session_id", "a", F.lead("_first").over(w_edge).alias("b"))
-              .where(F.col("b").isNotNull()))
-    return inner.unionByName(across)
+                      F.substring("action_time", 1, first_len).alias("_key"))
+    w0 = Window.partitionBy("session_id", "_key").orderBy(*order_cols)
+    steps = v.select("session_id", "_key", F.col("page_id").alias("a"),
+                     F.lead("page_id").over(w0).alias("b"),
+                     F.first("page_id").over(w0.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"))
+    pairs = [steps.where(F.col("b").isNotNull()).select("session_id", "a", "b")]
+    edges = steps.where(F.col("b").isNull()).select("session_id", "_key", "_first", F.col("a").alias("_last"))
+    for prefix_len in [*coarser, None]:
+        group = ["session_id"]
+        if prefix_len is not None:
+            edges = edges.withColumn("_grp", F.substring("_key", 1, prefix_len))
+            group.append("_grp")
+        w = Window.partitionBy(*group).orderBy("_key")
+        lv = edges.select(*group, "_key", "_last",
+                          F.lead("_first").over(w).alias("_next"),
+                          F.first("_first").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_gfirst"))
+        pairs.append(lv.where(F.col("_next").isNotNull())
+                     .select("session_id", F.col("_last").alias("a"), F.col("_next").alias("b")))
+        if prefix_len is not None:
+            edges = (lv.where(F.col("_next").isNull())
+                     .select("session_id", F.col("_grp").alias("_key"),
+                             F.col("_gfirst").alias("_first"), "_last"))
+    return reduce(DataFrame.unionByName, pairs)
 
 
 def page_transition_counts(visits: DataFrame, path, tie_col: str | None = "event_id") -> DataFrame:

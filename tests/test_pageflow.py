@@ -38,16 +38,18 @@ def test_bucket_stitching_equals_plain_lead(spark):
     rnd = random.Random(7)
     rows, eid = [], 0
     for s in range(6):
-        t = 0
-        for _ in range(rnd.randint(1, 60)):
-            t += rnd.choice([0, 1, 5, 30, 59, 61, 300, 3600])
+        t = rnd.randint(0, 3000)
+        for _ in range(rnd.randint(1, 80)):
+            t += rnd.choice([0, 0, 1, 5, 30, 59, 61, 300, 3600])
             eid += 1
             hh, mm, ss = (t // 3600) % 24, (t // 60) % 60, t % 60
             rows.append((eid, f"s{s}", rnd.randint(1, 5), f"{hh:02d}:{mm:02d}:{ss:02d}", -1, None, None))
     v = visits_df(spark, rows)
-    got = sorted(tuple(r) for r in P.page_transitions(v).collect())
     w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
     want = sorted(tuple(r) for r in v.select("session_id", F.col("page_id").alias("a"),
                                               F.lead("page_id").over(w).alias("b"))
                   .where("b is not null").collect())
-    assert got == want and len(got) == len(rows) - 6
+    assert len(want) == len(rows) - 6
+    for levels in [P.BUCKET_LEVELS, (19,), (16,), (19, 16, 13), (19, 17, 16, 14, 13)]:
+        got = sorted(tuple(r) for r in P.page_transitions(v, levels=levels).collect())
+        assert got == want, levels

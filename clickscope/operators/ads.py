@@ -29,19 +29,35 @@ def ad_user_day_clicks(ads: DataFrame) -> DataFrame:
     return with_day(ads).groupBy("dt", "adid", "userid").agg(_count())
 
 
+def over_threshold(ads: DataFrame, threshold: int) -> DataFrame:
+    """(userid) once per (day, ad) on which the user reached ``threshold``.
+
+    Not deduplicated: as the build side of a semi/anti join duplicates do
+    not change the result, and leaving out the ``distinct`` keeps a plain
+    shuffle under the join, which AQE can split when one user is hot.
+    """
+    return ad_user_day_clicks(ads).where(F.col("clicks") >= threshold).select("userid")
+
+
 def ad_blacklist(ads: DataFrame, threshold: int) -> DataFrame:
     """Users with at least ``threshold`` clicks on one ad in one day: (userid)."""
-    return (ad_user_day_clicks(ads).where(F.col("clicks") >= threshold)
-            .select("userid").distinct())
+    return over_threshold(ads, threshold).distinct()
 
 
-def ad_log_filtered(ads: DataFrame, blacklist: DataFrame) -> DataFrame:
+def ad_log_filtered(ads: DataFrame, threshold: int | None = None,
+                    blacklist: DataFrame | None = None) -> DataFrame:
     """Clicks of users not on the blacklist.
 
-    No broadcast hint: the blacklist grows with the user base, so the
-    planner picks broadcast only when the measured size is under the
-    threshold, and AQE splits a skewed user's partition otherwise.
+    The blacklist is ``blacklist`` (e.g. a stored set) or, with
+    ``threshold``, derived from ``ads``. No broadcast hint: the blacklist
+    grows with the user base, so the planner broadcasts it only when its
+    measured size is under the threshold, and otherwise AQE splits the
+    partition of a hot user in the sort-merge anti join.
     """
+    if blacklist is None:
+        if threshold is None:
+            raise ValueError("give threshold or blacklist")
+        blacklist = over_threshold(ads, threshold)
     return ads.join(blacklist.select("userid"), "userid", "left_anti").select(*ads.columns)
 
 
@@ -52,21 +68,33 @@ def ad_admitted_clicks(ads: DataFrame, threshold: int, tie_col: str = "event_id"
     of their (day, ad) counts reaches ``threshold``; all later clicks are
     dropped. Result: (dt, adid, userid, clicks) over admitted clicks.
 
-    The threshold-th click per (day, ad, user) is found with
-    ``row_number() <= threshold``; its partial WindowGroupLimit runs before
-    the shuffle, so a group with a huge number of clicks ships only
-    ``threshold`` rows per map task.
+    * The threshold-th click per (day, ad, user) comes from
+      ``row_number() <= threshold``, whose partial WindowGroupLimit runs
+      before the shuffle (a huge group ships ``threshold`` rows per task);
+      the user's cut is the earliest of them.
+    * Per-group totals (partial aggregation) are matched with the cut at
+      group level: at most days x ads rows per user, whatever their clicks.
+      Users never blacklisted keep their totals; no raw click of theirs is
+      joined.
+    * Only groups of blacklisted users join their raw clicks, on the full
+      group key (AQE broadcasts the group list when small, or splits a hot
+      group), and count the clicks up to the cut.
     """
     a = with_day(ads)
     order = ["ts_ms", tie_col]
-    w = Window.partitionBy("dt", "adid", "userid").orderBy(*order)
-    nth = (a.select("dt", "adid", "userid", *order, F.row_number().over(w).alias("_rn"))
+    groups = ["dt", "adid", "userid"]
+    w = Window.partitionBy(*groups).orderBy(*order)
+    nth = (a.select(*groups, *order, F.row_number().over(w).alias("_rn"))
            .where(F.col("_rn") <= threshold)
            .where(F.col("_rn") == threshold))
     cut = nth.groupBy("userid").agg(F.min(F.struct(*order)).alias("_cut"))
-    kept = (a.join(cut, "userid", "left")
-            .where(F.col("_cut").isNull() | (F.struct(*order) <= F.col("_cut"))))
-    return kept.groupBy("dt", "adid", "userid").agg(_count())
+    flagged = a.groupBy(*groups).agg(_count()).join(cut, "userid", "left")
+    free = flagged.where(F.col("_cut").isNull()).select(*groups, "clicks")
+    cuts = flagged.where(F.col("_cut").isNotNull()).select(*groups, "_cut")
+    before_cut = (a.join(cuts, groups)
+                  .where(F.struct(*order) <= F.col("_cut"))
+                  .groupBy(*groups).agg(_count()))
+    return free.unionByName(before_cut)
 
 
 def ad_area_city_clicks(ads: DataFrame) -> DataFrame:

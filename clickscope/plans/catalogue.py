@@ -61,7 +61,7 @@ def batch_queries(p: Params = P0) -> dict[str, Query]:
         "ad_log_rejects": lambda s, d: adlog.ad_log_rejects(inputs.raw_lines(s, d, p.truncate_every)),
         "ad_user_day_clicks": lambda s, d: A.ad_user_day_clicks(a(s, d)),
         "ad_blacklist": lambda s, d: A.ad_blacklist(a(s, d), p.threshold),
-        "ad_log_filtered": lambda s, d: A.ad_log_filtered(a(s, d), A.ad_blacklist(a(s, d), p.threshold)),
+        "ad_log_filtered": lambda s, d: A.ad_log_filtered(a(s, d), p.threshold),
         "ad_admitted_clicks": lambda s, d: A.ad_admitted_clicks(a(s, d), p.threshold),
         "ad_area_city_clicks": lambda s, d: A.ad_area_city_clicks(a(s, d)),
         "ad_area_clicks": lambda s, d: A.ad_area_clicks(a(s, d)),

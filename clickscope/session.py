@@ -9,12 +9,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job in this package expects. AQE coalesces the tiny
-# post-aggregation shuffles and splits skewed join partitions at run time.
+# post-aggregation shuffles and splits skewed join partitions at run time,
+# also where the split needs one more (partially aggregated) shuffle after
+# the join, as in the admitted-clicks count.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -188,7 +188,7 @@ def start_blacklist(lines: DataFrame, counts: KeyedTable, blacklist: KeyedTable,
 def blacklist_step(batch: DataFrame, batch_id: int, counts: KeyedTable, blacklist: KeyedTable,
                    threshold: int, compact_every: int | None = None) -> None:
     """One micro-batch of the blacklist loop on a batch of log lines."""
-    banned = blacklist.state(before=batch_id)
+    banned = blacklist.members(before=batch_id)
     admitted = parsed_clicks(batch).join(banned, "userid", "left_anti")
     delta = admitted.groupBy("dt", "adid", "userid").agg(F.count(F.lit(1)).alias("clicks"))
     counts.write_batch(batch_id, delta)

@@ -121,6 +121,19 @@ class KeyedTable:
             rows = rows.join(only.select(*on).distinct(), on, "left_semi")
         return self._resolve(rows)
 
+    def members(self, before: int | None = None) -> DataFrame:
+        """Keys of a ``set`` table, *not* deduplicated: the cheap build side
+        for a semi/anti join (duplicates do not change it, and without an
+        aggregate under the join AQE can split a skewed key)."""
+        snaps = [u for u in self._committed(self._snap_root(), "upto")
+                 if before is None or u < before]
+        upto = snaps[-1] if snaps else -1
+        rows = self.changes(before, after=upto).select(*self.keys)
+        if snaps:
+            snap = self.spark.read.parquet(os.path.join(self._snap_root(), f"upto={upto}"))
+            rows = snap.select(*self.keys).unionByName(rows)
+        return rows
+
     def _resolve(self, rows: DataFrame) -> DataFrame:
         if self.kind == "log":
             return rows.select(*self._columns())

@@ -22,7 +22,8 @@ def test_blacklist_and_counts(spark):
     assert [r.userid for r in A.ad_blacklist(ads, 3).collect()] == ["u1"]
     area = {(r.province, r.city, r.adid): r.clicks for r in A.ad_area_city_clicks(ads).collect()}
     assert area == {("A", "x", "a1"): 5, ("A", "x", "a2"): 1}
-    assert A.ad_log_filtered(ads, A.ad_blacklist(ads, 3)).count() == 1
+    assert A.ad_log_filtered(ads, 3).count() == 1
+    assert A.ad_log_filtered(ads, blacklist=A.ad_blacklist(ads, 3)).count() == 1
 
 
 def test_admitted_clicks_per_event(spark):

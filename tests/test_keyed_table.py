@@ -72,3 +72,14 @@ def test_state_only_filters_before_resolution(spark, tmp_dir):
     only = spark.createDataFrame([("x", "a", 0)], s2)
     assert sorted(tuple(r) for r in t.state(only=only).collect()) == [("x", "a", 5)]
     assert sorted(tuple(r) for r in t.state(only=only, on=["g"]).collect()) == [("x", "a", 5), ("x", "b", 2)]
+
+
+def test_set_members_before_and_after_compaction(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], kind="set", schema=T.StructType([T.StructField("k", T.StringType())]))
+    assert t.members().count() == 0
+    t.write_batch(0, spark.createDataFrame([("a",), ("b",)], "k string"))
+    t.write_batch(1, spark.createDataFrame([("a",)], "k string"))
+    assert sorted(r.k for r in t.members().collect()) == ["a", "a", "b"]
+    assert sorted(r.k for r in t.members(before=1).collect()) == ["a", "b"]
+    t.compact(0)
+    assert sorted(r.k for r in t.members().collect()) == ["a", "a", "b"]

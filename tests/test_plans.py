@@ -47,3 +47,42 @@ def test_date_partition_pruning(spark, tmp_dir):
     df = visits_in_range(v, "2019-01-02 00:00:00", None, date_col="date")
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in p and df.count() == 11
+
+
+def _hot_user_ads(spark, n=30000):
+    from pyspark.sql import functions as F
+    return spark.range(n).select(
+        F.col("id").alias("event_id"), (F.lit(1546300800000) + F.col("id")).alias("ts_ms"),
+        F.lit("2019-01-01").alias("dt"), F.lit("A").alias("province"), F.lit("x").alias("city"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 20000).cast("string")).alias("userid"),
+        F.when(F.col("id") % 3 == 0, F.lit("1")).otherwise((F.col("id") % 6).cast("string")).alias("adid"))
+
+
+def test_hot_user_joins_are_split_by_aqe(spark):
+    """One user with a third of all clicks: with broadcast off, AQE splits
+    the hot partition of the anti join and of the admitted-clicks join."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        ads = _hot_user_ads(spark)
+        filtered = A.ad_log_filtered(ads, 3)
+        assert filtered.count() == 20000
+        filtered.collect()
+        assert "skew=true" in _plan(filtered)
+        admitted = A.ad_admitted_clicks(ads, 3)
+        got = {(r.adid, r.userid): r.clicks for r in admitted.collect()}
+        assert got[("1", "hot")] == 3 and len(got) == 20001
+        assert "skew=true" in _plan(admitted)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -18,6 +18,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from clickscope.fixed import (
+    BLACKLIST_THRESHOLD_STORE_VARIANT, CATEGORY_SESSION_TABLE, CATEGORY_TOP10_TABLE,
+)
 from clickscope.operators import category as C
 from clickscope.operators import pageflow as P
 from clickscope.session import build_session, shared_dir
@@ -27,9 +30,6 @@ from clickscope.sources.tables import conform_visits, read_table, visits_in_rang
 from clickscope.streaming import jobs
 from clickscope.streaming.keyed_table import KeyedTable
 
-# Result table names used by the original jobs (fixed values).
-CATEGORY_TOP10_TABLE = "category_top10"
-CATEGORY_SESSION_TABLE = "category_top10_session_count"
 
 
 def new_task_id() -> str:
@@ -84,7 +84,7 @@ def stream_tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
 
 
 def start_stream_app(spark: SparkSession, name: str, lines: DataFrame, root: str,
-                     threshold: int = 100, trigger: dict | None = None):
+                     threshold: int = BLACKLIST_THRESHOLD_STORE_VARIANT, trigger: dict | None = None):
     t = stream_tables(spark, root)
     chk = os.path.join(root, "checkpoints", name)
     if name == "blacklist":
@@ -117,7 +117,7 @@ def main(argv=None) -> None:
     ap.add_argument("--bootstrap-servers")
     ap.add_argument("--topic", default="ads_log")
     ap.add_argument("--root", help="shared folder for stream tables and checkpoints")
-    ap.add_argument("--threshold", type=int, default=100)
+    ap.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD_STORE_VARIANT)
     a = ap.parse_args(argv)
     spark = build_session()
     if a.app in BATCH_APPS:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from clickscope.fixed import DAY_FORMAT, TIME_FORMAT
+
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 MS_PER_DAY = 86_400_000
 
@@ -36,14 +38,14 @@ def epoch_ms_to_ntz(ms: Column | str) -> Column:
 def epoch_ms_to_day(ms: Column | str) -> Column:
     """``yyyy-MM-dd`` UTC day of an epoch-ms value."""
     days = F.floor(_c(ms) / F.lit(MS_PER_DAY)).cast("int")
-    return F.date_format(F.date_from_unix_date(days), "yyyy-MM-dd")
+    return F.date_format(F.date_from_unix_date(days), DAY_FORMAT)
 
 
-def epoch_ms_to_text(ms: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+def epoch_ms_to_text(ms: Column | str, fmt: str = TIME_FORMAT) -> Column:
     """Format an epoch-ms value as text in UTC (default second-level format)."""
     return F.date_format(epoch_ms_to_ntz(ms), fmt)
 
 
-def ts_text(ts: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+def ts_text(ts: Column | str, fmt: str = TIME_FORMAT) -> Column:
     """Format a timestamp or date column as text."""
     return F.date_format(_c(ts), fmt)

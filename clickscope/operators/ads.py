@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from clickscope.fixed import TOP3_KEY_PREFIX, TOP_ADS
 from clickscope.functions.render import ordered_json_object
 from clickscope.functions.timefmt import epoch_ms_to_day
 
-TOP3_KEY_PREFIX = "top3_ads_per_day:"
 
 
 def with_day(ads: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ def ad_area_clicks(ads: DataFrame | None = None, area_city: DataFrame | None = N
     return with_day(ads).groupBy("dt", "province", "adid").agg(_count())
 
 
-def ad_area_top3(area_clicks: DataFrame, n: int = 3) -> DataFrame:
+def ad_area_top3(area_clicks: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """Top-n ads per (dt, province) by clicks, ties by ad id text:
     (dt, province, adid, clicks, rn)."""
     w = Window.partitionBy("dt", "province").orderBy(F.desc("clicks"), F.asc("adid"))

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from clickscope.fixed import NOT_A_CLICK, TOP_CATEGORIES, TOP_SESSIONS
 from clickscope.functions.lists import jvm_split
 
-NOT_A_CLICK = -1
 
 
 def _is_click():
@@ -49,7 +49,7 @@ def category_counts(visits: DataFrame) -> DataFrame:
                  F.count_if(a == "pay").alias("pay_count")))
 
 
-def category_top10(visits: DataFrame, n: int = 10, task_id: str | None = None) -> DataFrame:
+def category_top10(visits: DataFrame, n: int = TOP_CATEGORIES, task_id: str | None = None) -> DataFrame:
     """Top-n categories by clicks, then orders, then payments (all descending).
 
     ``task_id`` (one id per run, e.g. ``str(uuid4())``) is added as the
@@ -65,7 +65,7 @@ def category_top10(visits: DataFrame, n: int = 10, task_id: str | None = None) -
 
 
 def category_clicks_in_top10(visits: DataFrame, top: DataFrame | None = None,
-                             n: int = 10) -> DataFrame:
+                             n: int = TOP_CATEGORIES) -> DataFrame:
     """Click rows of the top-n categories: (category_id, session_id).
 
     ``top`` holds at most n rows by construction (a limit), so broadcasting
@@ -88,7 +88,7 @@ def category_session_clicks(visits: DataFrame) -> DataFrame:
 
 
 def category_session_top10(visits: DataFrame, top: DataFrame | None = None,
-                           n_categories: int = 10, n_sessions: int = 10,
+                           n_categories: int = TOP_CATEGORIES, n_sessions: int = TOP_SESSIONS,
                            task_id: str | None = None) -> DataFrame:
     """For each top category, its n sessions with most clicks.
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickscope.fixed import AD_LOG_TOPIC, LOG_FIELD_SEPARATOR, LOG_FIELDS
 from clickscope.functions.lists import jvm_split
 
-AD_LOG_TOPIC = "ads_log"
-N_FIELDS = 5
 
 
 def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -17,7 +16,7 @@ def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:
     fields are ignored) and the first is an integer timestamp; other lines
     are rejects, kept for the reject output instead of failing the job.
     """
-    f = jvm_split(F.col(col), " ")
+    f = jvm_split(F.col(col), LOG_FIELD_SEPARATOR)
     ts = F.get(F.col("_f"), 0).try_cast("bigint")
     return (lines.select(F.col(col).alias("line"), f.alias("_f"))
             .select("line",
@@ -26,7 +25,7 @@ def parse_ad_log(lines: DataFrame, col: str = "value") -> DataFrame:
                     F.get(F.col("_f"), 2).alias("city"),
                     F.get(F.col("_f"), 3).alias("userid"),
                     F.get(F.col("_f"), 4).alias("adid"),
-                    ((F.size("_f") >= N_FIELDS) & ts.isNotNull()).alias("_ok")))
+                    ((F.size("_f") >= LOG_FIELDS) & ts.isNotNull()).alias("_ok")))
 
 
 def ad_log_parse(lines: DataFrame, col: str = "value") -> DataFrame:

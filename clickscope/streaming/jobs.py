@@ -13,14 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickscope.operators.ads import TOP3_KEY_PREFIX, with_day
+from clickscope.fixed import BATCH_INTERVAL, TOP3_KEY_PREFIX, TOP_ADS
+from clickscope.operators.ads import with_day
 from clickscope.functions.render import ordered_json_object
 from clickscope.functions.timefmt import epoch_ms_to_day
 from clickscope.sources.adlog import parse_ad_log
 from clickscope.streaming.keyed_table import KeyedTable
 
-# The original jobs run fixed 5-second micro-batches.
-DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
+DEFAULT_TRIGGER = {"processingTime": BATCH_INTERVAL}
 AD_COLS = ["ts_ms", "province", "city", "userid", "adid"]
 
 
@@ -105,7 +105,7 @@ def area_city_incr_step(batch: DataFrame, batch_id: int, table: KeyedTable) -> N
     table.write_batch(batch_id, inc)
 
 
-def rank_top_ads(area_clicks: DataFrame, n: int = 3) -> DataFrame:
+def rank_top_ads(area_clicks: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """(dt, province, entries) with entries = top-n (rn, adid, clicks), rank order."""
     w = Window.partitionBy("dt", "province").orderBy(F.desc("clicks"), F.asc("adid"))
     top = area_clicks.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
@@ -114,7 +114,7 @@ def rank_top_ads(area_clicks: DataFrame, n: int = 3) -> DataFrame:
 
 
 def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpoint: str,
-                    n: int = 3, trigger: dict | None = None,
+                    n: int = TOP_ADS, trigger: dict | None = None,
                     compact_every: int | None = 100,
                     late_tolerance: str | None = None) -> StreamingQuery:
     """Top-n ads per (dt, province) on the running counts.
@@ -131,7 +131,7 @@ def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpo
     return _start(w, checkpoint, trigger, "ad_area_top3")
 
 
-def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTable, n: int = 3,
+def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTable, n: int = TOP_ADS,
               compact_every: int | None = None) -> None:
     """Upsert changed (dt, province, adid, clicks) and re-rank the touched groups."""
     area.write_batch(batch_id, changed)

@@ -86,7 +86,10 @@ class KeyedTable:
     def _empty(self) -> DataFrame:
         if self.schema is None:
             raise ValueError(f"keyed table {self.path} is empty and has no schema")
-        return self.spark.createDataFrame([], self.schema).select(*self._columns())
+        # Built on the JVM (no Python-side rows, no Python workers).
+        return self.spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields
+              if f.name in self._columns()])
 
     def changes(self, before: int | None = None, after: int = -1) -> DataFrame:
         """Raw batch rows with ``after < batch_id < before`` (column ``batch_id`` kept)."""
@@ -94,8 +97,13 @@ class KeyedTable:
                if i > after and (before is None or i < before)]
         if not ids:
             return self._empty().withColumn(BATCH_COL, F.lit(0))
-        df = (self.spark.read.option("basePath", self.path)
-              .parquet(*[self._batch_path(i) for i in ids]))
+        reader = self.spark.read.option("basePath", self.path)
+        if self.schema is not None:
+            # A known schema spares a footer-reading job on every read.
+            reader = reader.schema(T.StructType(
+                [f for f in self.schema.fields if f.name in self._columns()]
+                + [T.StructField(BATCH_COL, T.IntegerType())]))
+        df = reader.parquet(*[self._batch_path(i) for i in ids])
         return df.select(*self._columns(), F.col(BATCH_COL).cast("int").alias(BATCH_COL))
 
     def state(self, before: int | None = None, only: DataFrame | None = None,
@@ -112,7 +120,7 @@ class KeyedTable:
         upto = snaps[-1] if snaps else -1
         rows = self.changes(before, after=upto)
         if snaps:
-            snap = self.spark.read.parquet(os.path.join(self._snap_root(), f"upto={upto}"))
+            snap = self._read_snapshot(upto)
             rows = snap.select(*self._columns(), F.lit(upto).alias(BATCH_COL)).unionByName(rows)
         if only is not None:
             on = list(on or self.keys)
@@ -130,10 +138,15 @@ class KeyedTable:
         upto = snaps[-1] if snaps else -1
         rows = self.changes(before, after=upto).select(*self.keys)
         if snaps:
-            snap = self.spark.read.parquet(os.path.join(self._snap_root(), f"upto={upto}"))
-            rows = snap.select(*self.keys).unionByName(rows)
+            rows = self._read_snapshot(upto).select(*self.keys).unionByName(rows)
         return rows
 
+    def _read_snapshot(self, upto: int) -> DataFrame:
+        reader = self.spark.read
+        if self.schema is not None:
+            reader = reader.schema(self.schema)
+        return reader.parquet(os.path.join(self._snap_root(), f"upto={upto}"))
+
     def _resolve(self, rows: DataFrame) -> DataFrame:
         if self.kind == "log":
             return rows.select(*self._columns())

@@ -43,6 +43,11 @@ def stage_ad_log(spark: SparkSession, sf_dir: str, root: str, truncate_every: in
     return path
 
 
+def _state_parts(spark: SparkSession) -> int:
+    """State-store partitions for the registered runs: the cluster's cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _stream(spark: SparkSession, input_path: str) -> DataFrame:
     return read_ad_log_files(spark, input_path, max_files_per_trigger=1)
 
@@ -80,8 +85,12 @@ def _run_area_city(spark, sf_dir, p, incremental: bool) -> DataFrame:
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
     table = KeyedTable(spark, os.path.join(root, "area_city"), ["dt", "province", "city", "adid"],
                        ["clicks"], kind="add" if incremental else "put")
-    start = jobs.start_area_city_clicks_incr if incremental else jobs.start_area_city_clicks
-    _finish(start(src, table, os.path.join(root, "chk"), TRIGGER))
+    chk = os.path.join(root, "chk")
+    if incremental:
+        q = jobs.start_area_city_clicks_incr(src, table, chk, TRIGGER)
+    else:
+        q = jobs.start_area_city_clicks(src, table, chk, TRIGGER, state_partitions=_state_parts(spark))
+    _finish(q)
     return table.state()
 
 
@@ -90,7 +99,8 @@ def _run_top3(spark, sf_dir, p, as_json: bool) -> DataFrame:
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
     area = KeyedTable(spark, os.path.join(root, "area"), ["dt", "province", "adid"], ["clicks"], kind="put")
     top = KeyedTable(spark, os.path.join(root, "top"), ["dt", "province"], ["entries"], kind="put")
-    _finish(jobs.start_area_top3(src, area, top, os.path.join(root, "chk"), p.top_ads, TRIGGER))
+    _finish(jobs.start_area_top3(src, area, top, os.path.join(root, "chk"), p.top_ads, TRIGGER,
+                                 state_partitions=_state_parts(spark)))
     return jobs.top3_json(top) if as_json else jobs.top3_rows(top)
 
 

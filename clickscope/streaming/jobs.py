@@ -48,11 +48,25 @@ def running_counts(clicks: DataFrame, keys: list[str], late_tolerance: str | Non
             .select(epoch_ms_to_day(F.unix_millis(F.col("_day.start"))).alias("dt"), *keys, "clicks"))
 
 
-def _start(df_writer, checkpoint: str, trigger: dict | None, name: str) -> StreamingQuery:
-    return (df_writer.option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or DEFAULT_TRIGGER))
-            .queryName(name)
-            .start())
+def _start(df_writer, checkpoint: str, trigger: dict | None, name: str,
+           state_partitions: int | None = None, spark=None) -> StreamingQuery:
+    """Start a query. ``state_partitions`` fixes the number of state-store
+    partitions of a stateful query: Spark takes it from
+    ``spark.sql.shuffle.partitions`` when the query starts (the query runs
+    on a clone of the session) and keeps it in the checkpoint, so it is set
+    only around ``start()`` and the caller's setting is restored."""
+    w = (df_writer.option("checkpointLocation", checkpoint)
+         .trigger(**(trigger or DEFAULT_TRIGGER))
+         .queryName(name))
+    if not state_partitions or spark is None:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def parse_step(batch: DataFrame, batch_id: int, parsed: KeyedTable, rejects: KeyedTable) -> None:
@@ -73,7 +87,8 @@ def start_ad_log_parse(lines: DataFrame, parsed: KeyedTable, rejects: KeyedTable
 
 def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
                            trigger: dict | None = None,
-                           late_tolerance: str | None = None) -> StreamingQuery:
+                           late_tolerance: str | None = None,
+                           state_partitions: int | None = None) -> StreamingQuery:
     """Running clicks per (dt, province, city, adid), absolute values (hash set).
 
     The running count is a streaming aggregation (state in the state store,
@@ -84,7 +99,7 @@ def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
     counts = running_counts(parsed_clicks(lines), ["province", "city", "adid"], late_tolerance)
     w = counts.writeStream.outputMode("update").foreachBatch(
         lambda df, batch_id: table.write_batch(batch_id, df))
-    return _start(w, checkpoint, trigger, "ad_area_city_clicks")
+    return _start(w, checkpoint, trigger, "ad_area_city_clicks", state_partitions, lines.sparkSession)
 
 
 def start_area_city_clicks_incr(lines: DataFrame, table: KeyedTable, checkpoint: str,
@@ -116,7 +131,8 @@ def rank_top_ads(area_clicks: DataFrame, n: int = TOP_ADS) -> DataFrame:
 def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpoint: str,
                     n: int = TOP_ADS, trigger: dict | None = None,
                     compact_every: int | None = 100,
-                    late_tolerance: str | None = None) -> StreamingQuery:
+                    late_tolerance: str | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
     """Top-n ads per (dt, province) on the running counts.
 
     Running clicks per (dt, province, adid) are a streaming aggregation in
@@ -128,7 +144,7 @@ def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpo
     counts = running_counts(parsed_clicks(lines), ["province", "adid"], late_tolerance)
     w = counts.writeStream.outputMode("update").foreachBatch(
         lambda b, i: top3_step(b, i, area, top, n, compact_every))
-    return _start(w, checkpoint, trigger, "ad_area_top3")
+    return _start(w, checkpoint, trigger, "ad_area_top3", state_partitions, lines.sparkSession)
 
 
 def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTable, n: int = TOP_ADS,

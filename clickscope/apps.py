@@ -73,12 +73,13 @@ def stream_tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
     return {
         "blacklist": KeyedTable(spark, j("blacklist"), ["userid"], kind="set", schema=BLACKLIST_SCHEMA),
         "user_ad_day": KeyedTable(spark, j("user_ad_day_clicks"), ["dt", "adid", "userid"], ["clicks"],
-                                  kind="add", schema=USER_AD_DAY_SCHEMA),
+                                  kind="add", schema=USER_AD_DAY_SCHEMA, partition_by=["dt"]),
         "area_city": KeyedTable(spark, j("area_city_ad_clicks"), ["dt", "province", "city", "adid"],
                                 ["clicks"], kind="put"),
         "area_city_incr": KeyedTable(spark, j("area_city_ad_clicks_incr"),
                                      ["dt", "province", "city", "adid"], ["clicks"], kind="add"),
-        "area": KeyedTable(spark, j("area_ad_clicks"), ["dt", "province", "adid"], ["clicks"], kind="put"),
+        "area": KeyedTable(spark, j("area_ad_clicks"), ["dt", "province", "adid"], ["clicks"], kind="put",
+                           partition_by=["dt"]),
         "top3": KeyedTable(spark, j("top3_ads_per_day"), ["dt", "province"], ["entries"], kind="put"),
     }
 

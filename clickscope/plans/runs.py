@@ -73,7 +73,7 @@ def _run_blacklist(spark, sf_dir, p) -> DataFrame:
     root = scratch_path(spark, "stream_ad_blacklist")
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
     counts = KeyedTable(spark, os.path.join(root, "counts"), ["dt", "adid", "userid"], ["clicks"],
-                        kind="add", schema=COUNTS_SCHEMA)
+                        kind="add", schema=COUNTS_SCHEMA, partition_by=["dt"])
     bl = KeyedTable(spark, os.path.join(root, "blacklist"), ["userid"], kind="set",
                     schema=BLACKLIST_SCHEMA)
     _finish(jobs.start_blacklist(src, counts, bl, os.path.join(root, "chk"), p.threshold, TRIGGER))
@@ -97,7 +97,8 @@ def _run_area_city(spark, sf_dir, p, incremental: bool) -> DataFrame:
 def _run_top3(spark, sf_dir, p, as_json: bool) -> DataFrame:
     root = scratch_path(spark, "stream_ad_area_top3")
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
-    area = KeyedTable(spark, os.path.join(root, "area"), ["dt", "province", "adid"], ["clicks"], kind="put")
+    area = KeyedTable(spark, os.path.join(root, "area"), ["dt", "province", "adid"], ["clicks"], kind="put",
+                      partition_by=["dt"])
     top = KeyedTable(spark, os.path.join(root, "top"), ["dt", "province"], ["entries"], kind="put")
     _finish(jobs.start_area_top3(src, area, top, os.path.join(root, "chk"), p.top_ads, TRIGGER,
                                  state_partitions=_state_parts(spark)))

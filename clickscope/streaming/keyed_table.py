@@ -14,6 +14,10 @@ Kinds (how the current state is resolved from the batch folders):
 * ``set`` - the distinct keys (set insert);
 * ``log`` - every row is kept (an append-only log, e.g. rejects).
 
+``partition_by`` (key columns, e.g. the day) lays every batch folder and
+snapshot out by those columns; a lookup for a batch's keys then reads only
+the partitions those keys fall in (see :meth:`KeyedTable.state`).
+
 ``compact(upto)`` folds the folders up to a batch into a snapshot under
 ``<path>/_snapshots/upto=N`` (a hidden folder, not read as a batch); later
 reads start from the newest snapshot, so a long-running stream reads one
@@ -29,6 +33,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 KINDS = ("put", "add", "set", "log")
 BATCH_COL = "batch_id"
+# A lookup prunes partitions only for up to this many distinct partition values.
+MAX_PRUNE_VALUES = 1000
 
 
 @dataclass
@@ -39,10 +45,17 @@ class KeyedTable:
     values: list[str] = field(default_factory=list)
     kind: str = "put"
     schema: T.StructType | None = None
+    partition_by: list[str] = field(default_factory=list)
 
     def __post_init__(self):
         if self.kind not in KINDS:
             raise ValueError(f"kind must be one of {KINDS}")
+        if not set(self.partition_by) <= set(self.keys):
+            raise ValueError("partition_by must name key columns")
+
+    def _writer(self, rows: DataFrame):
+        w = rows.write.mode("overwrite")
+        return w.partitionBy(*self.partition_by) if self.partition_by else w
 
     # -- layout ---------------------------------------------------------
     def _batch_path(self, batch_id: int) -> str:
@@ -60,7 +73,7 @@ class KeyedTable:
         rows = rows.select(*self._columns())
         if self.schema is None:
             self.schema = rows.schema
-        rows.write.mode("overwrite").parquet(self._batch_path(batch_id))
+        self._writer(rows).parquet(self._batch_path(batch_id))
 
     # -- reading --------------------------------------------------------
     def _committed(self, root: str, prefix: str) -> list[int]:
@@ -114,6 +127,10 @@ class KeyedTable:
         key columns ``on`` (all keys by default; any subset of them is
         valid, e.g. a group prefix). The rows are filtered by a semi join
         *before* they are resolved, so only matching keys are aggregated.
+        When the table is partitioned by columns in ``on``, the distinct
+        partition values of ``only`` (a handful: the days a micro-batch
+        touched) become a partition filter, so the scan reads only those
+        partitions of the snapshot and batch folders instead of all state.
         """
         snaps = [u for u in self._committed(self._snap_root(), "upto")
                  if before is None or u < before]
@@ -126,6 +143,7 @@ class KeyedTable:
             on = list(on or self.keys)
             if not set(on) <= set(self.keys):
                 raise ValueError("state(on=...) must name key columns")
+            rows = self._prune(rows, only, on)
             rows = rows.join(only.select(*on).distinct(), on, "left_semi")
         return self._resolve(rows)
 
@@ -141,6 +159,24 @@ class KeyedTable:
             rows = self._read_snapshot(upto).select(*self.keys).unionByName(rows)
         return rows
 
+    def _prune(self, rows: DataFrame, only: DataFrame, on: list[str]) -> DataFrame:
+        """Partition filter from the (few) partition values present in ``only``."""
+        cols = [c for c in self.partition_by if c in on]
+        if not cols:
+            return rows
+        values = only.select(*cols).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
+        if len(values) > MAX_PRUNE_VALUES:
+            return rows
+        if len(cols) == 1:
+            return rows.where(F.col(cols[0]).isin([v[0] for v in values]))
+        cond = F.lit(False)
+        for v in values:
+            match = F.lit(True)
+            for c, x in zip(cols, v):
+                match = match & (F.col(c) == F.lit(x))
+            cond = cond | match
+        return rows.where(cond)
+
     def _read_snapshot(self, upto: int) -> DataFrame:
         reader = self.spark.read
         if self.schema is not None:
@@ -162,5 +198,4 @@ class KeyedTable:
     def compact(self, upto: int) -> None:
         """Fold all batches ``<= upto`` into snapshot ``upto``."""
         snap = self.state(before=upto + 1)
-        (snap.write.mode("overwrite")
-         .parquet(os.path.join(self._snap_root(), f"upto={upto}")))
+        self._writer(snap).parquet(os.path.join(self._snap_root(), f"upto={upto}"))

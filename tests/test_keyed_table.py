@@ -83,3 +83,19 @@ def test_set_members_before_and_after_compaction(spark, tmp_dir):
     assert sorted(r.k for r in t.members(before=1).collect()) == ["a", "b"]
     t.compact(0)
     assert sorted(r.k for r in t.members().collect()) == ["a", "a", "b"]
+
+
+def test_partitioned_table_prunes_lookups(spark, tmp_dir):
+    s3 = T.StructType([T.StructField("dt", T.StringType()), T.StructField("k", T.StringType()),
+                       T.StructField("v", T.LongType())])
+    t = KeyedTable(spark, tmp_dir, ["dt", "k"], ["v"], kind="add", schema=s3, partition_by=["dt"])
+    t.write_batch(0, spark.createDataFrame([("d1", "a", 1), ("d2", "a", 2), ("d3", "b", 3)], s3))
+    t.write_batch(1, spark.createDataFrame([("d1", "a", 4)], s3))
+    t.compact(0)
+    t.write_batch(2, spark.createDataFrame([("d2", "a", 5)], s3))
+    only = spark.createDataFrame([("d1", "a", 0), ("d2", "a", 0)], s3)
+    got = t.state(only=only)
+    assert sorted(tuple(r) for r in got.collect()) == [("d1", "a", 5), ("d2", "a", 7)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "dt#" in plan and "isnotnull(dt" in plan
+    assert sorted(tuple(r) for r in t.state().collect()) == [("d1", "a", 5), ("d2", "a", 7), ("d3", "b", 3)]

@@ -1,6 +1,6 @@
 """Runnable applications: the six questions end to end.
 
-    spark-submit -m clickscope.apps category-top10 --table user_visit_action \\
+    spark-submit --py-files clickscope.zip clickscope/apps.py category-top10 --table user_visit_action \\
         --database mall --jdbc-url jdbc:mysql://db/mall --jdbc-user u --jdbc-password p
 
 Batch apps read the visit-action table (optionally within text time

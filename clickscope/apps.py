@@ -107,6 +107,8 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="clickscope.apps")
     ap.add_argument("app", choices=BATCH_APPS + STREAM_APPS)
     ap.add_argument("--table", default="user_visit_action")
+    ap.add_argument("--testdata", metavar="SF_DIR",
+                    help="derive the visit actions from the shared test tables in SF_DIR instead")
     ap.add_argument("--database")
     ap.add_argument("--start")
     ap.add_argument("--end")
@@ -122,7 +124,11 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = build_session()
     if a.app in BATCH_APPS:
-        visits = load_visits(spark, a.table, a.database, a.start, a.end, a.date_col)
+        if a.testdata:
+            from clickscope.plans.inputs import visits as testdata_visits
+            visits = visits_in_range(testdata_visits(spark, a.testdata), a.start, a.end)
+        else:
+            visits = load_visits(spark, a.table, a.database, a.start, a.end, a.date_col)
         task_id = new_task_id()
         if a.app == "page-flow":
             out, target = page_flow_app(visits, a.path), None

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clickscope.fixed import NOT_A_CLICK, TOP_CATEGORIES, TOP_SESSIONS
 from clickscope.functions.lists import jvm_split
+from clickscope.operators.joins import broadcast_if_small
 
 
 
@@ -68,15 +69,19 @@ def category_clicks_in_top10(visits: DataFrame, top: DataFrame | None = None,
                              n: int = TOP_CATEGORIES) -> DataFrame:
     """Click rows of the top-n categories: (category_id, session_id).
 
-    ``top`` holds at most n rows by construction (a limit), so broadcasting
-    it is bounded; the click rows are filtered map-side with no shuffle.
+    When ``top`` is computed here it holds at most n rows by construction
+    (a limit), so it is broadcast as is; a table passed in by the caller is
+    broadcast only after a row-count check. The click rows are then
+    filtered map-side with no shuffle.
     """
     if top is None:
-        top = category_top10(visits, n)
+        wanted = F.broadcast(category_top10(visits, n).select("category_id"))
+    else:
+        wanted = broadcast_if_small(top.select("category_id"))
     clicks = (visits.where(_is_click())
               .select(F.col("click_category_id").cast("string").alias("category_id"),
                       "session_id"))
-    return clicks.join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+    return clicks.join(wanted, "category_id", "left_semi")
 
 
 def category_session_clicks(visits: DataFrame) -> DataFrame:

@@ -70,7 +70,8 @@ def page_views_in_flow(visits: DataFrame, path) -> DataFrame:
 
 
 def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
-                     levels: tuple[int, ...] = BUCKET_LEVELS) -> DataFrame:
+                     levels: tuple[int, ...] = BUCKET_LEVELS,
+                     tie_split: int | None = None) -> DataFrame:
     """Adjacent page pairs of every session: (session_id, a, b).
 
     Actions are ordered by ``action_time`` text, then ``tie_col``. One
@@ -91,17 +92,35 @@ def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
     and one per non-empty minute of a session at the last level), so no
     task grows with a session's size. The result equals a single ``lead``
     over the session.
+
+    ``tie_split=B`` (numeric tie column) also cuts each session-second
+    into ranges of ``floor(tie / B)``, stitched back within the second, for
+    inputs where a single second of one session is itself huge. It costs
+    one more narrow shuffle, so it is off by default.
     """
     order_cols = ["action_time"] + ([tie_col] if tie_col else [])
     first_len, *coarser = levels
+    split = bool(tie_split and tie_col)
+    sub = [F.floor(F.col(tie_col) / F.lit(tie_split)).alias("_sub")] if split else []
     v = visits.select("session_id", "page_id", *order_cols,
-                      F.substring("action_time", 1, first_len).alias("_key"))
-    w0 = Window.partitionBy("session_id", "_key").orderBy(*order_cols)
-    steps = v.select("session_id", "_key", F.col("page_id").alias("a"),
+                      F.substring("action_time", 1, first_len).alias("_key"), *sub)
+    part0 = ["session_id", "_key"] + (["_sub"] if split else [])
+    w0 = Window.partitionBy(*part0).orderBy(*order_cols)
+    steps = v.select(*part0, F.col("page_id").alias("a"),
                      F.lead("page_id").over(w0).alias("b"),
                      F.first("page_id").over(w0.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"))
     pairs = [steps.where(F.col("b").isNotNull()).select("session_id", "a", "b")]
-    edges = steps.where(F.col("b").isNull()).select("session_id", "_key", "_first", F.col("a").alias("_last"))
+    edges = steps.where(F.col("b").isNull()).select(*part0, "_first", F.col("a").alias("_last"))
+    if split:
+        # Stitch the tie ranges of one session-second back together.
+        w = Window.partitionBy("session_id", "_key").orderBy("_sub")
+        lv = edges.select("session_id", "_key", "_last",
+                          F.lead("_first").over(w).alias("_next"),
+                          F.first("_first").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_gfirst"))
+        pairs.append(lv.where(F.col("_next").isNotNull())
+                     .select("session_id", F.col("_last").alias("a"), F.col("_next").alias("b")))
+        edges = (lv.where(F.col("_next").isNull())
+                 .select("session_id", "_key", F.col("_gfirst").alias("_first"), "_last"))
     for prefix_len in [*coarser, None]:
         group = ["session_id"]
         if prefix_len is not None:
@@ -120,19 +139,21 @@ def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
     return reduce(DataFrame.unionByName, pairs)
 
 
-def page_transition_counts(visits: DataFrame, path, tie_col: str | None = "event_id") -> DataFrame:
+def page_transition_counts(visits: DataFrame, path, tie_col: str | None = "event_id",
+                           tie_split: int | None = None) -> DataFrame:
     """Steps of the path that sessions took, with counts: (a, b, jumps)."""
-    return (page_transitions(visits, tie_col).where(_pair_predicate(path_pairs(path)))
+    return (page_transitions(visits, tie_col, tie_split=tie_split).where(_pair_predicate(path_pairs(path)))
             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("jumps")))
 
 
-def page_flow_rate(visits: DataFrame, path, tie_col: str | None = "event_id") -> DataFrame:
+def page_flow_rate(visits: DataFrame, path, tie_col: str | None = "event_id",
+                   tie_split: int | None = None) -> DataFrame:
     """(page_flow 'a-b', jumps, page_views, rate = jumps / views of a).
 
     Steps nobody took do not appear. The denominator table has at most one
     row per path page, so its broadcast is bounded by the path length.
     """
-    num = page_transition_counts(visits, path, tie_col)
+    num = page_transition_counts(visits, path, tie_col, tie_split)
     den = page_views_in_flow(visits, path)
     return (num.join(F.broadcast(den), num.a == den.page_id)
             .select(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string")).alias("page_flow"),

@@ -53,3 +53,6 @@ def test_bucket_stitching_equals_plain_lead(spark):
     for levels in [P.BUCKET_LEVELS, (19,), (16,), (19, 16, 13), (19, 17, 16, 14, 13)]:
         got = sorted(tuple(r) for r in P.page_transitions(v, levels=levels).collect())
         assert got == want, levels
+    for split in (1, 2, 7):
+        got = sorted(tuple(r) for r in P.page_transitions(v, tie_split=split).collect())
+        assert got == want, split

@@ -12,13 +12,13 @@ from clickscope.sources.tables import conform_visits, load_testdata
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conformed visit actions (quarantined rows left out)."""
-    good, _ = conform_visits(visit_actions_from_events(load_testdata(spark, sf_dir, "events")))
+    good, _ = conform_visits(visit_actions_from_events(load_testdata(spark, sf_dir, "events", spread=True)))
     return good
 
 
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad clicks with the tie column: (event_id, ts_ms, dt, province, city, userid, adid)."""
-    return ad_clicks_from_events(load_testdata(spark, sf_dir, "events"),
+    return ad_clicks_from_events(load_testdata(spark, sf_dir, "events", spread=True),
                                  load_testdata(spark, sf_dir, "nation"),
                                  load_testdata(spark, sf_dir, "region"))
 

@@ -21,8 +21,25 @@ def read_table(spark: SparkSession, name_or_path: str, database: str | None = No
     return spark.table(qualified)
 
 
-def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet file is split by row group, so a small table stored as one
+    row group is read by a single task, and every per-row expression before
+    the first shuffle runs there. Such a scan is spread round-robin over
+    ``min_partitions`` (default: the cluster's default parallelism); Spark
+    sorts before a round-robin repartition, so a retried task gets the
+    same rows. A large input (many splits) is returned unchanged: no
+    shuffle is added at scale.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def load_testdata(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A shared test table; ``spread=True`` for a fact table read as one split."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_small_scan(df) if spread else df
 
 
 def visits_in_range(visits: DataFrame, start: str | None = None, end: str | None = None,

@@ -86,3 +86,11 @@ def test_hot_user_joins_are_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_spread_only_small_scans(spark, tmp_dir):
+    from clickscope.sources.tables import spread_small_scan
+    one = spark.range(100).coalesce(1)
+    assert spread_small_scan(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(8)
+    assert spread_small_scan(many, 4) is many

@@ -28,3 +28,13 @@ def test_stream_app_blacklist(spark, tmp_dir):
                               trigger={"availableNow": True})
     q.awaitTermination(300)
     assert [r.userid for r in apps.stream_tables(spark, root)["blacklist"].state().collect()] == ["u1"]
+
+
+def test_cli_main_on_test_tables(spark, capsys):
+    import pytest
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    apps.main(["page-flow", "--testdata", sf])
+    out = capsys.readouterr().out
+    assert "page_flow" in out and "1-2" in out

@@ -43,17 +43,25 @@ def build_session(master: str | None = None, app_name: str = "clickscope",
     return builder.getOrCreate()
 
 
+# Fallback shared folder per application, used only when the session names none.
+_LOCAL_SHARED: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a folder every executor can reach); only
-    when it is unset, as in local tests, a fresh local folder is created
-    and recorded in the session so later calls agree.
+    On a cluster this is set (a folder every executor can reach) and is
+    used as is. Only when it is unset, as in some local tests, one local
+    folder per application is created. It is remembered here rather than
+    written into the session, because Spark refuses runtime changes of that
+    core setting. It is also set as the context's RDD checkpoint folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="clickscope-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        path = _LOCAL_SHARED.get(app)
+        if path is None:
+            path = _LOCAL_SHARED.setdefault(app, tempfile.mkdtemp(prefix="clickscope-"))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(path, "rdd"))
     return path

@@ -94,3 +94,11 @@ def test_spread_only_small_scans(spark, tmp_dir):
     assert spread_small_scan(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(8)
     assert spread_small_scan(many, 4) is many
+
+
+def test_shared_dir_reads_session_setting(spark):
+    from clickscope.session import scratch_path, shared_dir
+    root = shared_dir(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root)

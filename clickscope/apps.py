@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from clickscope.fixed import (
-    BLACKLIST_THRESHOLD_STORE_VARIANT, CATEGORY_SESSION_TABLE, CATEGORY_TOP10_TABLE,
+    BLACKLIST_THRESHOLD_STORE_VARIANT, CATEGORY_SESSION_TABLE, CATEGORY_TOP10_TABLE, TOP_ADS,
 )
 from clickscope.operators import category as C
 from clickscope.operators import pageflow as P
@@ -85,17 +85,20 @@ def stream_tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
 
 
 def start_stream_app(spark: SparkSession, name: str, lines: DataFrame, root: str,
-                     threshold: int = BLACKLIST_THRESHOLD_STORE_VARIANT, trigger: dict | None = None):
+                     threshold: int = BLACKLIST_THRESHOLD_STORE_VARIANT, trigger: dict | None = None,
+                     state_partitions: int | None = None):
     t = stream_tables(spark, root)
     chk = os.path.join(root, "checkpoints", name)
     if name == "blacklist":
         return jobs.start_blacklist(lines, t["user_ad_day"], t["blacklist"], chk, threshold, trigger)
     if name == "area-city-clicks":
-        return jobs.start_area_city_clicks(lines, t["area_city"], chk, trigger)
+        return jobs.start_area_city_clicks(lines, t["area_city"], chk, trigger,
+                                           state_partitions=state_partitions)
     if name == "area-city-clicks-incr":
         return jobs.start_area_city_clicks_incr(lines, t["area_city_incr"], chk, trigger)
     if name == "area-top3":
-        return jobs.start_area_top3(lines, t["area"], t["top3"], chk, 3, trigger)
+        return jobs.start_area_top3(lines, t["area"], t["top3"], chk, TOP_ADS, trigger,
+                                    state_partitions=state_partitions)
     raise ValueError(f"unknown stream app {name}")
 
 
@@ -121,6 +124,8 @@ def main(argv=None) -> None:
     ap.add_argument("--topic", default="ads_log")
     ap.add_argument("--root", help="shared folder for stream tables and checkpoints")
     ap.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD_STORE_VARIANT)
+    ap.add_argument("--state-partitions", type=int,
+                    help="state-store partitions of a new stateful stream (fixed once started)")
     a = ap.parse_args(argv)
     spark = build_session()
     if a.app in BATCH_APPS:
@@ -143,7 +148,8 @@ def main(argv=None) -> None:
         return
     lines = read_ad_log_kafka(spark, a.bootstrap_servers, a.topic)
     root = a.root or shared_dir(spark)
-    start_stream_app(spark, a.app, lines, root, a.threshold).awaitTermination()
+    start_stream_app(spark, a.app, lines, root, a.threshold,
+                     state_partitions=a.state_partitions).awaitTermination()
 
 
 if __name__ == "__main__":

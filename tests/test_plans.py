@@ -102,3 +102,17 @@ def test_shared_dir_reads_session_setting(spark):
     assert root == spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root)
+
+
+def test_broadcast_if_small_checks_rows(spark):
+    from clickscope.operators.joins import broadcast_if_small
+    big = spark.range(100000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    hinted = big.join(broadcast_if_small(small, max_rows=50), "k")
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = big.join(broadcast_if_small(spark.range(100).withColumnRenamed("id", "k"), max_rows=50), "k")
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -69,6 +69,11 @@ def _start(df_writer, checkpoint: str, trigger: dict | None, name: str,
         spark.conf.set(key, old)
 
 
+def _folder_partitions(table: KeyedTable, batch_id: int) -> list[tuple] | None:
+    """The partition values a batch wrote, read from its folder names."""
+    return table.batch_partitions(batch_id) if len(table.partition_by) == 1 else None
+
+
 def parse_step(batch: DataFrame, batch_id: int, parsed: KeyedTable, rejects: KeyedTable) -> None:
     p = parse_ad_log(batch).persist()
     try:
@@ -152,7 +157,8 @@ def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTab
     """Upsert changed (dt, province, adid, clicks) and re-rank the touched groups."""
     area.write_batch(batch_id, changed)
     touched = area.changes(before=batch_id + 1, after=batch_id - 1)
-    current = area.state(before=batch_id + 1, only=touched, on=["dt", "province"])
+    current = area.state(before=batch_id + 1, only=touched, on=["dt", "province"],
+                         prune_values=_folder_partitions(area, batch_id))
     top.write_batch(batch_id, rank_top_ads(current, n))
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
         area.compact(batch_id)
@@ -209,7 +215,8 @@ def blacklist_step(batch: DataFrame, batch_id: int, counts: KeyedTable, blacklis
     delta = admitted.groupBy("dt", "adid", "userid").agg(F.count(F.lit(1)).alias("clicks"))
     counts.write_batch(batch_id, delta)
     touched = counts.changes(before=batch_id + 1, after=batch_id - 1).select(*counts.keys)
-    totals = counts.state(before=batch_id + 1, only=touched)
+    totals = counts.state(before=batch_id + 1, only=touched,
+                          prune_values=_folder_partitions(counts, batch_id))
     new = (totals.where(F.col("clicks") >= threshold).select("userid").distinct()
            .join(banned, "userid", "left_anti"))
     blacklist.write_batch(batch_id, new)

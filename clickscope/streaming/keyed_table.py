@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -119,8 +120,22 @@ class KeyedTable:
         df = reader.parquet(*[self._batch_path(i) for i in ids])
         return df.select(*self._columns(), F.col(BATCH_COL).cast("int").alias(BATCH_COL))
 
+    def batch_partitions(self, batch_id: int) -> list[tuple]:
+        """Partition values present in batch ``batch_id``, from its folder names
+        (no Spark job). Only for a table with a single partition column."""
+        if len(self.partition_by) != 1:
+            raise ValueError("batch_partitions needs exactly one partition column")
+        jvm = self.spark.sparkContext._jvm
+        base = jvm.org.apache.hadoop.fs.Path(self._batch_path(batch_id))
+        fs = base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        prefix = self.partition_by[0] + "="
+        if not fs.exists(base):
+            return []
+        return [(unquote(st.getPath().getName()[len(prefix):]),) for st in fs.listStatus(base)
+                if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+
     def state(self, before: int | None = None, only: DataFrame | None = None,
-              on: list[str] | None = None) -> DataFrame:
+              on: list[str] | None = None, prune_values: list[tuple] | None = None) -> DataFrame:
         """Current state from batches ``< before`` (all batches when None).
 
         ``only`` restricts the result to the keys it holds, matched on the
@@ -131,6 +146,9 @@ class KeyedTable:
         partition values of ``only`` (a handful: the days a micro-batch
         touched) become a partition filter, so the scan reads only those
         partitions of the snapshot and batch folders instead of all state.
+        ``prune_values`` gives those values directly (e.g. from
+        :meth:`batch_partitions`), which spares the small job that
+        collects them.
         """
         snaps = [u for u in self._committed(self._snap_root(), "upto")
                  if before is None or u < before]
@@ -143,7 +161,7 @@ class KeyedTable:
             on = list(on or self.keys)
             if not set(on) <= set(self.keys):
                 raise ValueError("state(on=...) must name key columns")
-            rows = self._prune(rows, only, on)
+            rows = self._prune(rows, only, on, prune_values)
             rows = rows.join(only.select(*on).distinct(), on, "left_semi")
         return self._resolve(rows)
 
@@ -159,12 +177,14 @@ class KeyedTable:
             rows = self._read_snapshot(upto).select(*self.keys).unionByName(rows)
         return rows
 
-    def _prune(self, rows: DataFrame, only: DataFrame, on: list[str]) -> DataFrame:
+    def _prune(self, rows: DataFrame, only: DataFrame, on: list[str],
+               values: list[tuple] | None = None) -> DataFrame:
         """Partition filter from the (few) partition values present in ``only``."""
         cols = [c for c in self.partition_by if c in on]
         if not cols:
             return rows
-        values = only.select(*cols).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
+        if values is None or len(cols) != len(self.partition_by):
+            values = only.select(*cols).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
         if len(values) > MAX_PRUNE_VALUES:
             return rows
         if len(cols) == 1:

@@ -99,3 +99,15 @@ def test_partitioned_table_prunes_lookups(spark, tmp_dir):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "dt#" in plan and "isnotnull(dt" in plan
     assert sorted(tuple(r) for r in t.state().collect()) == [("d1", "a", 5), ("d2", "a", 7), ("d3", "b", 3)]
+
+
+def test_batch_partitions_from_folders(spark, tmp_dir):
+    s3 = T.StructType([T.StructField("dt", T.StringType()), T.StructField("k", T.StringType()),
+                       T.StructField("v", T.LongType())])
+    t = KeyedTable(spark, tmp_dir, ["dt", "k"], ["v"], kind="add", schema=s3, partition_by=["dt"])
+    t.write_batch(0, spark.createDataFrame([("2019-01-01", "a", 1), ("2019-01-02", "b", 2)], s3))
+    assert sorted(t.batch_partitions(0)) == [("2019-01-01",), ("2019-01-02",)]
+    assert t.batch_partitions(5) == []
+    only = spark.createDataFrame([("2019-01-01", "a", 0)], s3)
+    got = t.state(only=only, prune_values=t.batch_partitions(0))
+    assert [tuple(r) for r in got.collect()] == [("2019-01-01", "a", 1)]

@@ -89,3 +89,21 @@ def test_category_counts_and_top_match_model(spark, rows):
     top = [r.category_id for r in C.category_top10(v, n=3).collect()]
     want = sorted(model, key=lambda c: (-model[c][0], -model[c][1], -model[c][2], c))[:3]
     assert top == want
+
+
+times = st.builds(lambda d, h, m: f"2019-0{d // 28 + 1}-{d % 28 + 1:02d} {h:02d}:{m:02d}:00",
+                  st.integers(0, 80), st.integers(0, 23), st.integers(0, 59))
+bound = st.one_of(st.none(), times.map(lambda t: t), times.map(lambda t: t[:10]), times.map(lambda t: t[:7]),
+                  times.map(lambda t: t[:13]))
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(times, min_size=1, max_size=30), bound, bound)
+def test_implied_date_bounds_never_change_the_result(spark, ts, start, end):
+    """The partition-pruning bounds on `date` are implied by the text bounds."""
+    from clickscope.sources.tables import visits_in_range
+    df = spark.createDataFrame([(i, t[:10], t) for i, t in enumerate(ts)], "id int, date string, action_time string")
+    plain = sorted(r.id for r in visits_in_range(df, start, end).collect())
+    pruned = sorted(r.id for r in visits_in_range(df, start, end, date_col="date").collect())
+    model = sorted(i for i, t in enumerate(ts) if (start is None or t >= start) and (end is None or t <= end))
+    assert plain == pruned == model

@@ -39,11 +39,20 @@ def new_task_id() -> str:
 
 def load_visits(spark: SparkSession, table: str, database: str | None = None,
                 start: str | None = None, end: str | None = None,
-                date_col: str | None = None) -> DataFrame:
-    visits, _quarantine = conform_visits(read_table(spark, table, database))
+                date_col: str | None = None, required: list[str] | None = None) -> DataFrame:
+    """The visit table, conformed on the ``required`` columns, within the bounds."""
+    visits, _quarantine = conform_visits(read_table(spark, table, database), required)
     return visits_in_range(visits, start, end, date_col)
 
 
+# Columns each batch application reads (and so requires non-null).
+APP_REQUIRED = {
+    "category-top10": C.REQUIRED,
+    "category-session-top10": C.SESSION_REQUIRED,
+    "page-flow": P.REQUIRED,
+}
+
+
 def category_top10_app(visits: DataFrame, task_id: str, n: int = 10) -> DataFrame:
     """(task_id, category_id, click_count, order_count, pay_count)."""
     return C.category_top10(visits, n, task_id=task_id)
@@ -129,11 +138,12 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = build_session()
     if a.app in BATCH_APPS:
+        required = APP_REQUIRED[a.app] + (["action_time"] if (a.start or a.end) else [])
         if a.testdata:
             from clickscope.plans.inputs import visits as testdata_visits
-            visits = visits_in_range(testdata_visits(spark, a.testdata), a.start, a.end)
+            visits = visits_in_range(testdata_visits(spark, a.testdata, required), a.start, a.end)
         else:
-            visits = load_visits(spark, a.table, a.database, a.start, a.end, a.date_col)
+            visits = load_visits(spark, a.table, a.database, a.start, a.end, a.date_col, required)
         task_id = new_task_id()
         if a.app == "page-flow":
             out, target = page_flow_app(visits, a.path), None

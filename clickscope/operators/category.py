@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clickscope.fixed import NOT_A_CLICK, TOP_CATEGORIES, TOP_SESSIONS
 from clickscope.functions.lists import jvm_split
-from clickscope.operators.joins import broadcast_if_small
+
+# Non-null columns the category questions read (see conform_visits).
+REQUIRED = ["click_category_id"]
+SESSION_REQUIRED = ["click_category_id", "session_id"]
 
 
 
@@ -66,18 +69,21 @@ def category_top10(visits: DataFrame, n: int = TOP_CATEGORIES, task_id: str | No
 
 
 def category_clicks_in_top10(visits: DataFrame, top: DataFrame | None = None,
-                             n: int = TOP_CATEGORIES) -> DataFrame:
+                             n: int = TOP_CATEGORIES,
+                             ranking_visits: DataFrame | None = None) -> DataFrame:
     """Click rows of the top-n categories: (category_id, session_id).
 
-    When ``top`` is computed here it holds at most n rows by construction
-    (a limit), so it is broadcast as is; a table passed in by the caller is
-    broadcast only after a row-count check. The click rows are then
-    filtered map-side with no shuffle.
+    Without ``top`` the top-n is ranked here, from ``ranking_visits``
+    (default ``visits``). It holds at most n rows by its limit, so it is
+    broadcast and the click rows are filtered map-side with no shuffle. A
+    ``top`` table of the caller's gets no hint: the planner (AQE) broadcasts
+    it when its measured size allows.
     """
     if top is None:
-        wanted = F.broadcast(category_top10(visits, n).select("category_id"))
+        ranked = category_top10(ranking_visits if ranking_visits is not None else visits, n)
+        wanted = F.broadcast(ranked.select("category_id"))
     else:
-        wanted = broadcast_if_small(top.select("category_id"))
+        wanted = top.select("category_id")
     clicks = (visits.where(_is_click())
               .select(F.col("click_category_id").cast("string").alias("category_id"),
                       "session_id"))
@@ -94,7 +100,8 @@ def category_session_clicks(visits: DataFrame) -> DataFrame:
 
 def category_session_top10(visits: DataFrame, top: DataFrame | None = None,
                            n_categories: int = TOP_CATEGORIES, n_sessions: int = TOP_SESSIONS,
-                           task_id: str | None = None) -> DataFrame:
+                           task_id: str | None = None,
+                           ranking_visits: DataFrame | None = None) -> DataFrame:
     """For each top category, its n sessions with most clicks.
 
     (category_id, session_id, click_count, rn); ties by session id. The
@@ -104,7 +111,7 @@ def category_session_top10(visits: DataFrame, top: DataFrame | None = None,
     does not pile up in one task. ``task_id`` (one id per run) is added as
     the first column when given, for the result sinks.
     """
-    in_top = category_clicks_in_top10(visits, top, n_categories)
+    in_top = category_clicks_in_top10(visits, top, n_categories, ranking_visits)
     counts = in_top.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     ranked = (counts.withColumn("rn", F.row_number().over(w))

@@ -14,6 +14,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Non-null columns the page-flow questions read (see conform_visits).
+REQUIRED = ["session_id", "page_id", "action_time"]
+
 # action_time prefixes 'yyyy-MM-dd HH:mm:ss' (second) and 'yyyy-MM-dd HH:mm'
 # (minute): the time buckets adjacent pairs are found in, finest first.
 BUCKET_LEVELS = (19, 16)

@@ -37,26 +37,39 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def batch_queries(p: Params = P0) -> dict[str, Query]:
-    v = inputs.visits
     a = inputs.ads
 
+    def v(s, d):  # all required columns (queries returning whole rows)
+        return inputs.visits(s, d)
+
+    def vc(s, d):  # the columns the category questions read
+        return inputs.visits(s, d, C.REQUIRED)
+
+    def vs(s, d):  # ... plus the session
+        return inputs.visits(s, d, C.SESSION_REQUIRED)
+
+    def vp(s, d):  # the columns the page-flow questions read
+        return inputs.visits(s, d, P.REQUIRED)
+
     def top(s, d):
-        return C.category_top10(v(s, d), p.top_categories)
+        return C.category_top10(vc(s, d), p.top_categories)
 
     return {
         "visits_conformed": lambda s, d: v(s, d),
         "visits_in_range": lambda s, d: visits_in_range(v(s, d), p.start, p.end),
-        "category_action_facts": lambda s, d: C.category_action_facts(v(s, d)),
-        "category_counts": lambda s, d: C.category_counts(v(s, d)),
+        "category_action_facts": lambda s, d: C.category_action_facts(vc(s, d)),
+        "category_counts": lambda s, d: C.category_counts(vc(s, d)),
         "category_top10": top,
-        "category_clicks_in_top10": lambda s, d: C.category_clicks_in_top10(v(s, d), n=p.top_categories),
-        "category_session_clicks": lambda s, d: C.category_session_clicks(v(s, d)),
+        "category_clicks_in_top10": lambda s, d: C.category_clicks_in_top10(
+            vs(s, d), n=p.top_categories, ranking_visits=vc(s, d)),
+        "category_session_clicks": lambda s, d: C.category_session_clicks(vs(s, d)),
         "category_session_top10": lambda s, d: C.category_session_top10(
-            v(s, d), n_categories=p.top_categories, n_sessions=p.top_sessions),
-        "page_views_in_flow": lambda s, d: P.page_views_in_flow(v(s, d), p.path),
-        "page_transitions": lambda s, d: P.page_transitions(v(s, d)),
-        "page_transition_counts": lambda s, d: P.page_transition_counts(v(s, d), p.path),
-        "page_flow_rate": lambda s, d: P.page_flow_rate(v(s, d), p.path),
+            vs(s, d), n_categories=p.top_categories, n_sessions=p.top_sessions,
+            ranking_visits=vc(s, d)),
+        "page_views_in_flow": lambda s, d: P.page_views_in_flow(vp(s, d), p.path),
+        "page_transitions": lambda s, d: P.page_transitions(vp(s, d)),
+        "page_transition_counts": lambda s, d: P.page_transition_counts(vp(s, d), p.path),
+        "page_flow_rate": lambda s, d: P.page_flow_rate(vp(s, d), p.path),
         "ad_log_parse": lambda s, d: adlog.ad_log_parse(inputs.raw_lines(s, d, p.truncate_every)),
         "ad_log_rejects": lambda s, d: adlog.ad_log_rejects(inputs.raw_lines(s, d, p.truncate_every)),
         "ad_user_day_clicks": lambda s, d: A.ad_user_day_clicks(a(s, d)),

@@ -10,9 +10,11 @@ from clickscope.sources.adapters import (
 from clickscope.sources.tables import conform_visits, load_testdata
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conformed visit actions (quarantined rows left out)."""
-    good, _ = conform_visits(visit_actions_from_events(load_testdata(spark, sf_dir, "events", spread=True)))
+def visits(spark: SparkSession, sf_dir: str, required: list[str] | None = None) -> DataFrame:
+    """Conformed visit actions (quarantined rows left out); ``required`` as in
+    :func:`conform_visits` (default: every non-nullable column)."""
+    good, _ = conform_visits(visit_actions_from_events(load_testdata(spark, sf_dir, "events", spread=True)),
+                             required)
     return good
 
 

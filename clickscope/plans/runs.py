@@ -16,7 +16,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from clickscope.operators.category import category_top10
+from clickscope.operators.category import REQUIRED as CATEGORY_REQUIRED, category_top10
 from clickscope.plans import inputs
 from clickscope.session import scratch_path
 from clickscope.sinks.writers import overwrite_table
@@ -106,7 +106,7 @@ def _run_top3(spark, sf_dir, p, as_json: bool) -> DataFrame:
 
 
 def _table_roundtrip(spark, sf_dir, p) -> DataFrame:
-    name = overwrite_table(category_top10(inputs.visits(spark, sf_dir), p.top_categories),
+    name = overwrite_table(category_top10(inputs.visits(spark, sf_dir, CATEGORY_REQUIRED), p.top_categories),
                            "clickscope_category_top10",
                            path=scratch_path(spark, "table_category_top10"))
     return spark.table(name)

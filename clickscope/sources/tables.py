@@ -75,13 +75,19 @@ def visits_in_range(visits: DataFrame, start: str | None = None, end: str | None
 _REQUIRED = [f.name for f in VISIT_ACTION.fields if not f.nullable]
 
 
-def conform_visits(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
+def conform_visits(visits: DataFrame, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Cast the known columns to the visit-action schema.
 
     Returns ``(good, quarantine)``. A row whose required column is null (or
     does not cast) goes to quarantine instead of silently failing a later
     predicate such as ``click_category_id != -1`` (null there is neither a
     click nor a non-click). Columns not in the schema are kept as they are.
+
+    ``required`` names the columns to check (default: every non-nullable
+    column of the schema). A query passes the columns it reads, e.g.
+    :data:`clickscope.operators.category.REQUIRED`: a null in a column the
+    query never reads cannot change its result, and checking it would force
+    the scan to read that column, defeating column pruning.
     """
     present = set(visits.columns)
     cols = []
@@ -89,7 +95,7 @@ def conform_visits(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
         field = next((f for f in VISIT_ACTION.fields if f.name == c), None)
         cols.append(F.col(c).try_cast(field.dataType).alias(c) if field else F.col(c))
     typed = visits.select(*cols)
-    required = [c for c in _REQUIRED if c in present]
+    required = [c for c in (required if required is not None else _REQUIRED) if c in present]
     bad = F.lit(False)
     for c in required:
         bad = bad | F.col(c).isNull()

@@ -116,3 +116,16 @@ def test_broadcast_if_small_checks_rows(spark):
         assert "BroadcastHashJoin" not in plain._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_conform_keeps_column_pruning(spark, tmp_dir):
+    from clickscope.sources.tables import conform_visits
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    path = os.path.join(tmp_dir, "uva_prune")
+    visits_df(spark).write.parquet(path)
+    good, _ = conform_visits(spark.read.parquet(path), C.REQUIRED)
+    p = C.category_counts(good)._jdf.queryExecution().executedPlan().toString()
+    schema = p[p.index("ReadSchema: ") + len("ReadSchema: "):].split("\n")[0]
+    assert "click_category_id" in schema and "order_category_ids" in schema
+    assert "session_id" not in schema and "action_time" not in schema
+    assert "IsNotNull(click_category_id)" in p

@@ -133,6 +133,8 @@ def main(argv=None) -> None:
     ap.add_argument("--topic", default="ads_log")
     ap.add_argument("--root", help="shared folder for stream tables and checkpoints")
     ap.add_argument("--threshold", type=int, default=BLACKLIST_THRESHOLD_STORE_VARIANT)
+    ap.add_argument("--min-partitions", type=int, help="Kafka: split hot topic partitions over tasks")
+    ap.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: cap a micro-batch")
     ap.add_argument("--state-partitions", type=int,
                     help="state-store partitions of a new stateful stream (fixed once started)")
     a = ap.parse_args(argv)
@@ -156,7 +158,9 @@ def main(argv=None) -> None:
         else:
             out.show(100, truncate=False)
         return
-    lines = read_ad_log_kafka(spark, a.bootstrap_servers, a.topic)
+    lines = read_ad_log_kafka(spark, a.bootstrap_servers, a.topic,
+                              min_partitions=a.min_partitions,
+                              max_offsets_per_trigger=a.max_offsets_per_trigger)
     root = a.root or shared_dir(spark)
     start_stream_app(spark, a.app, lines, root, a.threshold,
                      state_partitions=a.state_partitions).awaitTermination()

@@ -50,17 +50,26 @@ def read_ad_log_files(spark: SparkSession, path: str,
 
 def read_ad_log_kafka(spark: SparkSession, bootstrap_servers: str,
                       topic: str = AD_LOG_TOPIC, starting_offsets: str = "latest",
+                      min_partitions: int | None = None,
+                      max_offsets_per_trigger: int | None = None,
                       extra_options: dict[str, str] | None = None) -> DataFrame:
     """Kafka source of ad-log lines (value column as text).
 
     Offsets are tracked in the streaming checkpoint, so a restarted query
-    resumes where it stopped. Needs the spark-sql-kafka package on the
-    cluster's classpath.
+    resumes where it stopped. ``min_partitions`` lets Spark split the offset
+    range of a hot topic partition (one producer holding a large share of
+    the log) across several tasks; ``max_offsets_per_trigger`` bounds the
+    size of a micro-batch after a backlog. Needs the spark-sql-kafka
+    package on the cluster's classpath.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (extra_options or {}).items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"))

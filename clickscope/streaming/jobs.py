@@ -93,7 +93,8 @@ def start_ad_log_parse(lines: DataFrame, parsed: KeyedTable, rejects: KeyedTable
 def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
                            trigger: dict | None = None,
                            late_tolerance: str | None = None,
-                           state_partitions: int | None = None) -> StreamingQuery:
+                           state_partitions: int | None = None,
+                           compact_every: int | None = 100) -> StreamingQuery:
     """Running clicks per (dt, province, city, adid), absolute values (hash set).
 
     The running count is a streaming aggregation (state in the state store,
@@ -103,26 +104,42 @@ def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
     """
     counts = running_counts(parsed_clicks(lines), ["province", "city", "adid"], late_tolerance)
     w = counts.writeStream.outputMode("update").foreachBatch(
-        lambda df, batch_id: table.write_batch(batch_id, df))
+        lambda df, batch_id: upsert_step(df, batch_id, table, compact_every))
     return _start(w, checkpoint, trigger, "ad_area_city_clicks", state_partitions, lines.sparkSession)
 
 
+def upsert_step(changed: DataFrame, batch_id: int, table: KeyedTable,
+                compact_every: int | None = None) -> None:
+    """Store a batch's changed rows; fold old batches into a snapshot now and then."""
+    table.write_batch(batch_id, changed)
+    _maybe_compact(batch_id, compact_every, table)
+
+
+def _maybe_compact(batch_id: int, every: int | None, *tables: KeyedTable) -> None:
+    if every and batch_id > 0 and batch_id % every == 0:
+        for t in tables:
+            t.compact(batch_id)
+
+
 def start_area_city_clicks_incr(lines: DataFrame, table: KeyedTable, checkpoint: str,
-                                trigger: dict | None = None) -> StreamingQuery:
+                                trigger: dict | None = None,
+                                compact_every: int | None = 100) -> StreamingQuery:
     """Clicks per (dt, province, city, adid) as per-batch increments (counter add).
 
     Stateless in Spark: each batch's counts are stored as that batch's
     increments in ``table`` (kind ``add``); a replay rewrites the same
     increments, so nothing is counted twice.
     """
-    w = lines.writeStream.foreachBatch(lambda b, i: area_city_incr_step(b, i, table))
+    w = lines.writeStream.foreachBatch(lambda b, i: area_city_incr_step(b, i, table, compact_every))
     return _start(w, checkpoint, trigger, "ad_area_city_clicks_incr")
 
 
-def area_city_incr_step(batch: DataFrame, batch_id: int, table: KeyedTable) -> None:
+def area_city_incr_step(batch: DataFrame, batch_id: int, table: KeyedTable,
+                        compact_every: int | None = None) -> None:
     inc = (parsed_clicks(batch).groupBy("dt", "province", "city", "adid")
            .agg(F.count(F.lit(1)).alias("clicks")))
     table.write_batch(batch_id, inc)
+    _maybe_compact(batch_id, compact_every, table)
 
 
 def rank_top_ads(area_clicks: DataFrame, n: int = TOP_ADS) -> DataFrame:
@@ -160,9 +177,7 @@ def top3_step(changed: DataFrame, batch_id: int, area: KeyedTable, top: KeyedTab
     current = area.state(before=batch_id + 1, only=touched, on=["dt", "province"],
                          prune_values=_folder_partitions(area, batch_id))
     top.write_batch(batch_id, rank_top_ads(current, n))
-    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        area.compact(batch_id)
-        top.compact(batch_id)
+    _maybe_compact(batch_id, compact_every, area, top)
 
 
 def start_console_preview(stream: DataFrame, checkpoint: str, rows: int = 20,
@@ -220,6 +235,4 @@ def blacklist_step(batch: DataFrame, batch_id: int, counts: KeyedTable, blacklis
     new = (totals.where(F.col("clicks") >= threshold).select("userid").distinct()
            .join(banned, "userid", "left_anti"))
     blacklist.write_batch(batch_id, new)
-    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        counts.compact(batch_id)
-        blacklist.compact(batch_id)
+    _maybe_compact(batch_id, compact_every, counts, blacklist)

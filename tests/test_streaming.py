@@ -114,3 +114,12 @@ def test_state_expiry_option_keeps_results(spark, tmp_dir):
     q.awaitTermination(300)
     assert {(r.dt, r.adid, r.clicks) for r in area.state().collect()} == {
         ("2019-01-01", "a1", 5), ("2019-01-01", "a2", 1)}
+
+
+def test_incremental_counts_with_compaction(spark, tmp_dir):
+    t = KeyedTable(spark, os.path.join(tmp_dir, "inc"), ["dt", "province", "city", "adid"], ["clicks"], kind="add")
+    for i, part in enumerate([BATCH0[:2], BATCH0[2:], BATCH1]):
+        jobs.area_city_incr_step(lines_df(spark, part), i, t, compact_every=1)
+    assert {(r.adid, r.clicks) for r in t.state().collect()} == {("a1", 5), ("a2", 1)}
+    jobs.area_city_incr_step(lines_df(spark, BATCH1), 2, t, compact_every=1)  # replay
+    assert {(r.adid, r.clicks) for r in t.state().collect()} == {("a1", 5), ("a2", 1)}

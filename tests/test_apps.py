@@ -38,3 +38,16 @@ def test_cli_main_on_test_tables(spark, capsys):
     apps.main(["page-flow", "--testdata", sf])
     out = capsys.readouterr().out
     assert "page_flow" in out and "1-2" in out
+
+
+def test_jdbc_sink_argument_level(spark):
+    """No database may be started here: check the writer reaches the JDBC
+    driver lookup with the right options and fails cleanly without one."""
+    import pytest
+    from clickscope.sinks import append_jdbc
+    df = spark.createDataFrame([("t", "1", 1, 2, 3)], "task_id string, category_id string, "
+                               "click_count long, order_count long, pay_count long")
+    with pytest.raises(Exception) as err:
+        append_jdbc(df, "jdbc:nosuchdb://nowhere/mall", "category_top10", user="u", password="p",
+                    num_partitions=1)
+    assert "driver" in str(err.value).lower()

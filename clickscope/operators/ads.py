@@ -15,7 +15,6 @@ from clickscope.functions.render import ordered_json_object
 from clickscope.functions.timefmt import epoch_ms_to_day
 
 
-
 def with_day(ads: DataFrame) -> DataFrame:
     return ads if "dt" in ads.columns else ads.withColumn("dt", epoch_ms_to_day("ts_ms"))
 

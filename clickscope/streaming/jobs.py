@@ -116,9 +116,11 @@ def upsert_step(changed: DataFrame, batch_id: int, table: KeyedTable,
 
 
 def _maybe_compact(batch_id: int, every: int | None, *tables: KeyedTable) -> None:
+    """Every ``every`` batches: snapshot each table, then delete what is obsolete."""
     if every and batch_id > 0 and batch_id % every == 0:
         for t in tables:
             t.compact(batch_id)
+            t.expire()
 
 
 def start_area_city_clicks_incr(lines: DataFrame, table: KeyedTable, checkpoint: str,

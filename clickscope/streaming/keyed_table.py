@@ -22,6 +22,7 @@ the partitions those keys fall in (see :meth:`KeyedTable.state`).
 ``<path>/_snapshots/upto=N`` (a hidden folder, not read as a batch); later
 reads start from the newest snapshot, so a long-running stream reads one
 snapshot plus the recent batches instead of its whole history.
+``expire()`` then deletes what no read or replay can need any more.
 """
 
 from __future__ import annotations
@@ -215,6 +216,29 @@ class KeyedTable:
         return rows.groupBy(*self.keys).agg(latest).select(*self.keys, "_v.*")
 
     # -- maintenance ----------------------------------------------------
+    def expire(self) -> list[str]:
+        """Delete folders made obsolete by compaction; returns what was removed.
+
+        The two newest snapshots are kept, and only batch folders up to the
+        older of the two (and snapshots before it) are deleted. A replayed
+        batch N reads the state before N: for N at or after the newest
+        snapshot, that is the older kept snapshot plus the batches after
+        it, which all stay. Nothing is removed while fewer than two
+        snapshots exist.
+        """
+        snaps = self._committed(self._snap_root(), "upto")
+        if len(snaps) < 2:
+            return []
+        floor = snaps[-2]
+        doomed = [self._batch_path(i) for i in self._committed(self.path, BATCH_COL) if i <= floor]
+        doomed += [os.path.join(self._snap_root(), f"upto={u}") for u in snaps if u < floor]
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for d in doomed:
+            path = jvm.org.apache.hadoop.fs.Path(d)
+            path.getFileSystem(conf).delete(path, True)
+        return doomed
+
     def compact(self, upto: int) -> None:
         """Fold all batches ``<= upto`` into snapshot ``upto``."""
         snap = self.state(before=upto + 1)

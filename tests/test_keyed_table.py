@@ -111,3 +111,20 @@ def test_batch_partitions_from_folders(spark, tmp_dir):
     only = spark.createDataFrame([("2019-01-01", "a", 0)], s3)
     got = t.state(only=only, prune_values=t.batch_partitions(0))
     assert [tuple(r) for r in got.collect()] == [("2019-01-01", "a", 1)]
+
+
+def test_expire_keeps_what_replays_need(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], ["v"], kind="add")
+    for i in range(6):
+        t.write_batch(i, _df(spark, [("a", 1), (f"x{i}", i)]))
+        if i in (1, 3, 5):
+            t.compact(i)
+    full = _state(t)
+    before5 = _state(t, before=5)
+    removed = t.expire()
+    assert removed and all("batch_id=5" not in r and "upto=5" not in r and "upto=3" not in r for r in removed)
+    assert _state(t) == full and _state(t, before=5) == before5
+    t.write_batch(5, _df(spark, [("a", 1), ("x5", 5)]))  # replay of the newest batch
+    t.compact(5)
+    assert _state(t) == full
+    assert t.expire() == []  # nothing further is obsolete

@@ -123,3 +123,17 @@ def test_incremental_counts_with_compaction(spark, tmp_dir):
     assert {(r.adid, r.clicks) for r in t.state().collect()} == {("a1", 5), ("a2", 1)}
     jobs.area_city_incr_step(lines_df(spark, BATCH1), 2, t, compact_every=1)  # replay
     assert {(r.adid, r.clicks) for r in t.state().collect()} == {("a1", 5), ("a2", 1)}
+
+
+def test_blacklist_loop_with_expiry_and_replay(spark, tmp_dir):
+    counts, bl = _tables(spark, tmp_dir)
+    lines = BATCH0 + BATCH1 + [l.replace("u1", "u3") for l in BATCH0]
+    parts = [[x] for x in lines]
+    for i, part in enumerate(parts):
+        jobs.blacklist_step(lines_df(spark, part), i, counts, bl, 3, compact_every=1)
+    want_bl = sorted(r.userid for r in bl.state().collect())
+    want_counts = _counts(counts)
+    last = len(parts) - 1
+    jobs.blacklist_step(lines_df(spark, parts[last]), last, counts, bl, 3, compact_every=1)  # replay
+    assert sorted(r.userid for r in bl.state().collect()) == want_bl == ["u1", "u3"]
+    assert _counts(counts) == want_counts

@@ -26,7 +26,10 @@ def jvm_split(col: Column | str, sep: str = ",") -> Column:
     s = re.escape(sep)
     only_seps = c.rlike(f"^(?:{s})+$")
     stripped = F.regexp_replace(c, f"(?:{s})+$", "")
+    # Only a string ending in the separator differs from Spark's split, so
+    # the common case skips both regular expressions.
     return (F.when(c.isNull(), F.lit(None).cast("array<string>"))
+            .when(~c.endswith(F.lit(sep)), F.split(c, s))
             .when(only_seps, F.array().cast("array<string>"))
             .otherwise(F.split(stripped, s)))
 

@@ -162,3 +162,29 @@ def test_top3_stream_equals_batch_for_any_cut(spark, tmp_dir):
                                  compact_every=2, state_partitions=4)
         q.awaitTermination(600)
         assert sorted(tuple(r) for r in jobs.top3_json(top).collect()) == want, n
+
+
+def test_late_tolerance_drops_clicks_behind_the_watermark(spark, tmp_dir):
+    day = 86_400_000
+    T = 1546300800000  # 2019-01-01
+    batches = [[f"{T + 5 * day} A x u1 a1"],            # day 6 moves the watermark to day 4
+               [f"{T + 5 * day} A x u1 a1"],            # a second batch advances it
+               [f"{T + day} A x u2 a1", f"{T + 5 * day + 1} A x u1 a1"]]  # day 2 is 4 days late
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for i, b in enumerate(batches):
+        path = os.path.join(src, f"part-{i}.txt")
+        with open(path, "w") as f:
+            f.write("\n".join(b) + "\n")
+        os.utime(path, (time.time() + i * 10,) * 2)
+
+    def run(name, tolerance):
+        t = KeyedTable(spark, os.path.join(tmp_dir, name), ["dt", "province", "city", "adid"], ["clicks"])
+        q = jobs.start_area_city_clicks(read_ad_log_files(spark, src, max_files_per_trigger=1), t,
+                                        os.path.join(tmp_dir, name + "-chk"), {"availableNow": True},
+                                        late_tolerance=tolerance)
+        q.awaitTermination(300)
+        return {(r.dt, r.clicks) for r in t.state().collect()}
+
+    assert run("late", "2 days") == {("2019-01-06", 3)}
+    assert run("keep", None) == {("2019-01-06", 3), ("2019-01-02", 1)}

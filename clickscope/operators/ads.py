@@ -16,6 +16,7 @@ from clickscope.functions.timefmt import epoch_ms_to_day
 
 
 def with_day(ads: DataFrame) -> DataFrame:
+    """Add ``dt``, the UTC day of ``ts_ms``, unless the frame already has it."""
     return ads if "dt" in ads.columns else ads.withColumn("dt", epoch_ms_to_day("ts_ms"))
 
 

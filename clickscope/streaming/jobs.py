@@ -75,6 +75,7 @@ def _folder_partitions(table: KeyedTable, batch_id: int) -> list[tuple] | None:
 
 
 def parse_step(batch: DataFrame, batch_id: int, parsed: KeyedTable, rejects: KeyedTable) -> None:
+    """Store one micro-batch's accepted clicks and rejected lines (parsed once)."""
     p = parse_ad_log(batch).persist()
     try:
         parsed.write_batch(batch_id, p.where("_ok").select(*AD_COLS))

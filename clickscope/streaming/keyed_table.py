@@ -41,6 +41,13 @@ MAX_PRUNE_VALUES = 1000
 
 @dataclass
 class KeyedTable:
+    """A replay-safe keyed store at ``path`` (see the module notes).
+
+    ``keys`` identify a row, ``values`` are resolved by ``kind``; ``schema``
+    is needed only to read the table before its first write; ``partition_by``
+    (key columns) lays the folders out for pruned lookups.
+    """
+
     spark: SparkSession
     path: str
     keys: list[str]

@@ -188,3 +188,14 @@ def test_late_tolerance_drops_clicks_behind_the_watermark(spark, tmp_dir):
 
     assert run("late", "2 days") == {("2019-01-06", 3)}
     assert run("keep", None) == {("2019-01-06", 3), ("2019-01-02", 1)}
+
+
+def test_console_preview_runs(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(BATCH0) + "\n")
+    stream = jobs.parsed_clicks(read_ad_log_files(spark, src))
+    q = jobs.start_console_preview(stream, os.path.join(tmp_dir, "chk"), rows=3, trigger={"availableNow": True})
+    assert q.awaitTermination(300)
+    assert q.exception() is None and q.lastProgress["numInputRows"] == 5

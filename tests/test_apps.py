@@ -51,3 +51,21 @@ def test_jdbc_sink_argument_level(spark):
         append_jdbc(df, "jdbc:nosuchdb://nowhere/mall", "category_top10", user="u", password="p",
                     num_partitions=1)
     assert "driver" in str(err.value).lower()
+
+
+def test_other_stream_apps(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(BATCH0 + BATCH1) + "\n")
+    root = os.path.join(tmp_dir, "root")
+    for name in ("area-city-clicks", "area-city-clicks-incr", "area-top3"):
+        q = apps.start_stream_app(spark, name, read_ad_log_files(spark, src), root,
+                                  trigger={"availableNow": True}, state_partitions=2)
+        assert q.awaitTermination(300) and q.exception() is None
+    t = apps.stream_tables(spark, root)
+    want = {("a1", 5), ("a2", 1)}
+    assert {(r.adid, r.clicks) for r in t["area_city"].state().collect()} == want
+    assert {(r.adid, r.clicks) for r in t["area_city_incr"].state().collect()} == want
+    from clickscope.streaming.jobs import top3_json
+    assert [r.value_json for r in top3_json(t["top3"]).collect()] == ['{"a1":5,"a2":1}']

@@ -37,6 +37,8 @@ KINDS = ("put", "add", "set", "log")
 BATCH_COL = "batch_id"
 # A lookup prunes partitions only for up to this many distinct partition values.
 MAX_PRUNE_VALUES = 1000
+# Folder name Spark gives the partition of null values.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass
@@ -139,8 +141,9 @@ class KeyedTable:
         prefix = self.partition_by[0] + "="
         if not fs.exists(base):
             return []
-        return [(unquote(st.getPath().getName()[len(prefix):]),) for st in fs.listStatus(base)
-                if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+        values = [unquote(st.getPath().getName()[len(prefix):]) for st in fs.listStatus(base)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+        return [(None if v == NULL_PARTITION else v,) for v in values]
 
     def state(self, before: int | None = None, only: DataFrame | None = None,
               on: list[str] | None = None, prune_values: list[tuple] | None = None) -> DataFrame:
@@ -170,7 +173,9 @@ class KeyedTable:
             if not set(on) <= set(self.keys):
                 raise ValueError("state(on=...) must name key columns")
             rows = self._prune(rows, only, on, prune_values)
-            rows = rows.join(only.select(*on).distinct(), on, "left_semi")
+            wanted = only.select(*on).distinct()
+            # Null-safe key match (a null key is a key too); still an equi-join.
+            rows = rows.join(wanted, [rows[c].eqNullSafe(wanted[c]) for c in on], "left_semi")
         return self._resolve(rows)
 
     def members(self, before: int | None = None) -> DataFrame:
@@ -196,12 +201,16 @@ class KeyedTable:
         if len(values) > MAX_PRUNE_VALUES:
             return rows
         if len(cols) == 1:
-            return rows.where(F.col(cols[0]).isin([v[0] for v in values]))
+            present = [v[0] for v in values if v[0] is not None]
+            cond = F.col(cols[0]).isin(present)
+            if len(present) < len(values):  # a null partition value
+                cond = cond | F.col(cols[0]).isNull()
+            return rows.where(cond)
         cond = F.lit(False)
         for v in values:
             match = F.lit(True)
             for c, x in zip(cols, v):
-                match = match & (F.col(c) == F.lit(x))
+                match = match & (F.col(c).isNull() if x is None else F.col(c) == F.lit(x))
             cond = cond | match
         return rows.where(cond)
 

@@ -9,6 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickscope.llm import langid as op5
+from clickscope.llm import mixing as op2
+from clickscope.llm import packing as op10
 from clickscope.llm import simhash as op4
 from clickscope.llm import token_counts as op1
 from clickscope.llm import topk as op8
@@ -28,6 +31,38 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return op2.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+OP2_SQL = r"""WITH d AS (SELECT doc_id, source,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|', md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+  FROM d GROUP BY source),
+w AS (SELECT *, CAST(r % 3 + 1 AS DOUBLE) AS w, CAST(3 * source_size AS DOUBLE) AS cap FROM s),
+b AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS total,
+  coalesce(sum(cap) OVER (ORDER BY source_size / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  sum(w) OVER (ORDER BY source_size / w, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM w),
+f AS (SELECT *, cap * rest <= w * (total - before) AS is_full FROM b),
+g AS (SELECT *, sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER () AS held,
+  sum(CASE WHEN is_full THEN 0 ELSE w END) OVER () AS share FROM f),
+t AS (SELECT *, CASE WHEN is_full THEN cap ELSE w * (total - held) / share END AS target FROM g),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
+q AS (SELECT *, CAST(floor(target - passes * source_size + 0.5) AS BIGINT) AS part FROM p),
+m AS (SELECT d.doc_id, d.size, q.*, CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+k AS (SELECT *, passes * size + least(greatest(part - start, 0), size) AS taken,
+  w * (CAST(start AS DOUBLE) / CAST(passes * source_size + part AS DOUBLE)) AS x FROM m)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken, CASE WHEN taken = 0 THEN NULL
+  WHEN w = 1 THEN 2 * x / (0.5 + sqrt(0.25 + 2 * x)) WHEN w = 2 THEN x / 2
+  WHEN x < 2 THEN 2 * x / (5 + sqrt(25 - 8 * x)) ELSE 0.5 + 2 * (x - 2) / (3 + sqrt(9 - 8 * (x - 2))) END AS position
+FROM k"""
+
+
 def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     op3.write_warc(op3.page_records(table(spark, sf_dir, "pages"), min_revisit_bytes=0), path)
@@ -49,6 +84,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", op4.hex16("fingerprint").alias("fingerprint"), "component_id"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return op5.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, every=50)
 
@@ -62,14 +102,21 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2, capacity=4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_mixing": op2_mixing,
         "op3_warc_round_trip": op3_warc_round_trip,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
+        "op5_language_id": op5_language_id,
         "op8_exact_top_k": op8_exact_top_k,
+        "op10_packing": op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_round_trip": OP3_SQL, "op8_exact_top_k": OP8_SQL}
+    return {"op2_mixing": OP2_SQL, "op3_warc_round_trip": OP3_SQL, "op8_exact_top_k": OP8_SQL}

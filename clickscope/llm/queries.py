@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickscope.llm import langid as op5
+from clickscope.llm import line_dedup as op6
 from clickscope.llm import mixing as op2
 from clickscope.llm import packing as op10
 from clickscope.llm import simhash as op4
@@ -89,6 +90,30 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op6.dedup_lines(table(spark, sf_dir, "documents"), edits=2, min_chars=24)
+    return found.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join("dropped", ",").alias("dropped"))
+
+
+OP6_SQL = """WITH l AS (SELECT doc_id, unnest(range(0, len(a))) AS pos, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
+x AS (SELECT *, {'d': doc_id, 'p': pos} AS place FROM l WHERE trim(line) <> ''),
+f AS (SELECT line, min(place) AS first, length(line) AS n, length(replace(line, 'e', '')) AS e,
+  length(replace(line, 'a', '')) AS a, length(replace(line, 'n', '')) AS m, length(replace(line, 't', '')) AS t
+  FROM x GROUP BY line),
+near AS (SELECT DISTINCT a.line FROM (SELECT *, unnest([-2, -1, 0, 1, 2]) AS more FROM f WHERE n >= 24) a
+  JOIN f b ON b.n = a.n + a.more AND b.first < a.first AND b.line <> a.line
+  WHERE b.n >= 24 AND abs(b.e - a.e) <= 2 AND abs(b.a - a.a) <= 2 AND abs(b.m - a.m) <= 2 AND abs(b.t - a.t) <= 2
+  AND levenshtein(a.line, b.line) <= 2),
+g AS (SELECT x.doc_id, x.pos, x.place = f.first AS is_first FROM x JOIN f USING (line)
+  WHERE x.place <> f.first OR x.line IN (SELECT line FROM near)),
+h AS (SELECT doc_id, count(*) FILTER (NOT is_first) AS n_exact, count(*) FILTER (is_first) AS n_near,
+  string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS dropped FROM g GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(n_exact, 0) AS BIGINT) AS n_exact, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+  coalesce(dropped, '') AS dropped FROM documents d LEFT JOIN h USING (doc_id)"""
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, every=50)
 
@@ -113,10 +138,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc_round_trip": op3_warc_round_trip,
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op5_language_id": op5_language_id,
+        "op6_line_dedup": op6_line_dedup,
         "op8_exact_top_k": op8_exact_top_k,
         "op10_packing": op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op3_warc_round_trip": OP3_SQL, "op8_exact_top_k": OP8_SQL}
+    return {"op2_mixing": OP2_SQL, "op3_warc_round_trip": OP3_SQL, "op6_line_dedup": OP6_SQL,
+            "op8_exact_top_k": OP8_SQL}

@@ -73,7 +73,7 @@ def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
 g AS (SELECT h, max(page_id) AS top FROM p GROUP BY h)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((CAST('0x' || substr(p.h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest,
   CASE WHEN top > page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN top > page_id THEN top END AS refers_to
@@ -118,10 +118,10 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, every=50)
 
 
-OP8_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
-  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+OP8_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-  CAST(list_sum(list_transform(range(1, len(q.x) + 1), i -> q.x[i] * c.x[i])) AS BIGINT) AS score
+  CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickscope.llm import langid as op5
 from clickscope.llm import line_dedup as op6
+from clickscope.llm import lm_scoring as op9
 from clickscope.llm import mixing as op2
 from clickscope.llm import packing as op10
 from clickscope.llm import simhash as op4
@@ -127,6 +128,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2, capacity=4096)
 
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op6_line_dedup": op6_line_dedup,
         "op8_exact_top_k": op8_exact_top_k,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_packing": op10_packing,
     }
 

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickscope.llm import embedding_dedup as op7
 from clickscope.llm import langid as op5
 from clickscope.llm import line_dedup as op6
 from clickscope.llm import lm_scoring as op9
@@ -115,6 +116,22 @@ SELECT d.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) A
   coalesce(dropped, '') AS dropped FROM documents d LEFT JOIN h USING (doc_id)"""
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)[0]
+
+
+OP7_SQL = """WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+r AS (SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id),
+c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN c USING (vec_id) LEFT JOIN n ON n.a = e.vec_id"""
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, every=50)
 
@@ -144,6 +161,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash_near_dedup": op4_simhash_near_dedup,
         "op5_language_id": op5_language_id,
         "op6_line_dedup": op6_line_dedup,
+        "op7_embedding_near_dedup": op7_embedding_near_dedup,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_packing": op10_packing,
@@ -152,4 +170,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_mixing": OP2_SQL, "op3_warc_round_trip": OP3_SQL, "op6_line_dedup": OP6_SQL,
-            "op8_exact_top_k": OP8_SQL}
+            "op7_embedding_near_dedup": OP7_SQL, "op8_exact_top_k": OP8_SQL}

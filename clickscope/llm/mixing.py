@@ -89,7 +89,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) ->
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        schedules=SCHEDULES, cap: float = 3.0, keep: list[str] | None = None) -> DataFrame:
+        schedules=SCHEDULES, cap: float = 3.0, keep: list[str] | None = None, each_copy: bool = False) -> DataFrame:
     """One row for each document row, range-sorted by training position.
 
     Adds ``size`` (words), ``source_size``, ``target``, ``taken`` (words the mix takes of the row, repeats
@@ -97,7 +97,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     null if none is taken) to the columns ``keep`` (default: the id). A source
     is gone through floor(target / size) times, then its documents are taken in hash order up to
     the rest, the last one in part, so its words taken differ from its target by rounding only. ``cap``
-    bounds the passes. A null text has size 0; null is a source of its own,
+    bounds the passes. With ``each_copy`` a row comes ``copies`` times, each at its own position. A null text has size 0; null is a source of its own,
     the last; rows without words are never taken. Equal rows are told apart by nothing and
     take consecutive stretches. Reruns agree. An empty table gives no row.
     """
@@ -128,13 +128,19 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     part = F.least(F.greatest(F.col("_m_rest") - begin, F.lit(0)), F.col(size))
     taken = F.col("_m_passes") * F.col(size) + part
     demand = F.col("_m_passes") * F.col("_m_source_size") + F.col("_m_rest")
-    share = begin / demand
+    copies = F.when(F.col(size) > 0, F.col("_m_passes") + F.when((part > 0) & (part * 2 >= F.col(size)), 1).otherwise(0))
+    copies = F.coalesce(copies, F.lit(0)).cast("bigint")
+    done = F.lit(0)  # words of its source that come before this copy in earlier passes
+    if each_copy:
+        (turn,) = fresh(d.columns, "_turn")
+        d = d.where(copies > 0).withColumn(turn, F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)))
+        done = F.col(turn) * F.col("_m_source_size")
+    share = (done + begin) / demand
     where = reduce(lambda otherwise, k: F.when(F.col("_m_rank") % len(schedules) == k,
                                                time_at(share * F.lit(weights[k]), schedules[k])).otherwise(otherwise),
                    range(len(schedules)), F.lit(None).cast("double"))
     out = d.select(*keep, F.col(size).alias("size"), F.col("_m_source_size").alias("source_size"),
                    F.col("_m_target").alias("target"), taken.cast("bigint").alias("taken"),
-                   (F.col("_m_passes") + F.when(part * 2 >= F.col(size), F.when(part > 0, 1).otherwise(0)).otherwise(0))
-                   .cast("bigint").alias("copies"),
+                   copies.alias("copies"),
                    F.when(taken > 0, where).alias("position"))
     return out.orderBy(F.col("position").asc_nulls_last(), doc_id)

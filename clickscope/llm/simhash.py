@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from clickscope.llm.common import connected_components, fresh, stage
+from clickscope.llm.common import connected_components, stage
 
 SEED = 42
 BLOCK = 4096
@@ -159,6 +159,21 @@ def near_edges(nodes: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
             .mapInArrow(_bucket_edges(radius), "a long, b long"))
 
 
+def _classes(docs: DataFrame, doc_id: str, text: str, words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Staged ``(doc_id, th, fp)`` of each row, and ``(fp, root, component_id)`` of each fingerprint."""
+    fps = stage(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"),
+                            fingerprint_column(text, words).alias("fp")), "simhash_fps")
+    nodes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_nodes")
+    roots = stage(connected_components(near_edges(nodes.select("fp"), radius)), "simhash_roots")
+    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    linked = placed.where("root is not null")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    whole = stage(linked.join(least, "root").select("fp", "root", "component_id")
+                  .unionByName(placed.where("root is null").select("fp", F.col("fp").alias("root"),
+                                                                   F.col("least").alias("component_id"))), "simhash_classes")
+    return fps, whole
+
+
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        words: int = 4, radius: int = 4) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, one row for each input row.
@@ -169,19 +184,29 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     their fingerprint; other columns are left out. Fingerprints are staged once;
     the components are found among distinct fingerprints.
     """
-    i, f = fresh([], "doc_id", "fp")
-    fps = stage(docs.select(F.col(doc_id).alias(i), fingerprint_column(text, words).alias(f)), "simhash_fps")
-    nodes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_nodes")
-    roots = stage(connected_components(near_edges(nodes.select("fp"), radius)), "simhash_roots")
-    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    linked = placed.where("root is not null")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    whole = stage(linked.join(least, "root").select("fp", "component_id")
-                  .unionByName(placed.where("root is null").select("fp", F.col("least").alias("component_id"))),
-                  "simhash_classes")
+    fps, whole = _classes(docs, doc_id, text, words, radius)
     return fps.join(whole, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one row of each component of :func:`simhash_components`: that of the
+    smallest id (a null id after all others), then the smallest text hash; of equal rows any."""
+    fps, whole = _classes(docs, doc_id, text, words, radius)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    best = fps.join(whole, "fp").groupBy("root").agg(F.min(rank).alias("best")).select("best.doc_id", "best.th")
+    rows = fps.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("times"))
+    best = stage(best.join(rows, best["doc_id"].eqNullSafe(rows["doc_id"]) & (best["th"] == rows["th"]))
+                 .select(best["doc_id"].alias("_s_id"), best["th"].alias("_s_th"), "times"), "simhash_best")
+
+    def rows_of(which):
+        return docs.join(best.where(which), F.col(doc_id).eqNullSafe(F.col("_s_id"))
+                         & (F.xxhash64(text) == F.col("_s_th"))).select(*[F.col(c) for c in docs.columns], "_s_th")
+
+    once = rows_of("times = 1")
+    repeated = rows_of("times > 1").dropDuplicates([doc_id, "_s_th"])
+    return once.unionByName(repeated).drop("_s_th")
+
+
 def hex16(col):
     """A bigint's 64 bits as 16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(col)), 16, "0")

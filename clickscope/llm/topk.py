@@ -22,60 +22,65 @@ from clickscope.llm.common import stage
 
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 16384
+QUERIES_AT_ONCE = 64
 FIRST_DEPTH = 64
-
-
-def _add(low: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    if low.dtype == np.float64:
-        low += np.bincount(rows.ravel(), values.ravel(), len(low))
-    else:
-        np.add.at(low, rows.ravel(), values.ravel())
+STRETCHES = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16)  # depths, in sixteenths of a list
+LEAST = {"f": -np.inf, "i": np.iinfo(np.int64).min}
 
 
 class Lists:
-    """The sorted lists of one block of candidates."""
+    """The sorted lists of one block of candidates, and how deep each candidate stands in them."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
-        order = np.argsort(ids, kind="stable")  # ties by id: earlier row, smaller id
-        self.ids, self.x = ids[order], x[order]
-        self.order = np.argsort(-self.x, axis=0, kind="stable")  # by column, largest first
-        self.sorted = np.take_along_axis(self.x, self.order, 0)
-
-    def top(self, q: np.ndarray, k: int, skip=None) -> tuple[np.ndarray, np.ndarray, int]:
-        """(rows, scores, depth read) of the k best for ``q``; ``skip``: rows that take no part."""
+        by_id = np.argsort(ids, kind="stable")  # ties by id: earlier row, smaller id
+        self.ids, self.x = ids[by_id], x[by_id]
+        order = np.argsort(-self.x, axis=0, kind="stable")  # a list for each column, largest first
+        self.sorted = np.take_along_axis(self.x, order, 0)
+        self.place = np.empty(order.shape, np.int32)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.int32)[:, None], 0)
+
+    def top(self, q: np.ndarray, skip: list, k: int) -> tuple[list, list]:
+        """For each query (row of ``q``): the rows of its ``k`` best, and how deep the lists were read.
+
+        ``skip``: for each query the rows that take no part. Lists of positive
+        components are read from the top, those of negative ones from the bottom.
+        """
         n = len(self.x)
-        plus, minus = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        used = np.concatenate((plus, minus))
-        q = q[used]
-        worst = q * np.concatenate((self.sorted[-1, plus], self.sorted[0, minus]))
-        low = np.full(n, worst.sum(), self.x.dtype)  # lower bounds, nothing read yet
-        met = np.zeros((n, len(used)), bool)
-        alive = np.ones(n, bool)
-        if skip is not None:
-            alive[skip] = False
-        alive = np.flatnonzero(alive)
-        k = min(k, len(alive))
-        if not k:
-            return np.empty(0, np.int64), np.empty(0, self.x.dtype), 0
-        at, step = 0, max(FIRST_DEPTH, n // 16)
-        while at < n:
-            to = min(n, at + step)  # one more stretch of every list
-            rows = np.hstack((self.order[at:to, plus], self.order[n - to:n - at, minus]))
-            values = np.hstack((self.sorted[at:to, plus], self.sorted[n - to:n - at, minus]))
-            _add(low, rows, values * q - worst)
-            met[rows, np.arange(len(used))] = True
-            at = to
-            last = q * np.concatenate((self.sorted[at - 1, plus], self.sorted[n - at, minus]))
-            floor = np.partition(low[alive], len(alive) - k)[len(alive) - k]  # k-th largest lower bound
-            if last.sum() >= floor and at < n:
-                continue  # an unseen candidate may still qualify
-            high = low[alive] + (~met[alive]).astype(self.x.dtype) @ (last - worst)
-            alive = alive[high >= floor]
-            if len(alive) <= max(4 * k, n // 8):
+        plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+        best, depth, open_ = [None] * len(q), [n] * len(q), np.arange(len(q))
+        for m in sorted({min(n, max(FIRST_DEPTH, n * s // 16)) for s in STRETCHES}):
+            top, bottom = self.place < m, self.place >= n - m  # read so far
+            head, tail = self.sorted[m - 1], self.sorted[n - m]  # last values read
+
+            def bounds(rows, above, below):  # values read, and these for what is not
+                return (plus[rows] @ np.where(top, self.x, above).T
+                        + minus[rows] @ np.where(bottom, self.x, below).T)
+
+            low = bounds(open_, self.sorted[-1], self.sorted[0])
+            usable = np.full(len(open_), n)
+            for j, i in enumerate(open_):
+                low[j, skip[i]] = LEAST[low.dtype.kind]
+                usable[j] -= len(skip[i])
+            floor = (np.partition(low, n - k, axis=1)[:, n - k] if n >= k
+                     else np.full(len(open_), LEAST[low.dtype.kind]))  # k-th largest lower bound
+            floor = np.where(usable < k, LEAST[low.dtype.kind], floor)
+            unseen = plus[open_] @ head + minus[open_] @ tail  # the most an unseen candidate can score
+            ready = np.flatnonzero((unseen < floor) | (m == n))
+            done = np.zeros(len(open_), bool)
+            high = bounds(open_[ready], head, tail) if len(ready) else ()
+            for j, upper in zip(ready, high):
+                i, alive = open_[j], upper >= floor[j]
+                alive[skip[i]] = False
+                rows = np.flatnonzero(alive)
+                if m < n and len(rows) > max(4 * k, n // 8):
+                    continue
+                score = self.x[rows] @ q[i]  # resolve
+                pick = np.lexsort((rows, -score))[:k]
+                best[i], depth[i], done[j] = (rows[pick], score[pick]), m, True
+            open_ = open_[~done]
+            if not len(open_):
                 break
-        score = self.x[alive][:, used] @ q  # resolve
-        best = np.lexsort((alive, -score))[:k]
-        return alive[best], score[best], at
+        return best, depth
 
 
 def _block_top(k: int):
@@ -95,9 +100,11 @@ def _block_top(k: int):
         if most < 2.0 ** 53:
             q, x = q.astype(np.float64), x.astype(np.float64)
         lists, found = Lists(cid, x), []
-        for i in range(len(qid)):
-            rows, score, _ = lists.top(q[i], k, np.flatnonzero(lists.ids == qid[i]))
-            found.append((np.full(len(rows), qid[i]), lists.ids[rows], score.astype(np.int64)))
+        for i in range(0, len(qid), QUERIES_AT_ONCE):
+            ids = qid[i:i + QUERIES_AT_ONCE]
+            first, last = np.searchsorted(lists.ids, ids, "left"), np.searchsorted(lists.ids, ids, "right")
+            best, _ = lists.top(q[i:i + QUERIES_AT_ONCE], [np.arange(a, b) for a, b in zip(first, last)], k)
+            found += [(np.full(len(r), j), lists.ids[r], s.astype(np.int64)) for j, (r, s) in zip(ids, best)]
         cols = [np.concatenate(c) for c in zip(*found)]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=kind)
 

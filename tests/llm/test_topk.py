@@ -46,9 +46,10 @@ def test_lists_stop_early_and_are_exact():
     x[17] = x[3] + 1
     for kind in (np.float64, np.int64):
         lists = T.Lists(np.arange(4000), x.astype(kind))
-        rows, score, depth = lists.top(x[3].astype(kind), 5, np.array([3]))
-        full = x @ x[3]
-        full[3] = -np.inf
-        want = np.lexsort((np.arange(4000), -full))[:5]
-        assert rows.tolist() == want.tolist() and score.tolist() == full[want].tolist()
-        assert depth < 4000
+        best, depth = lists.top(x[3:9].astype(kind), [np.array([i]) for i in range(3, 9)], 5)
+        for i, (rows, score) in zip(range(3, 9), best):
+            full = x @ x[i]
+            full[i] = -np.inf
+            want = np.lexsort((np.arange(4000), -full))[:5]
+            assert rows.tolist() == want.tolist() and score.tolist() == full[want].tolist()
+        assert max(depth) < 4000

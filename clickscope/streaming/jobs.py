@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from clickscope.fixed import BATCH_INTERVAL, TOP3_KEY_PREFIX, TOP_ADS
 from clickscope.operators.ads import with_day
 from clickscope.functions.render import ordered_json_object
-from clickscope.functions.timefmt import epoch_ms_to_day
 from clickscope.sources.adlog import parse_ad_log
 from clickscope.streaming.keyed_table import KeyedTable
 
@@ -29,23 +28,13 @@ def parsed_clicks(lines: DataFrame) -> DataFrame:
     return with_day(parse_ad_log(lines).where("_ok").select(*AD_COLS))
 
 
-def running_counts(clicks: DataFrame, keys: list[str], late_tolerance: str | None = None) -> DataFrame:
+def running_counts(clicks: DataFrame, keys: list[str]) -> DataFrame:
     """Streaming count per (dt, *keys) as ``clicks``.
 
-    By default the day is a plain grouping column and state is kept for
-    every day forever (late clicks always count). With ``late_tolerance``
-    (e.g. ``"2 days"``) the day is a UTC-aligned one-day event-time window
-    under a watermark: once the watermark passes a day, its keys leave the
-    state store, and clicks arriving later than the tolerance are dropped.
+    The day is a plain grouping column and state is kept for every day, so
+    a late click always counts on its own day.
     """
-    cnt = F.count(F.lit(1)).alias("clicks")
-    if late_tolerance is None:
-        return clicks.groupBy("dt", *keys).agg(cnt)
-    ev = (clicks.withColumn("_event_ts", F.timestamp_millis("ts_ms"))
-          .withWatermark("_event_ts", late_tolerance))
-    day = F.window("_event_ts", "1 day").alias("_day")
-    return (ev.groupBy(day, *keys).agg(cnt)
-            .select(epoch_ms_to_day(F.unix_millis(F.col("_day.start"))).alias("dt"), *keys, "clicks"))
+    return clicks.groupBy("dt", *keys).agg(F.count(F.lit(1)).alias("clicks"))
 
 
 def _start(df_writer, checkpoint: str, trigger: dict | None, name: str,
@@ -69,6 +58,14 @@ def _start(df_writer, checkpoint: str, trigger: dict | None, name: str,
         spark.conf.set(key, old)
 
 
+def _of_run(batch: DataFrame, *tables: KeyedTable) -> tuple[KeyedTable, ...]:
+    """The tables, tied to the run (the checkpoint) that ``batch`` belongs to."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    for t in tables:
+        t.attach(run)
+    return tables
+
+
 def _folder_partitions(table: KeyedTable, batch_id: int) -> list[tuple] | None:
     """The partition values a batch wrote, read from its folder names."""
     return table.batch_partitions(batch_id) if len(table.partition_by) == 1 else None
@@ -87,13 +84,12 @@ def parse_step(batch: DataFrame, batch_id: int, parsed: KeyedTable, rejects: Key
 def start_ad_log_parse(lines: DataFrame, parsed: KeyedTable, rejects: KeyedTable,
                        checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Parse lines; accepted clicks and rejected lines go to two log tables."""
-    w = lines.writeStream.foreachBatch(lambda b, i: parse_step(b, i, parsed, rejects))
+    w = lines.writeStream.foreachBatch(lambda b, i: parse_step(b, i, *_of_run(b, parsed, rejects)))
     return _start(w, checkpoint, trigger, "ad_log_parse")
 
 
 def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
                            trigger: dict | None = None,
-                           late_tolerance: str | None = None,
                            state_partitions: int | None = None,
                            compact_every: int | None = 100) -> StreamingQuery:
     """Running clicks per (dt, province, city, adid), absolute values (hash set).
@@ -101,11 +97,10 @@ def start_area_city_clicks(lines: DataFrame, table: KeyedTable, checkpoint: str,
     The running count is a streaming aggregation (state in the state store,
     partial-aggregated before its shuffle); ``update`` mode emits only the
     keys a batch changed, which are upserted into ``table`` (kind ``put``).
-    ``late_tolerance`` bounds the state (see :func:`running_counts`).
     """
-    counts = running_counts(parsed_clicks(lines), ["province", "city", "adid"], late_tolerance)
+    counts = running_counts(parsed_clicks(lines), ["province", "city", "adid"])
     w = counts.writeStream.outputMode("update").foreachBatch(
-        lambda df, batch_id: upsert_step(df, batch_id, table, compact_every))
+        lambda df, batch_id: upsert_step(df, batch_id, *_of_run(df, table), compact_every))
     return _start(w, checkpoint, trigger, "ad_area_city_clicks", state_partitions, lines.sparkSession)
 
 
@@ -133,7 +128,8 @@ def start_area_city_clicks_incr(lines: DataFrame, table: KeyedTable, checkpoint:
     increments in ``table`` (kind ``add``); a replay rewrites the same
     increments, so nothing is counted twice.
     """
-    w = lines.writeStream.foreachBatch(lambda b, i: area_city_incr_step(b, i, table, compact_every))
+    w = lines.writeStream.foreachBatch(
+        lambda b, i: area_city_incr_step(b, i, *_of_run(b, table), compact_every))
     return _start(w, checkpoint, trigger, "ad_area_city_clicks_incr")
 
 
@@ -156,7 +152,6 @@ def rank_top_ads(area_clicks: DataFrame, n: int = TOP_ADS) -> DataFrame:
 def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpoint: str,
                     n: int = TOP_ADS, trigger: dict | None = None,
                     compact_every: int | None = 100,
-                    late_tolerance: str | None = None,
                     state_partitions: int | None = None) -> StreamingQuery:
     """Top-n ads per (dt, province) on the running counts.
 
@@ -166,9 +161,9 @@ def start_area_top3(lines: DataFrame, area: KeyedTable, top: KeyedTable, checkpo
     (a ranking cannot run on the stream itself) and upserts their top-n
     lists into ``top`` (kind ``put``, keyed by dt and province).
     """
-    counts = running_counts(parsed_clicks(lines), ["province", "adid"], late_tolerance)
+    counts = running_counts(parsed_clicks(lines), ["province", "adid"])
     w = counts.writeStream.outputMode("update").foreachBatch(
-        lambda b, i: top3_step(b, i, area, top, n, compact_every))
+        lambda b, i: top3_step(b, i, *_of_run(b, area, top), n, compact_every))
     return _start(w, checkpoint, trigger, "ad_area_top3", state_partitions, lines.sparkSession)
 
 
@@ -221,7 +216,7 @@ def start_blacklist(lines: DataFrame, counts: KeyedTable, blacklist: KeyedTable,
     so a batch reads one snapshot plus the recent batches.
     """
     w = lines.writeStream.foreachBatch(
-        lambda b, i: blacklist_step(b, i, counts, blacklist, threshold, compact_every))
+        lambda b, i: blacklist_step(b, i, *_of_run(b, counts, blacklist), threshold, compact_every))
     return _start(w, checkpoint, trigger, "ad_blacklist")
 
 

@@ -2,10 +2,15 @@
 
 A keyed table replaces an external key-value store (hash, counter, set).
 Each micro-batch writes only the rows it changed into one folder,
-``<path>/batch_id=N``, with ``mode("overwrite")``: Spark's file committer
-makes the folder's files visible only when the write job commits, and a
-replayed batch N rewrites the same content, so every update kind is
-idempotent under retries and restarts.
+``<path>/batch_id=N``, with ``mode("overwrite")``, and then a commit record
+under ``<path>/_commits``. A replayed batch N rewrites the same content, so
+every update kind is idempotent under retries and restarts. A folder
+without a record is an error once a later batch has one.
+
+Batch numbers start from 0 again with a new checkpoint. :meth:`KeyedTable.attach`
+gives each run (a checkpoint's query id) its own numbers after all
+earlier ones, recorded under ``<path>/_runs``; a run that a newer one has
+replaced may no longer write.
 
 Kinds (how the current state is resolved from the batch folders):
 
@@ -35,8 +40,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 KINDS = ("put", "add", "set", "log")
 BATCH_COL = "batch_id"
-# A lookup prunes partitions only for up to this many distinct partition values.
-MAX_PRUNE_VALUES = 1000
 # Folder name Spark gives the partition of null values.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -57,6 +60,8 @@ class KeyedTable:
     kind: str = "put"
     schema: T.StructType | None = None
     partition_by: list[str] = field(default_factory=list)
+    _first: int = field(default=0, init=False)   # the run's first batch number
+    _run: str | None = field(default=None, init=False)
 
     def __post_init__(self):
         if self.kind not in KINDS:
@@ -65,6 +70,9 @@ class KeyedTable:
             raise ValueError("partition_by must name key columns")
 
     def _writer(self, rows: DataFrame):
+        # Rows of one partition come together, so a batch writes few files.
+        if self.partition_by:
+            rows = rows.hint("rebalance", *self.partition_by)
         w = rows.write.mode("overwrite")
         return w.partitionBy(*self.partition_by) if self.partition_by else w
 
@@ -79,33 +87,69 @@ class KeyedTable:
         return list(self.keys) + list(self.values)
 
     # -- writing --------------------------------------------------------
+    def attach(self, run: str | None) -> None:
+        """Tie the table to a run; batch numbers of all calls are then the run's own.
+
+        A run new to the table starts after every number in use. An older
+        run than the table's newest is refused. ``None`` leaves the numbers as they are.
+        """
+        if run is None or run == self._run:
+            if run is not None and self._runs()[-1][1] != run:
+                raise RuntimeError(f"a newer run than {run} writes {self.path}")
+            return
+        runs = self._runs()
+        names = [r for _, r in runs]
+        if run in names:
+            if names[-1] != run:
+                raise RuntimeError(f"a newer run than {run} writes {self.path}")
+            self._first = runs[-1][0]
+        else:
+            marks = [n for n in self._names(os.path.join(self.path, "_commits")) if "=" in n]
+            self._first = max([-1, *(int(n.split("=", 1)[1]) for n in marks), *(f for f, _ in runs)]) + 1
+            for n in self._names(self.path):  # what a failed write of an earlier run left
+                if n.startswith(BATCH_COL + "=") and n not in marks:
+                    fs, p = self._fs(os.path.join(self.path, n))
+                    fs.delete(p, True)
+            self._touch("_runs", f"{self._first}={run}")
+        self._run = run
+
+    def _runs(self) -> list[tuple[int, str]]:
+        """(first batch number, run) in the order of their numbers."""
+        return sorted((int(n.split("=", 1)[0]), n.split("=", 1)[1]) for n in self._names(os.path.join(self.path, "_runs"))
+                      if "=" in n)
+
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _names(self, folder: str) -> list[str]:
+        """Names in a folder (one listing), on any file system that Spark reads."""
+        fs, p = self._fs(folder)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _touch(self, *place: str) -> None:
+        fs, p = self._fs(os.path.join(self.path, *place))
+        fs.create(p, True).close()
+
     def write_batch(self, batch_id: int, rows: DataFrame) -> None:
         """Store the rows batch ``batch_id`` changed (idempotent per batch id)."""
         rows = rows.select(*self._columns())
         if self.schema is None:
             self.schema = rows.schema
-        self._writer(rows).parquet(self._batch_path(batch_id))
+        self._writer(rows).parquet(self._batch_path(self._first + batch_id))
+        self._touch("_commits", f"{BATCH_COL}={self._first + batch_id}")
 
     # -- reading --------------------------------------------------------
-    def _committed(self, root: str, prefix: str) -> list[int]:
-        """Ids of committed ``<root>/<prefix>=N`` folders (those holding ``_SUCCESS``).
-
-        Uses the Hadoop FileSystem of the path, so it works the same on a
-        local disk, HDFS or an object store.
-        """
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        base = jvm.org.apache.hadoop.fs.Path(root)
-        fs = base.getFileSystem(conf)
-        if not fs.exists(base):
-            return []
-        ids = []
-        for st in fs.listStatus(base):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(prefix + "="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    ids.append(int(name.split("=", 1)[1]))
-        return sorted(ids)
+    def _committed(self) -> tuple[list[int], list[int]]:
+        """Numbers of committed batches and snapshots, in order (two listings)."""
+        marks = self._names(os.path.join(self.path, "_commits"))
+        batches, snaps = (sorted(int(n.split("=", 1)[1]) for n in marks if n.startswith(k + "=")) for k in (BATCH_COL, "upto"))
+        there = {int(n.split("=", 1)[1]) for n in self._names(self.path) if n.startswith(BATCH_COL + "=")}
+        unmarked = sorted(there - set(batches))
+        if unmarked and (not batches or unmarked[0] < batches[-1]):
+            raise RuntimeError(f"{self._batch_path(unmarked[0])} has no commit record")
+        return [i for i in batches if i in there], snaps
 
     def _empty(self) -> DataFrame:
         if self.schema is None:
@@ -115,10 +159,13 @@ class KeyedTable:
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields
               if f.name in self._columns()])
 
-    def changes(self, before: int | None = None, after: int = -1) -> DataFrame:
+    def changes(self, before: int | None = None, after: int | None = None) -> DataFrame:
         """Raw batch rows with ``after < batch_id < before`` (column ``batch_id`` kept)."""
-        ids = [i for i in self._committed(self.path, BATCH_COL)
-               if i > after and (before is None or i < before)]
+        return self._changes(self._committed()[0], None if before is None else self._first + before,
+                             -1 if after is None else self._first + after)
+
+    def _changes(self, batches: list[int], before: int | None, after: int) -> DataFrame:
+        ids = [i for i in batches if i > after and (before is None or i < before)]
         if not ids:
             return self._empty().withColumn(BATCH_COL, F.lit(0))
         reader = self.spark.read.option("basePath", self.path)
@@ -135,14 +182,9 @@ class KeyedTable:
         (no Spark job). Only for a table with a single partition column."""
         if len(self.partition_by) != 1:
             raise ValueError("batch_partitions needs exactly one partition column")
-        jvm = self.spark.sparkContext._jvm
-        base = jvm.org.apache.hadoop.fs.Path(self._batch_path(batch_id))
-        fs = base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         prefix = self.partition_by[0] + "="
-        if not fs.exists(base):
-            return []
-        values = [unquote(st.getPath().getName()[len(prefix):]) for st in fs.listStatus(base)
-                  if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+        values = [unquote(n[len(prefix):]) for n in self._names(self._batch_path(self._first + batch_id))
+                  if n.startswith(prefix)]
         return [(None if v == NULL_PARTITION else v,) for v in values]
 
     def state(self, before: int | None = None, only: DataFrame | None = None,
@@ -161,13 +203,7 @@ class KeyedTable:
         :meth:`batch_partitions`), which spares the small job that
         collects them.
         """
-        snaps = [u for u in self._committed(self._snap_root(), "upto")
-                 if before is None or u < before]
-        upto = snaps[-1] if snaps else -1
-        rows = self.changes(before, after=upto)
-        if snaps:
-            snap = self._read_snapshot(upto)
-            rows = snap.select(*self._columns(), F.lit(upto).alias(BATCH_COL)).unionByName(rows)
+        rows = self._rows(None if before is None else self._first + before)
         if only is not None:
             on = list(on or self.keys)
             if not set(on) <= set(self.keys):
@@ -182,24 +218,29 @@ class KeyedTable:
         """Keys of a ``set`` table, *not* deduplicated: the cheap build side
         for a semi/anti join (duplicates do not change it, and without an
         aggregate under the join AQE can split a skewed key)."""
-        snaps = [u for u in self._committed(self._snap_root(), "upto")
-                 if before is None or u < before]
+        return self._rows(None if before is None else self._first + before).select(*self.keys)
+
+    def _rows(self, before: int | None, snapshot_before: int | None = None) -> DataFrame:
+        """The newest snapshot below the bounds and the batches after it, unresolved."""
+        batches, snaps = self._committed()
+        limit = before if snapshot_before is None else snapshot_before
+        snaps = [u for u in snaps if limit is None or u < limit]
         upto = snaps[-1] if snaps else -1
-        rows = self.changes(before, after=upto).select(*self.keys)
+        rows = self._changes(batches, before, upto)
         if snaps:
-            rows = self._read_snapshot(upto).select(*self.keys).unionByName(rows)
+            rows = (self._read_snapshot(upto).select(*self._columns(), F.lit(upto).alias(BATCH_COL))
+                    .unionByName(rows))
         return rows
 
     def _prune(self, rows: DataFrame, only: DataFrame, on: list[str],
                values: list[tuple] | None = None) -> DataFrame:
-        """Partition filter from the (few) partition values present in ``only``."""
+        """Partition filter from the partition values present in ``only``: at most
+        as many as the table has partitions, which its planning lists anyway."""
         cols = [c for c in self.partition_by if c in on]
         if not cols:
             return rows
         if values is None or len(cols) != len(self.partition_by):
-            values = only.select(*cols).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
-        if len(values) > MAX_PRUNE_VALUES:
-            return rows
+            values = only.select(*cols).distinct().collect()
         if len(cols) == 1:
             present = [v[0] for v in values if v[0] is not None]
             cond = F.col(cols[0]).isin(present)
@@ -242,20 +283,23 @@ class KeyedTable:
         it, which all stay. Nothing is removed while fewer than two
         snapshots exist.
         """
-        snaps = self._committed(self._snap_root(), "upto")
+        batches, snaps = self._committed()
         if len(snaps) < 2:
             return []
         floor = snaps[-2]
-        doomed = [self._batch_path(i) for i in self._committed(self.path, BATCH_COL) if i <= floor]
+        doomed = [self._batch_path(i) for i in batches if i <= floor]
         doomed += [os.path.join(self._snap_root(), f"upto={u}") for u in snaps if u < floor]
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for d in doomed:
-            path = jvm.org.apache.hadoop.fs.Path(d)
-            path.getFileSystem(conf).delete(path, True)
+            fs, p = self._fs(d)
+            fs.delete(p, True)
+            fs, p = self._fs(os.path.join(self.path, "_commits", os.path.basename(d)))
+            fs.delete(p, False)
         return doomed
 
     def compact(self, upto: int) -> None:
-        """Fold all batches ``<= upto`` into snapshot ``upto``."""
-        snap = self.state(before=upto + 1)
+        """Fold all batches ``<= upto`` into snapshot ``upto``; a repeat starts from an
+        earlier snapshot than the one it writes."""
+        upto += self._first
+        snap = self._resolve(self._rows(upto + 1, snapshot_before=upto))
         self._writer(snap).parquet(os.path.join(self._snap_root(), f"upto={upto}"))
+        self._touch("_commits", f"upto={upto}")

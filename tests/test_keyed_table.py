@@ -142,3 +142,52 @@ def test_pruned_lookup_keeps_null_partition(spark, tmp_dir):
     for values in (t.batch_partitions(1), None):
         got = [tuple(r) for r in t.state(only=only, prune_values=values).collect()]
         assert got == [(None, "a", 4)], got
+
+
+def test_runs_follow_each_other(spark, tmp_dir):
+    import pytest
+    for compact in (False, True):
+        path = os.path.join(tmp_dir, f"runs{compact}")
+        a, b = (KeyedTable(spark, path, ["k"], ["v"], kind="add") for _ in range(2))
+        a.attach("run-a")
+        a.write_batch(0, _df(spark, [("x", 2)]))
+        a.write_batch(1, _df(spark, [("x", 3)]))
+        if compact:
+            a.compact(1)
+        b.attach("run-b")
+        b.write_batch(0, _df(spark, [("x", 10)]))
+        assert [r.v for r in b.changes(before=1, after=-1).collect()] == [10]
+        b.write_batch(1, _df(spark, [("x", 20)]))
+        b.write_batch(1, _df(spark, [("x", 20)]))  # replay
+        assert _state(KeyedTable(spark, path, ["k"], ["v"], kind="add")) == [("x", 35)]
+        assert _state(b, before=1) == [("x", 15)]
+        with pytest.raises(RuntimeError, match="newer run"):
+            a.attach("run-a")
+
+
+def test_committed_without_success_markers(spark, tmp_dir):
+    import pytest
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf.set(key, "false")
+    try:
+        t = KeyedTable(spark, tmp_dir, ["k"], ["v"], kind="add")
+        t.write_batch(0, _df(spark, [("a", 1)]))
+        t.write_batch(1, _df(spark, [("a", 4)]))
+        t.compact(0)
+        assert _state(t) == [("a", 5)]
+    finally:
+        conf.unset(key)
+    os.remove(os.path.join(tmp_dir, "_commits", "batch_id=0"))
+    with pytest.raises(RuntimeError, match="no commit record"):
+        t.state()
+
+
+def test_many_partition_values_are_still_pruned(spark, tmp_dir):
+    s3 = T.StructType([T.StructField("dt", T.StringType()), T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    t = KeyedTable(spark, tmp_dir, ["dt", "k"], ["v"], kind="add", schema=s3, partition_by=["dt"])
+    t.write_batch(0, spark.createDataFrame([("d0", "a", 1)], s3))
+    only = spark.range(1100).selectExpr("concat('d', id) as dt", "'a' as k")
+    got = t.state(only=only)
+    assert "PartitionFilters: []" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got.collect()] == [("d0", "a", 1)]

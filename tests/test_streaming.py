@@ -58,7 +58,7 @@ def test_file_stream_two_batches(spark, tmp_dir):
     q.awaitTermination(300)
     assert [r.userid for r in bl.state().collect()] == ["u1"]
     assert _counts(counts) == {("a1", "u1"): 3, ("a2", "u1"): 1, ("a1", "u2"): 1}
-    assert len(counts._committed(counts.path, "batch_id")) == 2
+    assert len(counts._committed()[0]) == 2
 
     area = KeyedTable(spark, os.path.join(tmp_dir, "area"), ["dt", "province", "city", "adid"], ["clicks"])
     q = jobs.start_area_city_clicks(stream, area, os.path.join(tmp_dir, "chk2"), trig)
@@ -102,20 +102,6 @@ def test_top3_step_replay_and_compaction(spark, tmp_dir):
     assert [r.value_json for r in jobs.top3_json(top).collect()] == ['{"a1":5,"a2":1}']
 
 
-def test_state_expiry_option_keeps_results(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "in")
-    os.makedirs(src)
-    with open(os.path.join(src, "part-0.txt"), "w") as f:
-        f.write("\n".join(BATCH0 + BATCH1) + "\n")
-    stream = read_ad_log_files(spark, src)
-    area = KeyedTable(spark, os.path.join(tmp_dir, "area"), ["dt", "province", "city", "adid"], ["clicks"])
-    q = jobs.start_area_city_clicks(stream, area, os.path.join(tmp_dir, "chk"), {"availableNow": True},
-                                    late_tolerance="2 days")
-    q.awaitTermination(300)
-    assert {(r.dt, r.adid, r.clicks) for r in area.state().collect()} == {
-        ("2019-01-01", "a1", 5), ("2019-01-01", "a2", 1)}
-
-
 def test_incremental_counts_with_compaction(spark, tmp_dir):
     t = KeyedTable(spark, os.path.join(tmp_dir, "inc"), ["dt", "province", "city", "adid"], ["clicks"], kind="add")
     for i, part in enumerate([BATCH0[:2], BATCH0[2:], BATCH1]):
@@ -164,30 +150,23 @@ def test_top3_stream_equals_batch_for_any_cut(spark, tmp_dir):
         assert sorted(tuple(r) for r in jobs.top3_json(top).collect()) == want, n
 
 
-def test_late_tolerance_drops_clicks_behind_the_watermark(spark, tmp_dir):
-    day = 86_400_000
-    T = 1546300800000  # 2019-01-01
-    batches = [[f"{T + 5 * day} A x u1 a1"],            # day 6 moves the watermark to day 4
-               [f"{T + 5 * day} A x u1 a1"],            # a second batch advances it
-               [f"{T + day} A x u2 a1", f"{T + 5 * day + 1} A x u1 a1"]]  # day 2 is 4 days late
-    src = os.path.join(tmp_dir, "in")
-    os.makedirs(src)
-    for i, b in enumerate(batches):
-        path = os.path.join(src, f"part-{i}.txt")
-        with open(path, "w") as f:
-            f.write("\n".join(b) + "\n")
-        os.utime(path, (time.time() + i * 10,) * 2)
-
-    def run(name, tolerance):
-        t = KeyedTable(spark, os.path.join(tmp_dir, name), ["dt", "province", "city", "adid"], ["clicks"])
-        q = jobs.start_area_city_clicks(read_ad_log_files(spark, src, max_files_per_trigger=1), t,
-                                        os.path.join(tmp_dir, name + "-chk"), {"availableNow": True},
-                                        late_tolerance=tolerance)
+def test_new_checkpoint_keeps_what_is_stored(spark, tmp_dir):
+    def run(name, lines, compact):
+        src = os.path.join(tmp_dir, name)
+        os.makedirs(src)
+        for i, part in enumerate(lines):
+            with open(os.path.join(src, f"{i}.txt"), "w") as f:
+                f.write("\n".join(part) + "\n")
+        t = KeyedTable(spark, os.path.join(tmp_dir, "inc"), ["dt", "province", "city", "adid"], ["clicks"], kind="add")
+        q = jobs.start_area_city_clicks_incr(read_ad_log_files(spark, src, max_files_per_trigger=1), t,
+                                             os.path.join(tmp_dir, name + "-chk"), {"availableNow": True}, compact)
         q.awaitTermination(300)
-        return {(r.dt, r.clicks) for r in t.state().collect()}
+        assert q.exception() is None
+        return {(r.adid, r.clicks) for r in t.state().collect()}
 
-    assert run("late", "2 days") == {("2019-01-06", 3)}
-    assert run("keep", None) == {("2019-01-06", 3), ("2019-01-02", 1)}
+    assert run("first", [BATCH0, BATCH1], 1) == {("a1", 5), ("a2", 1)}
+    assert run("second", [BATCH0, BATCH1], None) == {("a1", 10), ("a2", 2)}
+    assert run("third", [BATCH0, BATCH1], 1) == {("a1", 15), ("a2", 3)}
 
 
 def test_console_preview_runs(spark, tmp_dir):

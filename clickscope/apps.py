@@ -4,8 +4,10 @@
         --database mall --jdbc-url jdbc:mysql://db/mall --jdbc-user u --jdbc-password p
 
 Batch apps read the visit-action table (optionally within text time
-bounds), compute, and append their result with a run id to a JDBC table,
-or return it. Stream apps read the ad-click log (Kafka) and keep their
+bounds), compute, and append their result with a run id to a JDBC table, or
+write it whole as Parquet under ``--out`` (default: a new folder under the
+shared one). Rows that don't conform go to ``<out>-quarantine``, and their
+number is reported. Stream apps read the ad-click log (Kafka) and keep their
 results in keyed tables under ``--root`` (shared storage; defaults to
 ``spark.checkpoint.dir``), running until stopped.
 """
@@ -23,7 +25,7 @@ from clickscope.fixed import (
 )
 from clickscope.operators import category as C
 from clickscope.operators import pageflow as P
-from clickscope.session import build_session, shared_dir
+from clickscope.session import build_session, scratch_path, shared_dir
 from clickscope.sinks.writers import append_jdbc
 from clickscope.sources.adlog import read_ad_log_kafka
 from clickscope.sources.tables import conform_visits, read_table, visits_in_range
@@ -38,11 +40,18 @@ def new_task_id() -> str:
 
 
 def load_visits(spark: SparkSession, table: str, database: str | None = None,
-                start: str | None = None, end: str | None = None,
-                date_col: str | None = None, required: list[str] | None = None) -> DataFrame:
-    """The visit table, conformed on the ``required`` columns, within the bounds."""
-    visits, _quarantine = conform_visits(read_table(spark, table, database), required)
-    return visits_in_range(visits, start, end, date_col)
+                start: str | None = None, end: str | None = None, date_col: str | None = None,
+                required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The visit table, conformed on the ``required`` columns, within the bounds; and
+    the rows of the whole table that don't conform."""
+    visits, quarantine = conform_visits(read_table(spark, table, database), required)
+    return visits_in_range(visits, start, end, date_col), quarantine
+
+
+def write_quarantine(quarantine: DataFrame, path: str) -> int:
+    """Store the rows that don't conform (nothing if there are none); returns their number."""
+    quarantine.write.mode("overwrite").parquet(path)
+    return quarantine.sparkSession.read.schema(quarantine.schema).parquet(path).count()
 
 
 # Columns each batch application reads (and so requires non-null).
@@ -66,9 +75,11 @@ def category_session_top10_app(visits: DataFrame, task_id: str, n_categories: in
             .select("task_id", "category_id", "session_id", "click_count"))
 
 
-def page_flow_app(visits: DataFrame, path: str) -> DataFrame:
-    """(page_flow, rate) for each step of the path that sessions took."""
-    return P.page_flow_rate(visits, path).select("page_flow", "rate")
+def page_flow_app(visits: DataFrame, path: str, tie_col: str | None = None,
+                  tie_split: int | None = 1000) -> DataFrame:
+    """(page_flow, rate) for each step of the path that sessions took. A second of one
+    session is cut at ``tie_split`` values of the tie column, or at page ids without one."""
+    return P.page_flow_rate(visits, path, tie_col, tie_split).select("page_flow", "rate")
 
 
 BLACKLIST_SCHEMA = T.StructType([T.StructField("userid", T.StringType())])
@@ -126,6 +137,8 @@ def main(argv=None) -> None:
     ap.add_argument("--end")
     ap.add_argument("--date-col", help="partition column of the table holding the day")
     ap.add_argument("--path", default="1,2,3,4,5,6,7", help="target page path")
+    ap.add_argument("--tie-col", help="numeric column that orders the actions of one second")
+    ap.add_argument("--out", help="folder of a batch result (Parquet)")
     ap.add_argument("--jdbc-url")
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password")
@@ -143,12 +156,17 @@ def main(argv=None) -> None:
         required = APP_REQUIRED[a.app] + (["action_time"] if (a.start or a.end) else [])
         if a.testdata:
             from clickscope.plans.inputs import visits as testdata_visits
-            visits = visits_in_range(testdata_visits(spark, a.testdata, required), a.start, a.end)
+            visits = visits_in_range(testdata_visits(spark, a.testdata, required, a.start, a.end), a.start, a.end)
+            quarantine = None
         else:
-            visits = load_visits(spark, a.table, a.database, a.start, a.end, a.date_col, required)
+            visits, quarantine = load_visits(spark, a.table, a.database, a.start, a.end, a.date_col, required)
+        path = a.out or scratch_path(spark, a.app)
+        if quarantine is not None:
+            n = write_quarantine(quarantine, f"{path.rstrip('/')}-quarantine")
+            print(f"{n} rows don't conform; see {path.rstrip('/')}-quarantine")
         task_id = new_task_id()
         if a.app == "page-flow":
-            out, target = page_flow_app(visits, a.path), None
+            out, target = page_flow_app(visits, a.path, a.tie_col), None
         elif a.app == "category-top10":
             out, target = category_top10_app(visits, task_id), CATEGORY_TOP10_TABLE
         else:
@@ -156,7 +174,8 @@ def main(argv=None) -> None:
         if a.jdbc_url and target:
             append_jdbc(out, a.jdbc_url, target, a.jdbc_user, a.jdbc_password)
         else:
-            out.show(100, truncate=False)
+            out.write.mode("overwrite").parquet(path)
+            print(f"result: {path}")
         return
     lines = read_ad_log_kafka(spark, a.bootstrap_servers, a.topic,
                               min_partitions=a.min_partitions,

@@ -32,8 +32,3 @@ def jvm_split(col: Column | str, sep: str = ",") -> Column:
             .when(~c.endswith(F.lit(sep)), F.split(c, s))
             .when(only_seps, F.array().cast("array<string>"))
             .otherwise(F.split(stripped, s)))
-
-
-def explode_list(col: Column | str, sep: str = ",") -> Column:
-    """One row per list item; duplicates each give a row, null gives none."""
-    return F.explode(jvm_split(col, sep))

@@ -68,11 +68,11 @@ def ad_admitted_clicks(ads: DataFrame, threshold: int, tie_col: str = "event_id"
     of their (day, ad) counts reaches ``threshold``; all later clicks are
     dropped. Result: (dt, adid, userid, clicks) over admitted clicks.
 
-    * The threshold-th click per (day, ad, user) comes from
-      ``row_number() <= threshold``, whose partial WindowGroupLimit runs
-      before the shuffle (a huge group ships ``threshold`` rows per task);
-      the user's cut is the earliest of them.
-    * Per-group totals (partial aggregation) are matched with the cut at
+    * Only groups whose total reaches ``threshold`` can cut a user, so a semi
+      join on the (partially aggregated) totals leaves their clicks alone.
+      The threshold-th of them comes from ``row_number() <= threshold``,
+      limited before its shuffle; the user's cut is the earliest.
+    * The same totals are matched with the cut at
       group level: at most days x ads rows per user, whatever their clicks.
       Users never blacklisted keep their totals; no raw click of theirs is
       joined.
@@ -84,11 +84,14 @@ def ad_admitted_clicks(ads: DataFrame, threshold: int, tie_col: str = "event_id"
     order = ["ts_ms", tie_col]
     groups = ["dt", "adid", "userid"]
     w = Window.partitionBy(*groups).orderBy(*order)
-    nth = (a.select(*groups, *order, F.row_number().over(w).alias("_rn"))
+    totals = ad_user_day_clicks(a)
+    heavy = totals.where(F.col("clicks") >= threshold).select(*groups)
+    nth = (a.select(*groups, *order).join(heavy, groups, "left_semi")
+           .withColumn("_rn", F.row_number().over(w))
            .where(F.col("_rn") <= threshold)
            .where(F.col("_rn") == threshold))
     cut = nth.groupBy("userid").agg(F.min(F.struct(*order)).alias("_cut"))
-    flagged = a.groupBy(*groups).agg(_count()).join(cut, "userid", "left")
+    flagged = totals.join(cut, "userid", "left")
     free = flagged.where(F.col("_cut").isNull()).select(*groups, "clicks")
     cuts = flagged.where(F.col("_cut").isNotNull()).select(*groups, "_cut")
     before_cut = (a.join(cuts, groups)

@@ -72,12 +72,16 @@ def page_views_in_flow(visits: DataFrame, path) -> DataFrame:
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("page_views")))
 
 
-def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
+def page_transitions(visits: DataFrame, tie_col: str | None = None,
                      levels: tuple[int, ...] = BUCKET_LEVELS,
                      tie_split: int | None = None) -> DataFrame:
     """Adjacent page pairs of every session: (session_id, a, b).
 
-    Actions are ordered by ``action_time`` text, then ``tie_col``. One
+    Actions are ordered by ``action_time`` text, then ``tie_col`` if the
+    table has such a column, then ``page_id``. Actions that agree in all of
+    these are interchangeable, so the pairs don't depend on how a sort or a
+    retry places them: without a tie column, the actions of one second
+    count as taken in the order of their page ids. One
     window over a whole session would put a session holding a large share
     of all actions in one task, so the session is cut into time buckets
     (``action_time`` prefixes, finest first: seconds, then minutes):
@@ -96,16 +100,16 @@ def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
     task grows with a session's size. The result equals a single ``lead``
     over the session.
 
-    ``tie_split=B`` (numeric tie column) also cuts each session-second
-    into ranges of ``floor(tie / B)``, stitched back within the second, for
-    inputs where a single second of one session is itself huge. It costs
-    one more narrow shuffle, so it is off by default.
+    ``tie_split=B`` also cuts each session-second into ranges of
+    ``floor(tie / B)`` (a numeric tie column) or, without a tie column, of
+    single page ids, stitched back within the second, for inputs where a
+    second of one session is itself huge. It costs one more narrow shuffle.
     """
-    order_cols = ["action_time"] + ([tie_col] if tie_col else [])
+    order_cols = ["action_time"] + ([tie_col] if tie_col else []) + ["page_id"]
     first_len, *coarser = levels
-    split = bool(tie_split and tie_col)
-    sub = [F.floor(F.col(tie_col) / F.lit(tie_split)).alias("_sub")] if split else []
-    v = visits.select("session_id", "page_id", *order_cols,
+    split = bool(tie_split)
+    sub = [(F.floor(F.col(tie_col) / F.lit(tie_split)) if tie_col else F.col("page_id")).alias("_sub")] if split else []
+    v = visits.select("session_id", *order_cols,
                       F.substring("action_time", 1, first_len).alias("_key"), *sub)
     part0 = ["session_id", "_key"] + (["_sub"] if split else [])
     w0 = Window.partitionBy(*part0).orderBy(*order_cols)
@@ -142,14 +146,14 @@ def page_transitions(visits: DataFrame, tie_col: str | None = "event_id",
     return reduce(DataFrame.unionByName, pairs)
 
 
-def page_transition_counts(visits: DataFrame, path, tie_col: str | None = "event_id",
+def page_transition_counts(visits: DataFrame, path, tie_col: str | None = None,
                            tie_split: int | None = None) -> DataFrame:
     """Steps of the path that sessions took, with counts: (a, b, jumps)."""
     return (page_transitions(visits, tie_col, tie_split=tie_split).where(_pair_predicate(path_pairs(path)))
             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("jumps")))
 
 
-def page_flow_rate(visits: DataFrame, path, tie_col: str | None = "event_id",
+def page_flow_rate(visits: DataFrame, path, tie_col: str | None = None,
                    tie_split: int | None = None) -> DataFrame:
     """(page_flow 'a-b', jumps, page_views, rate = jumps / views of a).
 

@@ -28,7 +28,7 @@ counts AS (SELECT category_id, CAST(sum(c) AS BIGINT) click_count, CAST(sum(o) A
 top10 AS (SELECT * FROM counts ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10)
 """
 
-ADS = """WITH ads AS (SELECT e.event_id, epoch_ms(e.ts) ts_ms, strftime(e.ts,'%Y-%m-%d') dt,
+ADS = """WITH ads AS (SELECT e.event_id, epoch_ms(e.ts) ts_ms, strftime(make_timestamp(epoch_ms(e.ts)*1000),'%Y-%m-%d') dt,
   replace(r.r_name,' ','-') province, n.n_name city, CAST(e.user_id AS VARCHAR) userid,
   CAST(CAST(json_extract_string(e.props,'$.k') AS INTEGER)%6+1 AS VARCHAR) adid
   FROM events e JOIN nation n ON n.n_nationkey=e.user_id%25 JOIN region r ON r.r_regionkey=n.n_regionkey)
@@ -43,6 +43,10 @@ _BODIES = {
     "category_action_facts": (FACTS, """SELECT category_id, CASE WHEN c=1 THEN 'click' WHEN o=1 THEN 'order' ELSE 'pay' END AS "action" FROM facts"""),
     "category_counts": (FACTS, "SELECT * FROM counts"),
     "category_top10": (FACTS, "SELECT * FROM top10"),
+    "category_top10_run": (FACTS, "SELECT 'run-1' AS task_id, * FROM top10"),
+    "visits_quarantine": (UVA, """SELECT event_id, "date", CASE WHEN event_id%50=1 THEN 'unknown' ELSE CAST(user_id AS VARCHAR) END user_id,
+  session_id, CASE WHEN event_id%50<>0 THEN CAST(page_id AS VARCHAR) END page_id, CASE WHEN event_id%50<>2 THEN action_time END action_time,
+  search_keyword, click_category_id, click_product_id, order_category_ids, pay_category_ids, city_id FROM uva WHERE event_id%50 IN (0,1,2)"""),
     "category_clicks_in_top10": (FACTS, """SELECT CAST(click_category_id AS VARCHAR) category_id, session_id FROM uva
   WHERE click_category_id<>-1 AND CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top10)"""),
     "category_session_clicks": (UVA, """SELECT CAST(click_category_id AS VARCHAR) category_id, session_id, count(*) click_count FROM uva WHERE click_category_id<>-1 GROUP BY 1,2"""),
@@ -61,6 +65,13 @@ pr AS (SELECT page_id a, lead(page_id) OVER (PARTITION BY session_id ORDER BY ac
 num AS (SELECT a,b,count(*) jumps FROM pr JOIN flow USING(a,b) GROUP BY 1,2)
 SELECT CAST(a AS VARCHAR)||'-'||CAST(b AS VARCHAR) page_flow, jumps, n AS page_views, CAST(jumps AS DOUBLE)/n AS rate
   FROM num JOIN den ON den.page_id=a"""),
+    "page_flow_rate_no_tie": (UVA, """, flow AS (SELECT * FROM (VALUES (1,2),(2,3),(3,4),(4,5),(5,6),(6,7)) t(a,b)),
+den AS (SELECT page_id, count(*) n FROM uva WHERE page_id IN (1,2,3,4,5,6,7) GROUP BY 1),
+pr AS (SELECT page_id a, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, page_id) b FROM uva),
+num AS (SELECT a,b,count(*) jumps FROM pr JOIN flow USING(a,b) GROUP BY 1,2)
+SELECT CAST(a AS VARCHAR)||'-'||CAST(b AS VARCHAR) page_flow, jumps, n AS page_views, CAST(jumps AS DOUBLE)/n AS rate
+  FROM num JOIN den ON den.page_id=a"""),
+    "ad_click_times": (ADS, "SELECT event_id, ts_ms, strftime(make_timestamp(ts_ms*1000),'%Y-%m-%d %H:%M:%S') click_time FROM ads"),
     "ad_log_parse": (RAW, """SELECT CAST(f[1] AS BIGINT) ts_ms, f[2] province, f[3] city, f[4] userid, f[5] adid FROM (SELECT string_split(line,' ') f FROM raw) WHERE len(f)>=5"""),
     "ad_log_rejects": (RAW, "SELECT line FROM raw WHERE len(string_split(line,' '))<5"),
     "ad_user_day_clicks": (ADS, "SELECT dt, adid, userid, count(*) clicks FROM ads GROUP BY 1,2,3"),

@@ -1,4 +1,4 @@
-"""Explicit schemas of the inputs and results."""
+"""Explicit schema of the visit-action input."""
 
 from pyspark.sql import types as T
 
@@ -18,43 +18,3 @@ VISIT_ACTION = T.StructType([
     T.StructField("pay_product_ids", T.StringType()),
     T.StructField("city_id", T.LongType(), False),
 ])
-
-USER_INFO = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("username", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("age", T.IntegerType()),
-    T.StructField("professional", T.StringType()),
-    T.StructField("gender", T.StringType()),
-])
-
-PRODUCT_INFO = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("product_name", T.StringType()),
-    T.StructField("extend_info", T.StringType()),
-])
-
-CITY_INFO = T.StructType([
-    T.StructField("city_id", T.LongType()),
-    T.StructField("city_name", T.StringType()),
-    T.StructField("area", T.StringType()),
-])
-
-# A parsed ad-click log line: "<epoch ms> <area> <city> <user> <ad>".
-AD_CLICK = T.StructType([
-    T.StructField("ts_ms", T.LongType()),
-    T.StructField("province", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("userid", T.StringType()),
-    T.StructField("adid", T.StringType()),
-])
-
-AD_LOG_LINE = T.StructType([T.StructField("value", T.StringType())])
-
-CATEGORY_TOP10 = T.StructType([
-    T.StructField("task_id", T.StringType()),
-    T.StructField("category_id", T.StringType()),
-    T.StructField("click_count", T.LongType()),
-    T.StructField("order_count", T.LongType()),
-    T.StructField("pay_count", T.LongType()),
-])

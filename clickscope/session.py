@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,14 +51,17 @@ _LOCAL_SHARED: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set (a folder every executor can reach) and is
-    used as is. Only when it is unset, as in some local tests, one local
-    folder per application is created. It is remembered here rather than
-    written into the session, because Spark refuses runtime changes of that
-    core setting. It is also set as the context's RDD checkpoint folder.
+    On a cluster it must be set to a folder every executor can reach; a
+    machine-local one would lose results, so it is an error if it is not.
+    Only under a local master one folder per application is created. It is
+    remembered here rather than written into the session, because Spark
+    refuses runtime changes of that core setting. It is also set as the
+    context's RDD checkpoint folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         path = _LOCAL_SHARED.get(app)
         if path is None:

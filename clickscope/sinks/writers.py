@@ -20,7 +20,7 @@ def overwrite_table(df: DataFrame, table: str, database: str | None = None,
     for the visit-action table, so date filters prune folders).
     """
     name = f"{database}.{table}" if database else table
-    w = df.write.mode("overwrite").option("overwriteSchema", "true")
+    w = df.write.mode("overwrite")
     if fmt:
         w = w.format(fmt)
     if partition_by:

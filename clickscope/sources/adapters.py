@@ -7,16 +7,36 @@ plain column expressions, so the derived inputs grow with ``events``.
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
-from clickscope.functions.timefmt import epoch_ms_of, ts_text
-from clickscope.operators.joins import broadcast_if_small
+from clickscope.functions.timefmt import epoch_ms_of, epoch_ms_to_day, ts_text
 
 
 def _k(events: DataFrame):
     return F.get_json_object("props", "$.k").try_cast("int")
 
 
+def events_in_range(events: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Events that can become actions with ``start <= action_time <= end``.
+
+    The bounds compare text (see :func:`visits_in_range`); for a bound that is
+    a day or a full second they are the same as bounds on ``ts``, which
+    reach the Parquet scan. A bound in any other form is left to the text rule.
+    """
+    for bound, at in ((start, "start"), (end, "end")):
+        if bound is None or not re.fullmatch(r"\d{4}-\d\d-\d\d( \d\d:\d\d:\d\d)?", bound):
+            continue
+        t = datetime.fromisoformat(bound)
+        if at == "end" and len(bound) > 10:
+            t += timedelta(seconds=1)  # the text is cut to seconds
+        limit = F.expr(f"TIMESTAMP_NTZ'{t.isoformat(sep=' ')}'")
+        events = events.where(F.col("ts") >= limit if at == "start" else F.col("ts") < limit)
+    return events
+
+
 def visit_actions_from_events(events: DataFrame) -> DataFrame:
     """events(event_id, ts, user_id, event_type, value, props) -> visit actions.
 
@@ -55,8 +75,8 @@ def ad_clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFram
     city = nation name of ``user_id % 25``, province = its region name with
     spaces turned into ``-`` (the log line format has no spaces inside a
     field), ad = k%6+1. The nation/region lookup is a fixed-size dimension
-    (25 and 5 rows); it is broadcast after a row-count check, so the events
-    side is never shuffled for it.
+    (25 and 5 rows), which the planner broadcasts by its size. The day is
+    that of the rounded ``ts_ms``, as in the streams.
     """
     geo = (nation.join(region, nation.n_regionkey == region.r_regionkey)
            .select(F.col("n_nationkey").cast("bigint").alias("_nk"),
@@ -64,10 +84,10 @@ def ad_clicks_from_events(events: DataFrame, nation: DataFrame, region: DataFram
                    F.regexp_replace("r_name", " ", "-").alias("province")))
     ev = events.select("event_id", "ts", "user_id", _k(events).alias("_k"),
                        (F.col("user_id") % 25).alias("_nk"))
-    return (ev.join(broadcast_if_small(geo), "_nk")
+    return (ev.join(geo, "_nk")
             .select("event_id",
                     epoch_ms_of("ts").alias("ts_ms"),
-                    ts_text("ts", "yyyy-MM-dd").alias("dt"),
+                    epoch_ms_to_day(epoch_ms_of("ts")).alias("dt"),
                     "province", "city",
                     F.col("user_id").cast("string").alias("userid"),
                     (F.col("_k") % 6 + 1).cast("string").alias("adid")))

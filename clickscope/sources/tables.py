@@ -21,25 +21,9 @@ def read_table(spark: SparkSession, name_or_path: str, database: str | None = No
     return spark.table(qualified)
 
 
-def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A Parquet file is split by row group, so a small table stored as one
-    row group is read by a single task, and every per-row expression before
-    the first shuffle runs there. Such a scan is spread round-robin over
-    ``min_partitions`` (default: the cluster's default parallelism); Spark
-    sorts before a round-robin repartition, so a retried task gets the
-    same rows. A large input (many splits) is returned unchanged: no
-    shuffle is added at scale.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
-def load_testdata(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A shared test table; ``spread=True`` for a fact table read as one split."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_small_scan(df) if spread else df
+def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A shared test table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def visits_in_range(visits: DataFrame, start: str | None = None, end: str | None = None,
@@ -78,7 +62,7 @@ _REQUIRED = [f.name for f in VISIT_ACTION.fields if not f.nullable]
 def conform_visits(visits: DataFrame, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Cast the known columns to the visit-action schema.
 
-    Returns ``(good, quarantine)``. A row whose required column is null (or
+    Returns ``(good, quarantine)``; quarantined rows keep their raw values. A row whose required column is null (or
     does not cast) goes to quarantine instead of silently failing a later
     predicate such as ``click_category_id != -1`` (null there is neither a
     click nor a non-click). Columns not in the schema are kept as they are.
@@ -94,12 +78,8 @@ def conform_visits(visits: DataFrame, required: list[str] | None = None) -> tupl
     for c in visits.columns:
         field = next((f for f in VISIT_ACTION.fields if f.name == c), None)
         cols.append(F.col(c).try_cast(field.dataType).alias(c) if field else F.col(c))
-    typed = visits.select(*cols)
     required = [c for c in (required if required is not None else _REQUIRED) if c in present]
     bad = F.lit(False)
     for c in required:
-        bad = bad | F.col(c).isNull()
-    typed = typed.withColumn("_bad", bad)
-    good = typed.where(~F.col("_bad")).drop("_bad")
-    quarantine = typed.where(F.col("_bad")).drop("_bad")
-    return good, quarantine
+        bad = bad | F.col(c).try_cast(VISIT_ACTION[c].dataType).isNull()
+    return visits.where(~bad).select(*cols), visits.where(bad)

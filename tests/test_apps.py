@@ -9,13 +9,14 @@ from clickscope.sources.adlog import read_ad_log_files
 def test_batch_apps(spark, tmp_dir):
     path = os.path.join(tmp_dir, "uva")
     visits_df(spark).write.partitionBy("date").parquet(path)
-    v = apps.load_visits(spark, path, start="2019-01-01 00:00:00", end="2019-01-01 23:59:59", date_col="date")
+    v, bad = apps.load_visits(spark, path, start="2019-01-01 00:00:00", end="2019-01-01 23:59:59", date_col="date")
+    assert apps.write_quarantine(bad, os.path.join(tmp_dir, "bad")) == 0
     tid = apps.new_task_id()
     top = apps.category_top10_app(v, tid).collect()
     assert top[0].task_id == tid and top[0].category_id == "1"
     s = apps.category_session_top10_app(v, tid)
     assert s.columns == ["task_id", "category_id", "session_id", "click_count"] and s.count() == 3
-    assert {r.page_flow for r in apps.page_flow_app(v, "1,2,3").collect()} == {"1-2", "2-3"}
+    assert {r.page_flow for r in apps.page_flow_app(v, "1,2,3", "event_id").collect()} == {"1-2", "2-3"}
 
 
 def test_stream_app_blacklist(spark, tmp_dir):
@@ -30,14 +31,29 @@ def test_stream_app_blacklist(spark, tmp_dir):
     assert [r.userid for r in apps.stream_tables(spark, root)["blacklist"].state().collect()] == ["u1"]
 
 
-def test_cli_main_on_test_tables(spark, capsys):
+def test_cli_writes_whole_results_and_the_quarantine(spark, tmp_dir, capsys):
+    from clickscope.schemas import VISIT_ACTION
+    cols = [f"{f.name} string" if f.name == "user_id" else f"{f.name} {f.dataType.simpleString()}" for f in VISIT_ACTION]
+    rows = [("2019-01-01", u, "s", p, f"2019-01-01 00:{p // 60:02}:{p % 60:02}", None, -1, -1, None, None, None, None, 1)
+            for p, u in [(k, "7") for k in range(1, 131)]] + [("2019-01-01", "no number", "s", None, "x", None, -1, -1, "7,8", None, None, None, 1)]
+    path, out = os.path.join(tmp_dir, "visits.parquet"), os.path.join(tmp_dir, "out")
+    spark.createDataFrame(rows, ", ".join(cols)).write.parquet(path)
+    apps.main(["page-flow", "--table", path, "--path", ",".join(map(str, range(1, 131))), "--out", out])
+    assert spark.read.parquet(out).count() == 129
+    bad = spark.read.parquet(out + "-quarantine").collect()
+    assert [(r.user_id, r.order_category_ids) for r in bad] == [("no number", "7,8")]
+    assert "1 rows" in capsys.readouterr().out
+
+
+def test_cli_main_on_test_tables(spark, tmp_dir, capsys):
     import pytest
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
         pytest.skip("test tables not present")
-    apps.main(["page-flow", "--testdata", sf])
-    out = capsys.readouterr().out
-    assert "page_flow" in out and "1-2" in out
+    out = os.path.join(tmp_dir, "rates")
+    apps.main(["page-flow", "--testdata", sf, "--tie-col", "event_id", "--out", out])
+    assert out in capsys.readouterr().out
+    assert "1-2" in {r.page_flow for r in spark.read.parquet(out).collect()}
 
 
 def test_jdbc_sink_argument_level(spark):

@@ -11,13 +11,13 @@ def test_page_views_and_rates_fixture(spark):
     v = visits_df(spark)
     views = {r.page_id: r.page_views for r in P.page_views_in_flow(v, "1,2,3").collect()}
     assert views == {1: 3, 2: 4, 3: 3}
-    rates = {r.page_flow: (r.jumps, r.page_views, r.rate) for r in P.page_flow_rate(v, "1,2,3").collect()}
+    rates = {r.page_flow: (r.jumps, r.page_views, r.rate) for r in P.page_flow_rate(v, "1,2,3", "event_id").collect()}
     assert rates == {"1-2": (1, 3, 1 / 3), "2-3": (2, 4, 2 / 4)}
 
 
 def test_page_outside_path_breaks_step(spark):
     v = visits_df(spark)
-    pairs = {(r.session_id, r.a, r.b) for r in P.page_transitions(v).collect()}
+    pairs = {(r.session_id, r.a, r.b) for r in P.page_transitions(v, "event_id").collect()}
     assert ("s4", 1, 9) in pairs and ("s4", 9, 2) in pairs and ("s4", 1, 2) not in pairs
 
 
@@ -51,8 +51,8 @@ def test_bucket_stitching_equals_plain_lead(spark):
                   .where("b is not null").collect())
     assert len(want) == len(rows) - 6
     for levels in [P.BUCKET_LEVELS, (19,), (16,), (19, 16, 13), (19, 17, 16, 14, 13)]:
-        got = sorted(tuple(r) for r in P.page_transitions(v, levels=levels).collect())
+        got = sorted(tuple(r) for r in P.page_transitions(v, "event_id", levels=levels).collect())
         assert got == want, levels
     for split in (1, 2, 7):
-        got = sorted(tuple(r) for r in P.page_transitions(v, tie_split=split).collect())
+        got = sorted(tuple(r) for r in P.page_transitions(v, "event_id", tie_split=split).collect())
         assert got == want, split

@@ -22,11 +22,11 @@ def test_top10_is_take_ordered_and_broadcast_semi(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_admitted_clicks_limits_before_shuffle(spark):
+def test_admitted_clicks_ranks_only_groups_over_the_threshold(spark):
     from fixtures import BATCH0, lines_df
     ads = ad_log_parse(lines_df(spark, BATCH0))
     p = _plan(A.ad_admitted_clicks(ads.withColumn("event_id", ads.ts_ms), 3))
-    assert "WindowGroupLimit" in p and "Partial" in p
+    assert "LeftSemi" in p[p.index("WindowGroupLimit"):]
 
 
 def test_scan_prunes_columns_and_pushes_bounds(spark, tmp_dir):
@@ -88,14 +88,6 @@ def test_hot_user_joins_are_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_spread_only_small_scans(spark, tmp_dir):
-    from clickscope.sources.tables import spread_small_scan
-    one = spark.range(100).coalesce(1)
-    assert spread_small_scan(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(8)
-    assert spread_small_scan(many, 4) is many
-
-
 def test_shared_dir_reads_session_setting(spark):
     from clickscope.session import scratch_path, shared_dir
     root = shared_dir(spark)
@@ -104,18 +96,38 @@ def test_shared_dir_reads_session_setting(spark):
     assert a != b and a.startswith(root)
 
 
-def test_broadcast_if_small_checks_rows(spark):
-    from clickscope.operators.joins import broadcast_if_small
-    big = spark.range(100000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    hinted = big.join(broadcast_if_small(small, max_rows=50), "k")
-    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plain = big.join(broadcast_if_small(spark.range(100).withColumnRenamed("id", "k"), max_rows=50), "k")
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().sparkPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_shared_dir_must_be_named_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from clickscope.session import shared_dir
+    conf = SimpleNamespace(get=lambda key, default=None: None)
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+
+
+def test_time_range_reaches_the_scan(spark):
+    from clickscope.plans import all_queries
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    plan = all_queries()["visits_in_range"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-05" in plan and "LessThan(ts,2024-01-07" in plan, plan
+
+
+def test_no_round_robin_and_no_tie_column_needed(spark):
+    from clickscope.operators import pageflow as P
+    from clickscope.schemas import VISIT_ACTION
+    rows = [("2019-01-01", 1, "s", page, t, None, -1, -1, None, None, None, None, 1)
+            for page, t in ((3, "2019-01-01 00:00:02"), (1, "2019-01-01 00:00:01"), (2, "2019-01-01 00:00:01"),
+                            (1, "2019-01-01 00:00:01"), (3, "2019-01-01 00:01:01"))]
+    v = spark.createDataFrame(rows, VISIT_ACTION)  # exactly the 13 columns
+    want = [("s", 1, 1), ("s", 1, 2), ("s", 2, 3), ("s", 3, 3)]
+    for split in (None, 1):
+        got = P.page_transitions(v.repartition(3), tie_split=split)
+        assert sorted(tuple(r) for r in got.collect()) == want
+    assert {r.page_flow: r.rate for r in P.page_flow_rate(v, "1,2,3").collect()} == {"1-2": 0.5, "2-3": 1.0}
 
 
 def test_conform_keeps_column_pruning(spark, tmp_dir):

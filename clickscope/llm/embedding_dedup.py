@@ -105,36 +105,23 @@ LIST = "node long, other long, sim double"
 def _leaves(nodes: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
     """``(grp, tab, sig, node, v)``: the side of ``bits`` random hyperplanes, for each table."""
 
+    names = ["grp", "tab", "sig", "node", "v"]
+
     def run(batches):
-        planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            for grp, node, v in zip(*(batch.column(i) for i in range(3))):
-                x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng(seed + len(x)).normal(size=(len(x), tables * bits))
-                side = ((x / np.abs(x).max()) @ planes[len(x)] > 0).reshape(tables, bits)
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
+            for n in np.unique(sizes):  # vectors of one length together
+                part = batch.take(pa.array(np.flatnonzero(sizes == n)))
+                x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, n).astype(np.float64)
+                planes = np.random.default_rng(seed + int(n)).normal(size=(n, tables * bits))
+                side = ((x / np.abs(x).max(1, keepdims=True)) @ planes > 0).reshape(-1, tables, bits)
                 sig = side @ (1 << np.arange(bits, dtype=np.int64))
-                yield grp.as_py(), node.as_py(), sig, v
-
-    def arrow(batches):
-        rows = []
-        for grp, node, sig, v in run(batches):
-            rows += [(grp, t, int(s), node, v) for t, s in enumerate(sig)]
-            if len(rows) >= 20_000:
-                yield pack(rows)
-                rows = []
-        if rows:
-            yield pack(rows)
-
-    def pack(rows):
-        g, t, s, n, v = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(t, pa.int32()), pa.array(s, pa.int64()),
-                                           pa.array(n, pa.int64()), pa.array([x.as_py() for x in v], pa.list_(kind))],
-                                          ["grp", "tab", "sig", "node", "v"])
+                part = part.take(pa.array(np.repeat(np.arange(len(x)), tables)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(x))),
+                                                  pa.array(sig.ravel()), part.column(1), part.column(2)], names)
 
     element = dict(nodes.dtypes)["v"][6:-1]
-    kind = {"float": pa.float32(), "double": pa.float64()}[element]
-    return nodes.select("grp", "node", "v").mapInArrow(arrow, f"grp long, tab int, sig long, node long, v array<{element}>")
+    return nodes.select("grp", "node", "v").mapInArrow(run, f"grp long, tab int, sig long, node long, v array<{element}>")
 
 
 def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -32,7 +32,7 @@ from clickscope.session import scratch_path
 BLOCK_BYTES = 4 << 20
 RANGE_BYTES = 8 << 20    # text whose n-grams a hash range gets, about
 BUCKET_BYTES = 32 << 20  # text of a bucket of blocks, about
-MEMO_WORDS = 500_000
+MEMO_WORDS = 250_000
 MEMO_BYTES = 48
 OCTAVE = 4
 ROUNDS = 60
@@ -91,11 +91,17 @@ class Block:
         n = len(self.keys)
         return np.bincount(self.one[self.train], minlength=n) + np.bincount(self.two[self.train], minlength=n)
 
-    def own(self, at: np.ndarray) -> np.ndarray:
-        """For each token the occurrences of key ``at`` in its own document."""
-        pairs = self.doc * np.int64(len(self.keys)) + at
-        kinds, where = np.unique(pairs, return_inverse=True)
-        return np.bincount(where, minlength=len(kinds))[where]
+    def own(self, at: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """For each token of a training document the occurrences of key ``at`` in the document.
+
+        A key that the whole corpus has once occurs once here; only the others are sorted.
+        """
+        out = self.train.astype(np.int64)
+        many = np.flatnonzero(self.train & (total[at] > 1))
+        pairs = self.doc[many] * np.int64(len(self.keys)) + at[many]
+        _, where, n = np.unique(pairs, return_inverse=True, return_counts=True)
+        out[many] = n[where]
+        return out
 
 
 # ---------------------------------------------------------------- numbers on the way
@@ -226,11 +232,15 @@ def _cells(n_all: int):
             return kind.empty_table()
         b, _, total = _with_totals(blocks, totals)
         t = b.train  # each token's document left out of the counts
-        context = (total[b.context] - b.own(b.context))[t]
-        p2 = _ratio((total[b.two] - b.own(b.two))[t], context)
-        p1 = _ratio((total[b.one] - b.own(b.one))[t], np.int64(n_all) - b.sizes[b.doc][t])
-        cells, n = np.unique(np.stack((bucket_of(context), rounded(p2), rounded(p1))), axis=1, return_counts=True) \
-            if t.any() else (np.empty((3, 0), np.int64), np.empty(0, np.int64))
+        one = b.own(b.one, total)
+        before = np.concatenate((one[-1:], one[:-1]))  # of the token before; an end token occurs once
+        before[np.concatenate(([0], np.cumsum(b.sizes)[:-1]))] = 1
+        context = (total[b.context] - before)[t]
+        p2 = _ratio((total[b.two] - b.own(b.two, total))[t], context)
+        p1 = _ratio((total[b.one] - one)[t], np.int64(n_all) - b.sizes[b.doc][t])
+        code = (bucket_of(context) * 2 * -NEVER + rounded(p2) - NEVER) * 2 * -NEVER + rounded(p1) - NEVER
+        code, n = np.unique(code, return_counts=True)
+        cells = (code // (4 * NEVER * NEVER), code // (-2 * NEVER) % (-2 * NEVER) + NEVER, code % (-2 * NEVER) + NEVER)
         return pa.Table.from_arrays([pa.array(c.astype(np.int64), pa.int64()).cast(f.type) for c, f in zip((*cells, n), kind)],
                                     schema=kind)
     return run

@@ -12,6 +12,7 @@ Only the histogram and the patterns are on the driver.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ from clickscope.llm.common import stage
 CAPACITY = 4096
 UNIT = 8
 RANK_BUCKETS = 1024
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 MEMO_BYTES = 48
 CHUNK = 1 << 20
 GAP = 1e-3      # the program stops this close to its bound
@@ -34,9 +35,39 @@ DRAWN = 0.9     # weight of the best bound's dual values in the prices
 
 # ---------------------------------------------------------------- tokens
 
+class _Memo:
+    """Values by key in two generations, so that what is in use outlives a full one."""
+
+    def __init__(self):
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def missing(self, keys: set) -> list:
+        """The keys without a value; those of the older generation move up."""
+        if len(self.new) > MEMO_WORDS:
+            self.new, self.old = {}, self.new
+        out, new, old = [], self.new, self.old
+        for k in keys.difference(new):
+            if k in old:
+                new[k] = old[k]
+            else:
+                out.append(k)
+        return out
+
+    def drop_long(self, keys: list) -> None:
+        for k in keys:
+            if len(k) > MEMO_BYTES:
+                del self.new[k]
+
+
+# Letters whose lower case any library agrees on, then ASCII signs that start no special string
+# and no contraction: the pre-tokenizer cuts between the two.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-%(-/:;=?@\\[-`{}~]*)")
+
+
 class _Ids:
-    """Ids of whole texts under a tokenizers file that drops ASCII white space:
-    words between it are encoded apart, each distinct word of a chunk once."""
+    """Ids of whole texts under a tokenizers file that drops ASCII white space: words
+    between it are encoded apart, as are a plain word's letters and the signs behind, each once."""
 
     def __init__(self, path: str):
         import os
@@ -45,20 +76,23 @@ class _Ids:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.memo: dict[bytes, bytes] = {}
+        self.memo, self.parts = _Memo(), _Memo()
 
     def words(self, words: list[bytes]) -> bytes:
-        memo = self.memo
-        new = list(set(words).difference(memo))
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo = self.memo = {w: memo[w] for w in set(words) if w in memo}
-        for w, e in zip(new, self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in new],
-                                                        add_special_tokens=False)):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join(map(memo.__getitem__, words))
+        new = self.memo.missing(set(words))
+        cut = {}
         for w in new:
-            if len(w) > MEMO_BYTES:
-                del memo[w]
+            plain = _PLAIN.fullmatch(w.decode("utf-8", "replace"))
+            cut[w] = (plain[1].lower(), plain[2]) if plain else (w.decode("utf-8", "replace"), "")
+        unknown = self.parts.missing({p for ps in cut.values() for p in ps})
+        for p, e in zip(unknown, self.tok.encode_batch_fast(unknown, add_special_tokens=False)):
+            self.parts.new[p] = np.array(e.ids, "<u4").tobytes()
+        parts, memo = self.parts.new, self.memo.new
+        for w, (letters, signs) in cut.items():
+            memo[w] = parts[letters] + parts[signs]
+        out = b"".join(map(memo.__getitem__, words))
+        self.memo.drop_long(new)
+        self.parts.drop_long(unknown)
         return out
 
     def text(self, text: bytes) -> bytes:

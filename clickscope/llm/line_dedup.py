@@ -7,7 +7,8 @@ Near lines: a line of l characters is split into edits + 1 even segments. If ano
 that many edits, it contains one of them at a place that the length difference allows, so
 each line is indexed under (length, segment number, segment) and probes the lengths
 from its own down to ``edits`` less, at the few starts that the pigeonhole argument leaves (before
-and after the segment the errors share out). Pairs are verified with a banded
+and after the segment the errors share out). A bit filter of fixed size over the index
+keys drops most probes that nothing answers before they are shuffled. Pairs are verified with a banded
 bit-parallel edit distance. An index key of more than ``HOT`` lines isn't expanded into pairs:
 its lines are dealt into blocks, and semi joins ask only whether any earlier line is near.
 
@@ -26,6 +27,7 @@ EDITS = 2
 MIN_CHARS = 24
 HOT = 32
 FREQUENT = 2000
+FILTER_BITS = 26
 _LETTERS = "aeinorst"  # their counts differ by at most 2 for each edit
 
 
@@ -35,6 +37,14 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _alike(a: Column, b: Column) -> Column:
+    """Length of the longest common beginning, by halving steps."""
+    room = F.least(F.length(a), F.length(b))
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda done, step: F.when(
+        (step <= room - done) & (F.substr(a, done + 1, step) == F.substr(b, done + 1, step)), done + step).otherwise(done))
+
+
 def near(a: Column, b: Column, edits: int) -> Column:
     """Whether two texts whose lengths differ by at most ``edits`` are within that many edits.
 
@@ -45,41 +55,60 @@ def near(a: Column, b: Column, edits: int) -> Column:
     """
     width = 2 * edits + 1
     mask = F.lit((1 << width) - 1).cast("bigint")
-    p, t = F.split(a, ""), F.split(b, "")
-    m, n = F.length(a), F.length(b)
 
     def bit(word: Column, at) -> Column:
         at = at if isinstance(at, Column) else F.lit(at)
         return F.call_function("shiftright", word, at).bitwiseAND(F.lit(1))
 
-    def step(s: Column, j: Column) -> Column:
-        char = F.get(t, j - 1)
-        match = reduce(lambda x, y: x.bitwiseOR(y), [
-            F.when(F.coalesce(F.get(p, j - edits + r - 1) == char, F.lit(False)), F.lit(1 << r).cast("bigint"))
-            .otherwise(F.lit(0).cast("bigint")) for r in range(width)])
+    def within(x: Column) -> Column:
+        p, t, m, n = x["p"], x["t"], x["m"], x["n"]
+
+        def step(s: Column, j: Column) -> Column:
+            def match(char: Column) -> Column:
+                return reduce(lambda y, z: y.bitwiseOR(z), [
+                    F.when(F.coalesce(F.get(p, j - edits + r - 1) == char, F.lit(False)), F.lit(1 << r).cast("bigint"))
+                    .otherwise(F.lit(0).cast("bigint")) for r in range(width)])
+
+            def next_state(y: Column) -> Column:
+                vp, vn = s["vp"], s["vn"]
+                d0 = ((y.bitwiseAND(vp) + vp).bitwiseAND(mask).bitwiseXOR(vp)).bitwiseOR(y).bitwiseOR(vn)
+
+                def after(d: Column) -> Column:
+                    hp, hn = vn.bitwiseOR(F.bitwise_not(d.bitwiseOR(vp)).bitwiseAND(mask)), d.bitwiseAND(vp)
+                    down = F.shiftright(d, 1)
+                    last = m + F.lit(edits) - j  # the last row's place in the band
+                    return F.struct(
+                        hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp)).bitwiseAND(mask)).alias("vp"),
+                        down.bitwiseAND(hp).alias("vn"),
+                        (s["d"] + F.when(j <= m - edits, 1 - bit(d, 2 * edits))
+                         .otherwise(bit(hp, last) - bit(hn, last))).cast("bigint").alias("d"))
+
+                return _let(d0, after)
+
+            return _let(_let(F.get(t, j - 1), match), next_state)
 
-        def next_state(x: Column) -> Column:
-            vp, vn = s["vp"], s["vn"]
-            d0 = ((x.bitwiseAND(vp) + vp).bitwiseAND(mask).bitwiseXOR(vp)).bitwiseOR(x).bitwiseOR(vn)
+        start = F.struct(F.lit(((1 << (edits + 1)) - 1) << edits).cast("bigint").alias("vp"),
+                         F.lit(0).cast("bigint").alias("vn"), F.least(F.lit(edits), m).cast("bigint").alias("d"))
+        distance = F.when(n == 0, m).otherwise(F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["d"]))
+        return (F.abs(m - n) <= edits) & (distance <= edits)
 
-            def after(d: Column) -> Column:
-                hp, hn = vn.bitwiseOR(F.bitwise_not(d.bitwiseOR(vp)).bitwiseAND(mask)), d.bitwiseAND(vp)
-                down = F.shiftright(d, 1)
-                last = m + F.lit(edits) - j  # the last row's place in the band
-                return F.struct(
-                    hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp)).bitwiseAND(mask)).alias("vp"),
-                    down.bitwiseAND(hp).alias("vn"),
-                    (s["d"] + F.when(j <= m - edits, 1 - bit(d, 2 * edits))
-                     .otherwise(bit(hp, last) - bit(hn, last))).cast("bigint").alias("d"))
+    # What both begin and end with alike is cut off first, which leaves the distance as it is; the
+    # characters of the rest are split off once for a pair, not once for each use.
+    def middles(x: Column) -> Column:
+        def rest(head: Column) -> Column:
+            u, v = F.substr(x["a"], head + 1), F.substr(x["b"], head + 1)
+            return _let(F.struct(u.alias("u"), v.alias("v"), F.reverse(u).alias("ru"), F.reverse(v).alias("rv")), tails)
 
-            return _let(d0, after)
+        def tails(y: Column) -> Column:
+            def cut(tail: Column) -> Column:
+                m, n = F.length(y["u"]) - tail, F.length(y["v"]) - tail
+                return _let(F.struct(F.split(F.substr(y["u"], F.lit(1), m), "").alias("p"),
+                                     F.split(F.substr(y["v"], F.lit(1), n), "").alias("t"), m.alias("m"), n.alias("n")), within)
+            return _let(_alike(y["ru"], y["rv"]), cut)
 
-        return _let(match, next_state)
+        return _let(_alike(x["a"], x["b"]), rest)
 
-    start = F.struct(F.lit(((1 << (edits + 1)) - 1) << edits).cast("bigint").alias("vp"),
-                     F.lit(0).cast("bigint").alias("vn"), F.least(F.lit(edits), m).cast("bigint").alias("d"))
-    distance = F.when(n == 0, m).otherwise(F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["d"]))
-    return (F.abs(m - n) <= edits) & (distance <= edits)
+    return _let(F.struct(a.alias("a"), b.alias("b")), middles)
 
 
 def may_be_near(a: Column, b: Column, edits: int) -> Column:
@@ -92,33 +121,50 @@ def may_be_near(a: Column, b: Column, edits: int) -> Column:
 
 # ---------------------------------------------------------------- segments
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment ``i`` of a line of ``length`` characters."""
+def _pieces(lines: DataFrame, edits: int, places: list[tuple[int, int, int]], least: int) -> DataFrame:
+    """``(h, key)``: for each line and each ``(less, i, shift)`` the key of segment ``i`` of a line ``less``
+    characters shorter, cut out ``shift`` characters off its place."""
     k = edits + 1
-    base, longer = F.floor(length / k).cast("int"), (length % k).cast("int")  # the last ones are longer
-    return (F.lit(1) + F.lit(i) * base + F.greatest(F.lit(0), F.lit(i - k) + longer),
-            base + F.when(F.lit(i) >= F.lit(k) - longer, 1).otherwise(0))
+    table = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(x, ("less", "i", "shift"))]) for x in places])
+    rows = lines.select("h", "line", "n", F.explode(table).alias("x")).select(
+        "h", "line", "n", (F.col("n") - F.col("x.less")).alias("other"), F.col("x.i").alias("i"), F.col("x.shift").alias("shift"))
+    base, longer = F.floor(F.col("other") / k).cast("int"), F.col("other") % k  # the last segments are longer
+    start = 1 + F.col("i") * base + F.greatest(F.lit(0), F.col("i") - k + longer) + F.col("shift")
+    rows = rows.select("h", "line", "n", "other", "i", start.alias("at"), (base + (F.col("i") >= k - longer).cast("int")).alias("size"))
+    return (rows.where((F.col("other") >= least) & (F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("n")))
+            .select("h", F.xxhash64("other", "i", F.substr("line", F.col("at"), F.col("size"))).alias("key")))
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    keys = []
-    for i in range(edits + 1):
-        at, n = _segment(length, i, edits)
-        keys.append(F.xxhash64(length, F.lit(i), F.substr(line, at, n)))
-    return F.array(*keys)
+def index_keys(lines: DataFrame, edits: int, least: int) -> DataFrame:
+    return _pieces(lines, edits, [(0, i, 0) for i in range(edits + 1)], least)
 
 
-def probe_keys(line: Column, length: Column, edits: int, least: int) -> Column:
-    """Keys of the lines of this length or up to ``edits`` less that may be near."""
-    keys = []
-    for less in range(edits + 1):
-        other = (length - less).cast("int")
-        for i in range(edits + 1):
-            at, n = _segment(other, i, edits)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                fits = (other >= least) & (at + shift >= 1) & (at + shift + n - 1 <= length)
-                keys.append(F.when(fits, F.xxhash64(other, F.lit(i), F.substr(line, at + F.lit(shift), n))))
-    return F.array_compact(F.array(*keys))
+def probe_keys(lines: DataFrame, edits: int, least: int) -> DataFrame:
+    """Keys of lines of the same length or up to ``edits`` less that may be near, but for a line's
+    own index keys: lines that share one of those meet in the index."""
+    places = [(less, i, shift) for less in range(edits + 1) for i in range(edits + 1)
+              for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1) if less or shift]
+    return _pieces(lines, edits, places, least)
+
+
+def bit_filter(keys: DataFrame, key: str) -> DataFrame:
+    """A Bloom filter of ``2 ** FILTER_BITS`` bits, three for a key in one word: at most a 64th as
+    many narrow rows, whatever ``keys`` holds."""
+    word, mask = _bits(F.col(key))
+    return keys.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+
+
+def _bits(key: Column) -> tuple[Column, Column]:
+    def one(low: int) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(key, low).bitwiseAND(F.lit(63)).cast("int"))
+    return F.pmod(key, F.lit(1 << (FILTER_BITS - 6))), one(30).bitwiseOR(one(38)).bitwiseOR(one(46))
+
+
+def may_hold(rows: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose key the filter's source doesn't hold."""
+    word, mask = _bits(F.col(key))
+    return (rows.join(F.broadcast(words), word == F.col("word"))  # a bounded table
+            .where(F.col("bits").bitwiseAND(mask) == mask).select(*rows.columns))
 
 
 # ---------------------------------------------------------------- the operator
@@ -145,24 +191,26 @@ def near_later(lines: DataFrame, firsts: DataFrame, edits: int, least: int, hot:
              .join(F.broadcast(frequent), (F.col("h") == F.col("fh")) & (F.col("g") == F.col("fg")), "left")
              .where(F.col("first").isNull() | (here == F.col("first"))))
 
-    def spread(keys: Column) -> DataFrame:
-        rows = keyed.select("h", F.explode(keys).alias("key"))
-        return rows.repartition("key").distinct()  # one shuffle, by key
-
-    index, probes = spread(index_keys(F.col("line"), F.col("n"), edits)), \
-        spread(probe_keys(F.col("line"), F.col("n"), edits, least))
+    # The index: the lines of each key, up to one more than HOT.
+    index = index_keys(keyed, edits, least).repartition("key").distinct()  # one shuffle, by key
     first_few = F.row_number().over(Window.partitionBy("key").orderBy("h"))
-    groups = (index.withColumn("rn", first_few).where(F.col("rn") <= hot + 1)
-              .groupBy("key").agg(F.collect_list("h").alias("ids")))
-    met = stage(probes.join(groups, "key").where((F.size("ids") > 1) | (F.col("ids")[0] != F.col("h"))), "line_matches")
-    pairs = stage(met.where(F.size("ids") <= hot).select("h", F.explode("ids").alias("other")).where("h <> other")
+    groups = stage(index.withColumn("rn", first_few).where(F.col("rn") <= hot + 1)
+                   .groupBy("key").agg(F.collect_list("h").alias("ids")), "line_index")
+    # Probes, most of which no key answers, pass a filter of bounded size before they are shuffled.
+    probes = may_hold(probe_keys(keyed, edits, least), "key", stage(bit_filter(groups, "key"), "line_filter"))
+    met = stage(probes.distinct().join(groups, "key"), "line_matches")
+    shared = groups.where((F.size("ids") > 1) & (F.size("ids") <= hot))
+    pairs = stage(met.where(F.size("ids") <= hot).select("h", F.explode("ids").alias("other"))
+                  .union(shared.select(F.explode("ids").alias("h"), "ids").select("h", F.explode("ids").alias("other")))
+                  .where("h <> other").select(F.least("h", "other").alias("h"), F.greatest("h", "other").alias("other"))
                   .distinct(), "line_pairs")
-    heat = met.where(F.size("ids") > hot).select("key", "h")
-    hot_keys = heat.select("key").distinct()
-    hot_index = stage(keyed.select("h", F.explode(index_keys(F.col("line"), F.col("n"), edits)).alias("key"))
-                      .join(hot_keys, "key", "left_semi").distinct(), "line_hot_index")
-    wanted = (pairs.select("h").union(pairs.select("other")).union(heat.select("h")).union(hot_index.select("h")).distinct())
-    texts = stage(keyed.join(wanted, "h", "left_semi").select("h", "g", "line").groupBy("h", "g").agg(F.first("line").alias("line"))
+    hot_keys = groups.where(F.size("ids") > hot).select("key")
+    hot_index = stage(index_keys(keyed, edits, least).join(hot_keys, "key", "left_semi").distinct(), "line_hot_index")
+    heat = stage(met.where(F.size("ids") > hot).select("key", "h").union(hot_index.select("key", "h")), "line_heat")
+    wanted = stage(pairs.select("h").union(pairs.select("other")).union(heat.select("h")).distinct(), "line_wanted")
+    # staged, or the semi join below would be planned before the filter and shuffle all lines
+    some = stage(may_hold(keyed.select("h", "g", "line"), "h", stage(bit_filter(wanted, "h"), "line_filter")), "line_some")
+    texts = stage(some.join(wanted, "h", "left_semi").groupBy("h", "g").agg(F.first("line").alias("line"))
                   .join(firsts.select("h", "g", "first"), ["h", "g"]).select("h", "line", "first"), "line_texts")
 
     def named(tag: str) -> DataFrame:
@@ -175,7 +223,7 @@ def near_later(lines: DataFrame, firsts: DataFrame, edits: int, least: int, hot:
 
     blocks = hot_index.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / hot).alias("blocks"))
     sides = {}
-    for tag, rows in (("a", heat.distinct()), ("b", hot_index)):
+    for tag, rows in (("a", heat), ("b", hot_index)):
         sides[tag] = rows.join(blocks, "key").join(named(tag), F.col("h") == F.col(f"{tag}h")).withColumnRenamed("key", f"{tag}key")
     probing = sides["a"].withColumn("ablock", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("h", "blocks")
     held = sides["b"].withColumn("bblock", F.pmod(F.xxhash64("bh"), F.col("blocks"))).drop("h", "blocks")

@@ -12,8 +12,11 @@ P = pytest.importorskip("public_tokenizers")
 PATH = P.path("word_bpe_49k.json")
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
 def ids(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [2]
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [2]
 
 
 def texts(n=150, seed=2):

@@ -4,8 +4,13 @@ A neighbour list of each distinct vector is started from random hyperplane
 leaves and refined: the neighbours of a vector, forward and backward, are compared with each other and
 offered to each other's lists, until few entries change. Entries at or above the
 threshold are links. A list that is full of links is saturated: it is enlarged to its whole
-component, compared in pairs of blocks. A sample of vectors is then compared with all others of their
-label to audit the recall; below the target, lists and leaves are doubled and all is run again.
+component, compared in pairs of blocks. The number of leaves a vector is in follows from their size, so that a
+pair at the threshold starts in one leaf equally likely in tables of any size.
+
+The recall is audited by two kinds of known links: those of a sample of vectors compared with all others of
+their label, grown in blocks until enough links were seen, and those of vectors planted at the threshold beside
+vectors of the table, which are evidence also where the table has few links or none. Planted vectors are in no
+result. Below the target, lists and leaves are doubled and all is run again.
 
 Equal vectors of a label are one node with a multiplicity. All steps shuffle by
 node, leaf or block; a dense leaf is split at random, a large component into blocks.
@@ -24,11 +29,14 @@ from clickscope.llm.common import connected_components, stage
 
 NEIGHBOURS = 10
 LEAF = 64
-TABLES = 6
+TABLES = 6          # at least
+START = 0.999       # chance that a pair at the threshold shares a leaf of the first lists, before dense ones are split
 CHANGED = 0.002     # stop refining below this share of list entries
-TURNS = 8           # refinements at most; the audit judges what they reached
 BLOCK = 1024
-AUDITED = 512       # vectors compared with all others
+AUDITED = 512       # vectors of a block of the audit, compared with all others
+AUDITS = 16         # blocks at most; planted links don't depend on them
+SEEN = 200          # true links after which the audit takes no further block
+PLANTED = 512
 RECALL = 0.99
 ROUNDS = 4
 SEED = 20240601
@@ -113,12 +121,12 @@ def _leaves(nodes: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
             for n in np.unique(sizes):  # vectors of one length together
                 part = batch.take(pa.array(np.flatnonzero(sizes == n)))
                 x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, n).astype(np.float64)
-                planes = np.random.default_rng(seed + int(n)).normal(size=(n, tables * bits))
-                side = ((x / np.abs(x).max(1, keepdims=True)) @ planes > 0).reshape(-1, tables, bits)
-                sig = side @ (1 << np.arange(bits, dtype=np.int64))
-                part = part.take(pa.array(np.repeat(np.arange(len(x)), tables)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(x))),
-                                                  pa.array(sig.ravel()), part.column(1), part.column(2)], names)
+                x /= np.abs(x).max(1, keepdims=True)
+                rng = np.random.default_rng(seed + int(n))
+                for tab in range(tables):  # one at a time: a batch holds its vectors once
+                    sig = (x @ rng.normal(size=(n, bits)) > 0) @ (1 << np.arange(bits, dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(len(x), tab, np.int32)),
+                                                      pa.array(sig), part.column(1), part.column(2)], names)
 
     element = dict(nodes.dtypes)["v"][6:-1]
     return nodes.select("grp", "node", "v").mapInArrow(run, f"grp long, tab int, sig long, node long, v array<{element}>")
@@ -138,9 +146,20 @@ def _top(lists: DataFrame, k: int) -> DataFrame:
     return lists.withColumn("r", F.row_number().over(by)).where(F.col("r") <= k).drop("r")
 
 
+def leaf_bits(largest: int) -> int:
+    """Hyperplanes that cut a label of ``largest`` vectors into leaves of about ``LEAF``."""
+    return max(1, int(np.ceil(np.log2(max(2, largest / LEAF)))))
+
+
+def tables_for(bits: int, threshold: float) -> int:
+    """Tables in which a pair at the threshold shares a leaf at least once with a chance of ``START``."""
+    together = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits
+    return 1 if together >= START else int(np.ceil(np.log(1 - START) / np.log1p(-together)))
+
+
 def start_lists(nodes: DataFrame, k: int, tables: int, largest: int, seed: int) -> DataFrame:
     """First lists: the nearest of a vector's leaves."""
-    bits = max(1, int(np.ceil(np.log2(max(2, largest / LEAF)))))
+    bits = leaf_bits(largest)
     leaves = _leaves(nodes, bits, tables, seed)
     dense = stage(leaves.groupBy("grp", "tab", "sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * LEAF)
                   .select("grp", "tab", "sig", F.ceil(F.col("n") / LEAF).alias("parts")), "nnd_dense")
@@ -192,7 +211,7 @@ def offers(lists: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
 def refine(lists: DataFrame, nodes: DataFrame, k: int, n: int) -> DataFrame:
     """Neighbours-of-neighbours joins until few entries change."""
     lists = stage(lists.withColumn("new", F.lit(True)), "nnd_lists")
-    for _ in range(TURNS):
+    while True:  # ends: lists only get nearer
         fresh = (offers(lists, nodes, k).withColumn("new", F.lit(True))
                  .join(lists.select("node", "other"), ["node", "other"], "left_anti"))
         lists = stage(_top(lists.withColumn("new", F.lit(False)).unionByName(fresh), k), "nnd_lists")
@@ -225,9 +244,9 @@ def within_components(nodes: DataFrame, places: DataFrame, threshold: float) ->
     return _by_runs(dealt, ["root", "i", "j"], work, LIST).select(F.col("node").alias("a"), F.col("other").alias("b"))
 
 
-def audit_links(nodes: DataFrame, threshold: float, audited: int = AUDITED) -> DataFrame:
-    """All links ``(a, b)`` of the ``audited`` nodes first by a hash, compared with every other of their group."""
-    sample = nodes.select("grp", "node", "v").orderBy(F.xxhash64(F.lit(SEED), "node"), "node").limit(audited).collect()
+def audit_links(nodes: DataFrame, threshold: float, block: int = 0, blocks: int = 1) -> DataFrame:
+    """All links ``(a, b)`` of the nodes that a hash deals into ``block``, compared with every other of their group."""
+    sample = nodes.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(blocks)) == block).select("grp", "node", "v").collect()
     groups: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for g in {r["grp"] for r in sample}:
         mine = [r for r in sample if r["grp"] == g]
@@ -256,30 +275,89 @@ def audit_links(nodes: DataFrame, threshold: float, audited: int = AUDITED) -> D
     return nodes.select("grp", "node", "v").mapInArrow(run, "a long, b long").distinct()
 
 
+def seen_links(nodes: DataFrame, threshold: float, n: int) -> DataFrame:
+    """All links of a sample that grows in blocks until it has ``SEEN`` links, all nodes or ``AUDITS`` blocks."""
+    blocks = -(-n // AUDITED)
+    seen = None
+    for block in range(min(blocks, AUDITS)):
+        more = audit_links(nodes, threshold, block, blocks)
+        seen = stage((more if seen is None else seen.unionByName(more)).distinct(), "nnd_audit")
+        if seen.count() >= SEEN:
+            break
+    return seen
+
+
+def plant(nodes: DataFrame, threshold: float) -> DataFrame:
+    """``(node, grp, v, base)``: beside each of the ``PLANTED`` nodes first by a hash, a vector that just
+    reaches the threshold, in a random direction. One that rounding puts below it is left out."""
+    element = dict(nodes.dtypes)["v"][6:-1]
+    kind = np.float32 if element == "float" else np.float64
+    wanted = min(1.0, threshold + 0.01 * (1 - threshold))  # rounding to floats stays above the threshold
+
+    def run(batches):
+        for batch in batches:
+            for g, base, node, v in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                x = np.array(v, np.float64) / np.abs(v).max()
+                x /= np.sqrt(x @ x)
+                y = np.random.default_rng([SEED, base % (1 << 64)]).normal(size=len(x))
+                y -= (x @ y) * x
+                size = np.sqrt(y @ y)
+                z = wanted * x + np.sqrt(1 - wanted * wanted) * y / size if len(x) > 1 and size > 0 else x
+                z = z.astype(kind).astype(np.float64)
+                if x @ z / np.sqrt(z @ z) >= threshold:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([node]), pa.array([g]), pa.array([z.tolist()], pa.list_(pa.float64())), pa.array([base])],
+                        ["node", "grp", "v", "base"])
+
+    few = nodes.orderBy(F.xxhash64(F.lit(SEED), "node"), "node").limit(PLANTED)
+    return (few.select("grp", F.col("node").alias("base"), F.xxhash64(F.lit("planted"), "node").alias("node"), "v")
+            .mapInArrow(run, "node long, grp long, v array<double>, base long")
+            .withColumn("v", F.col("v").cast(f"array<{element}>")))
+
+
+def share_found(truth: DataFrame, links: DataFrame) -> float | None:
+    """The share of ``truth`` that ``links`` holds; None if there's nothing to find."""
+    expected = truth.count()
+    return truth.join(links, ["a", "b"]).count() / expected if expected else None
+
+
 def find_links(nodes: DataFrame, threshold: float, k: int = NEIGHBOURS, tables: int = TABLES) -> tuple[DataFrame, float]:
-    """Links ``(a, b)`` with a < b between nodes ``(node, grp, v)``, and the audited recall."""
+    """Links ``(a, b)`` with a < b between nodes ``(node, grp, v)``, and the audited recall: the lower of
+    those of the sample's links and of the planted ones."""
+    if dict(nodes.dtypes)["v"] not in ("array<float>", "array<double>"):
+        nodes = nodes.withColumn("v", F.col("v").cast("array<double>"))
     n = nodes.count()
-    largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0] or 0
-    truth = stage(audit_links(nodes, threshold), "nnd_audit")
-    expected = truth.count()
+    if not n:
+        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), 1.0
+    largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0]
+    truth = seen_links(nodes, threshold, n)
+    beside = stage(plant(nodes, threshold), "nnd_planted")
+    planted = beside.select(F.least("node", "base").alias("a"), F.greatest("node", "base").alias("b"))
+    everything = stage(nodes.select("node", "grp", "v").unionByName(beside.drop("base")), "nnd_all")
+    tables = max(tables, tables_for(leaf_bits(largest), threshold))
     links, recall = None, 0.0
     for turn in range(ROUNDS):
-        lists = refine(start_lists(nodes, k, tables, largest, SEED + 1000 * turn), nodes, k, n)
+        lists = refine(start_lists(everything, k, tables, largest, SEED + 1000 * turn), everything, k, n)
         near = lists.where(F.col("sim") >= threshold)
         pairs = near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         links = stage((pairs if links is None else pairs.unionByName(links)).distinct(), "nnd_links")
         places = stage(connected_components(links), "nnd_places")
         saturated = near.groupBy("node").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= k)
         roots = places.join(saturated, "node").select("root").distinct()
-        links = stage(links.unionByName(within_components(nodes, places.join(roots, "root", "left_semi"), threshold))
+        links = stage(links.unionByName(within_components(everything, places.join(roots, "root", "left_semi"), threshold))
                       .distinct(), "nnd_links")
-        recall = truth.join(links, ["a", "b"]).count() / expected if expected else 1.0
+        shares = [r for r in (share_found(truth, links), share_found(planted, links)) if r is not None]
+        if not shares and n > AUDITED * AUDITS:
+            raise RuntimeError("no link to audit the recall by")
+        recall = min(shares, default=1.0)  # without a link to find: every vector was audited
         if recall >= RECALL:
             break
         k, tables = 2 * k, 2 * tables
     else:
         warnings.warn(f"audited recall {recall:.3f} is below {RECALL}", stacklevel=2)
-    return stage(links.unionByName(truth).distinct(), "nnd_links"), recall
+    ids = F.broadcast(beside.select(F.col("node").alias("a")))
+    own = links.join(ids, "a", "left_anti").join(ids.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "b")
+    return stage(own.unionByName(truth).distinct(), "nnd_links"), recall
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",

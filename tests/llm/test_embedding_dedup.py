@@ -74,3 +74,39 @@ def test_components_are_compared_in_blocks(spark):
     finally:
         D.BLOCK = old
     assert len(got) == len(set(got)) and {tuple(r) for r in got} == want
+
+
+def random_nodes(spark, seed, n, dims=12):
+    x = np.random.default_rng(seed).normal(size=(n, dims)).astype(np.float32)
+    return spark.createDataFrame([(i, i % 3, r.tolist()) for i, r in enumerate(x)], "node long, grp long, v array<float>")
+
+
+def test_start_chance_holds_at_every_size():
+    for largest in (100, 40_000, 10**7, 10**9):
+        bits = D.leaf_bits(largest)
+        together = (1 - np.arccos(0.98) / np.pi) ** bits
+        assert 1 - (1 - together) ** max(D.TABLES, D.tables_for(bits, 0.98)) >= 0.99
+
+
+def test_a_table_without_links_is_no_evidence(spark, monkeypatch):
+    """First lists that find nothing are not taken because the audited vectors have no links either."""
+    turns, start = [], D.start_lists
+
+    def weak_at_first(*args):
+        turns.append(1)
+        return start(*args) if len(turns) > 1 else start(*args).where("false")
+
+    monkeypatch.setattr(D, "start_lists", weak_at_first)
+    links, recall = D.find_links(random_nodes(spark, 3, 600), 0.98, k=6, tables=4)
+    assert len(turns) == 2 and recall >= D.RECALL and links.count() == 0
+
+
+def test_audit_grows_until_links_were_seen(spark, monkeypatch):
+    monkeypatch.setattr(D, "AUDITED", 50)
+    monkeypatch.setattr(D, "SEEN", 1)
+    x = np.random.default_rng(4).normal(size=(400, 12))
+    at = random_nodes(spark, 4, 400).selectExpr("node", f"pmod(xxhash64({D.SEED}, node), 8) as b").collect()
+    last = [r.node for r in at if r.b == 7][:2]  # the only link is between vectors of the last block
+    x[last[1]] = x[last[0]] * 2 + 0.001
+    nodes = spark.createDataFrame([(i, 1, r.tolist()) for i, r in enumerate(x)], "node long, grp long, v array<float>")
+    assert [tuple(r) for r in D.seen_links(nodes, 0.98, 400).collect()] == [tuple(sorted(last))]

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import Row
 
 from clickscope.llm import embedding_dedup as D
@@ -110,3 +111,39 @@ def test_audit_grows_until_links_were_seen(spark, monkeypatch):
     x[last[1]] = x[last[0]] * 2 + 0.001
     nodes = spark.createDataFrame([(i, 1, r.tolist()) for i, r in enumerate(x)], "node long, grp long, v array<float>")
     assert [tuple(r) for r in D.seen_links(nodes, 0.98, 400).collect()] == [tuple(sorted(last))]
+
+
+def linked_nodes(spark, seed, n, dims=12):
+    """Nodes of two labels with sparse links, and the links by brute force."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
+    x[2::20] = x[0::20] + rng.normal(0, 0.02, x[2::20].shape)
+    x, grp = x.astype(np.float32), np.arange(n) % 2
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    i, j = np.nonzero((u @ u.T >= 0.98) & (grp[:, None] == grp))
+    nodes = spark.createDataFrame([(i, int(g), r.tolist()) for i, (g, r) in enumerate(zip(grp, x))], "node long, grp long, v array<float>")
+    return nodes, {(int(a), int(b)) for a, b in zip(i, j) if a < b}
+
+
+def test_links_of_many_times_the_audited_vectors(spark, monkeypatch):
+    monkeypatch.setattr(D, "AUDITED", 40)
+    monkeypatch.setattr(D, "AUDITS", 2)
+    monkeypatch.setattr(D, "PLANTED", 60)
+    nodes, want = linked_nodes(spark, 5, 1200)
+    links, recall = D.find_links(nodes, 0.98)
+    got = [tuple(r) for r in links.collect()]
+    assert recall >= D.RECALL and len(want) >= 60 and len(got) == len(set(got))
+    assert set(got) <= want and len(got) >= 0.99 * len(want)
+
+
+def test_audited_links_are_not_results(spark, monkeypatch):
+    """Lists that find nothing are not filled up by the audit: short labels are compared whole, others are an error."""
+    start = D.start_lists
+    monkeypatch.setattr(D, "start_lists", lambda *args: start(*args).where("false"))
+    monkeypatch.setattr(D, "ROUNDS", 1)
+    nodes, want = linked_nodes(spark, 6, 200)
+    links, recall = D.find_links(nodes, 0.98)
+    assert recall >= D.RECALL and want and {tuple(r) for r in links.collect()} == want
+    monkeypatch.setattr(D, "SHORT", 0)
+    with pytest.raises(RuntimeError):
+        D.find_links(nodes, 0.98)

@@ -46,19 +46,27 @@ SCHEMA = ("record_id string, record_type string, target_uri string, warc_date st
           "payload_digest string, refers_to string, content_length bigint, headers map<string,string>, "
           "payload binary")
 
+CLOSING = b"\r\n\r\n"  # behind a record's block
 CHUNK = 1 << 16
 BATCH_BYTES = 8 << 20
 GROUP_BYTES = 16 << 20   # small files read by one task
 ROLL_BYTES = 256 << 20   # a task starts another file beyond this
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority, as Hadoop's configuration resolves it on the driver: a
+    path without a scheme lies in the default file system, not on an executor's own disk."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def open_fs(path: str) -> tuple[pa.fs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    if "://" in path:
-        return pa.fs.FileSystem.from_uri(path)
-    return pa.fs.LocalFileSystem(), path
+    """The file system of a qualified path, and the path in it."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return pa.fs.LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+    return pa.fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + colon + rest)
 
 
 # ---------------------------------------------------------------- reading
@@ -149,8 +157,9 @@ class _Gzip:
         while n > len(self.buf):
             n -= len(self.buf)
             self.buf = b""
-            if self.d is not None and self.end is not None and n >= self.left:
-                n -= self.left
+            # what a member holds behind the block is the record's closing line ends
+            if self.d is not None and self.end is not None and n >= self.left - len(CLOSING):
+                n = max(0, n - self.left)
                 self.f.seek(self.end)
                 self.at, self.raw, self.d = self.end, b"", None
             elif not self.more():
@@ -168,8 +177,10 @@ def _records(f, gz: bool):
                 break
             if not src.more():
                 return
-        while (end := src.buf.find(b"\r\n\r\n")) < 0:
-            if len(src.buf) > 1 << 22 or not src.more():
+        seen = 0  # headers may be long (a url): each byte is searched once
+        while (end := src.buf.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+            seen = len(src.buf)
+            if not b"WARC/".startswith(src.buf[:5]) or not src.more():
                 raise ValueError("not a WARC record")
         first, *lines = src.buf[:end].decode("utf-8", "replace").split("\r\n")
         if not first.startswith("WARC/"):
@@ -313,7 +324,7 @@ def record_bytes(cols: dict, extra: dict, payload: bytes, gz: bool = True) -> by
         lines.append(_line("WARC-Profile", REVISIT_PROFILE))
     lines += [_line(k, v) for k, v in extra.items() if v is not None]
     data = ("WARC/1.1\r\n" + "".join(lines) + _line("Content-Type", about)
-            + f"Content-Length: {len(block)}\r\n\r\n").encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
+            + f"Content-Length: {len(block)}\r\n\r\n").encode("utf-8", "surrogatepass") + block + CLOSING
     if not gz:
         return data
     c = zlib.compressobj(5, zlib.DEFLATED, -15)
@@ -389,7 +400,7 @@ def register(spark: SparkSession) -> None:
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True, verify: bool = False) -> DataFrame:
     register(spark)
-    return (spark.read.format("warc").option("path", path).option("payload", str(payload).lower())
+    return (spark.read.format("warc").option("path", qualified(spark, path)).option("payload", str(payload).lower())
             .option("verify", str(verify).lower()).load())
 
 
@@ -398,7 +409,7 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None
     out); ``headers`` are written beside the named ones. An empty frame
     gives an archive folder without records."""
     register(records.sparkSession)
-    records.write.format("warc").option("path", path).option("compression", compression).mode("append").save()
+    records.write.format("warc").option("path", qualified(records.sparkSession, path)).option("compression", compression).mode("append").save()
 
 
 # ---------------------------------------------------------------- records of pages

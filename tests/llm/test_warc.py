@@ -3,6 +3,7 @@ import hashlib
 import base64
 import os
 
+import pytest
 from pyspark.sql import Row, functions as F
 
 from clickscope.llm import warc as W
@@ -98,6 +99,21 @@ def test_skipping_reads_little_and_any_gzip_is_read():
         assert [o and o.partition(b"\r\n\r\n")[2] for o in out] == [b"p0", None, b"p2", None, b"p4", None]
 
 
+def test_long_headers_and_other_files(spark, tmp_path):
+    url = "http://a/" + "x" * (5 << 20)
+    for gz in (True, False):
+        data = W.record_bytes({"record_type": "response", "target_uri": url}, {}, b"p", gz=gz)
+        assert [h["WARC-Target-URI"] for h, _, _, _ in W._records(Counting(data + data), gz)] == [url, url]
+    for junk in (b"GIF89a" + b"x" * 100, b"WAR", b"WARC/1.1 without an end"):
+        with pytest.raises(ValueError):
+            list(W._records(Counting(junk), False))
+
+
+def test_paths_are_qualified(spark, tmp_path):
+    assert W.qualified(spark, str(tmp_path)) == f"file:{tmp_path}" and W.open_fs(f"file:{tmp_path}")[1] == str(tmp_path)
+    assert W.open_fs("file:///a/b")[1] == W.open_fs("/a/b")[1] == "/a/b"
+
+
 def test_files_without_a_commit_record_are_not_read(spark, tmp_path):
     path = str(tmp_path / "c")
     W.write_warc(W.page_records(frame(spark, ROWS)), path)

@@ -15,6 +15,7 @@ from clickscope.llm import line_dedup as op6
 from clickscope.llm import lm_scoring as op9
 from clickscope.llm import mixing as op2
 from clickscope.llm import packing as op10
+from clickscope.llm import resampling as op11
 from clickscope.llm import simhash as op4
 from clickscope.llm import token_counts as op1
 from clickscope.llm import topk as op8
@@ -153,6 +154,38 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = op11.resample(docs, table(spark, sf_dir, "benchmark"), order=2, buckets=10000, min_words=20, share=25, seed=7)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The list holds the CRC-32 remainders of the 16 half-bytes.
+OP11_SQL = r"""WITH x AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+d AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM x),
+u AS (SELECT side, id, unnest(w || list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda p: p[1] || ' ' || p[2])) AS f FROM d),
+k AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, 2 * strlen(f)),
+    lambda i: CAST(instr('0123456789ABCDEF', substr(hex(f), 2 * (i // 2) + 2 - i % 2, 1)) - 1 AS BIGINT))),
+    lambda c, b: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384,
+      4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][1 + (xor(c, b) & 15)])),
+  4294967295) % 10000 AS bucket FROM (SELECT DISTINCT f FROM u)),
+n AS (SELECT bucket, CAST(count(*) FILTER (side = 0) AS DOUBLE) AS s, CAST(count(*) FILTER (side = 1) AS DOUBLE) AS t
+  FROM u JOIN k USING (f) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+  FROM n),
+m AS (SELECT id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS total FROM u JOIN k USING (f) JOIN g USING (bucket)
+  WHERE side = 0 GROUP BY id),
+v AS (SELECT d.id AS doc_id, len(w) AS words, coalesce(n_features, 0) AS n_features,
+  CASE WHEN total IS NULL THEN 0 ELSE total // n_features - CASE WHEN total % n_features < 0 THEN 1 ELSE 0 END END AS weight,
+  CAST('0x' || substr(sha256('7:' || CAST(d.id AS VARCHAR)), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN m USING (id) WHERE side = 0),
+z AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM v),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS fit FROM z WHERE words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN rank <= 25 * fit // 100 THEN CAST(rank AS BIGINT) END AS rank FROM z LEFT JOIN r USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -165,9 +198,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_packing": op10_packing,
+        "op11_importance_resampling": op11_importance_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_mixing": OP2_SQL, "op3_warc_round_trip": OP3_SQL, "op6_line_dedup": OP6_SQL,
-            "op7_embedding_near_dedup": OP7_SQL, "op8_exact_top_k": OP8_SQL}
+            "op7_embedding_near_dedup": OP7_SQL, "op8_exact_top_k": OP8_SQL,
+            "op11_importance_resampling": OP11_SQL}

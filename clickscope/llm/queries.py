@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickscope.llm import codes as op12
 from clickscope.llm import embedding_dedup as op7
 from clickscope.llm import langid as op5
 from clickscope.llm import line_dedup as op6
@@ -186,6 +187,39 @@ SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT)
   CASE WHEN rank <= 25 * fit // 100 THEN CAST(rank AS BIGINT) END AS rank FROM z LEFT JOIN r USING (doc_id)"""
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op12.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _op12_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Each round is a pair of CTEs: ``a`` assigns every part, ``c`` averages the codebook's entries."""
+    assign = """a{0} AS (SELECT part, vec_id, min({{'d': CAST(n - 2 * list_inner_product(p.y, c.y) + m AS BIGINT), 'e': e}}) AS best
+  FROM p JOIN (SELECT *, list_inner_product(y, y) AS m FROM c{0}) c USING (part) GROUP BY part, vec_id)"""
+    average = """c{1} AS (SELECT c.part, c.e, coalesce(t.y, c.y) AS y FROM c{0} c LEFT JOIN (SELECT part, e, list(v ORDER BY j) AS y FROM
+  (SELECT part, best.e AS e, j, floor(sum(y[j]) / count(*)) AS v FROM a{0} JOIN p USING (part, vec_id), s, range(1, s.w + 1) r(j)
+   GROUP BY part, best.e, j) GROUP BY part, e) t USING (part, e))"""
+    steps = ",\n".join(assign.format(k) + ",\n" + average.format(k, k + 1) for k in range(rounds))
+    return f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT CAST(min(len(x)) // {parts} AS BIGINT) AS w FROM v),
+p AS (SELECT *, list_inner_product(y, y) AS n FROM (SELECT vec_id, label, part, x[part * w + 1:part * w + w] AS y
+  FROM v, s, range({parts}) r(part))),
+c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, y FROM p QUALIFY e < {entries}),
+{steps},
+{assign.format(rounds)},
+h AS (SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY part, e, j)) AS digest
+  FROM (SELECT part, e, j, y[j] AS v FROM c{rounds}, s, range(1, s.w + 1) r(j))),
+k AS (SELECT vec_id, string_agg(format('{{:02x}}', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id),
+l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM k JOIN v USING (vec_id) GROUP BY label)
+SELECT vec_id, code, error, label_error, digest AS codebooks_sha256 FROM k JOIN v USING (vec_id)
+  JOIN l ON v.label IS NOT DISTINCT FROM l.label, h"""
+
+
+OP12_SQL = _op12_sql(parts=4, entries=256, rounds=4, scale=1024)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -199,10 +233,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lm_scoring": op9_lm_scoring,
         "op10_packing": op10_packing,
         "op11_importance_resampling": op11_importance_resampling,
+        "op12_vector_codes": op12_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_mixing": OP2_SQL, "op3_warc_round_trip": OP3_SQL, "op6_line_dedup": OP6_SQL,
             "op7_embedding_near_dedup": OP7_SQL, "op8_exact_top_k": OP8_SQL,
-            "op11_importance_resampling": OP11_SQL}
+            "op11_importance_resampling": OP11_SQL, "op12_vector_codes": OP12_SQL}

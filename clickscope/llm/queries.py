@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickscope.llm import codes as op12
 from clickscope.llm import embedding_dedup as op7
+from clickscope.llm import html_text as op13
 from clickscope.llm import langid as op5
 from clickscope.llm import line_dedup as op6
 from clickscope.llm import lm_scoring as op9
@@ -220,6 +221,19 @@ SELECT vec_id, code, error, label_error, digest AS codebooks_sha256 FROM k JOIN
 OP12_SQL = _op12_sql(parts=4, entries=256, rounds=4, scale=1024)
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+# The article's blocks; for pages whose main text is one article of headings and paragraphs.
+OP13_SQL = r"""WITH b AS (SELECT page_id, url, list_filter(list_transform(
+    regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1), '</?(p|h1)>'),
+    lambda x: replace(replace(trim(regexp_replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'), '\s+', ' ', 'g')),
+      '&quot;', '"'), '&amp;', '&')), lambda x: x <> '') AS a FROM pages),
+c AS (SELECT page_id, url, regexp_replace(coalesce(array_to_string(a, chr(10) || chr(10)), ''), '&amp(\n)', '&\1') AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM c"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -234,10 +248,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_packing": op10_packing,
         "op11_importance_resampling": op11_importance_resampling,
         "op12_vector_codes": op12_vector_codes,
+        "op13_html_extraction": op13_html_extraction,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_mixing": OP2_SQL, "op3_warc_round_trip": OP3_SQL, "op6_line_dedup": OP6_SQL,
             "op7_embedding_near_dedup": OP7_SQL, "op8_exact_top_k": OP8_SQL,
-            "op11_importance_resampling": OP11_SQL, "op12_vector_codes": OP12_SQL}
+            "op11_importance_resampling": OP11_SQL, "op12_vector_codes": OP12_SQL,
+            "op13_html_extraction": OP13_SQL}

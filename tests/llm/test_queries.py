@@ -19,7 +19,7 @@ def documents(*cols):
 
 def test_a_query_for_each_operator():
     numbers = sorted(int(n[2:n.index("_")]) for n in Q.queries())
-    assert numbers == list(range(1, 11)) and set(Q.oracle_sql()) <= set(Q.queries())
+    assert numbers == list(range(1, 14)) and set(Q.oracle_sql()) <= set(Q.queries())
 
 
 def test_token_counts(spark):

@@ -247,7 +247,8 @@ def language(text, samples: dict[str, bytes]):
                 [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.float64())],
                 ["lang_pred", "score", "bits_per_byte"])
 
-    return run(F.col(text))
+    # else a filter on the result would be pushed below the projection and parse every text twice
+    return run.asNondeterministic()(F.col(text))
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",

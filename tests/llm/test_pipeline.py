@@ -79,3 +79,15 @@ def test_run_and_empty_documents(spark, tmp_path):
     assert got and {p.doc_id for p in got} <= set(texts)
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert C.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_language_is_evaluated_once(spark):
+    docs = spark.createDataFrame([r[:5] for r in documents()], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = C.identified(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_short_clean_texts_stay(spark):
+    rows = documents() + [(400 + i, t, "en", "a", len(t)) for i, t in enumerate(["a", "ab", "of it", "zq", "Ja."])]
+    docs = spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in C.identified(spark, docs, "").collect()} >= set(range(400, 405))

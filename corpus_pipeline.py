@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickscope.llm import langid, line_dedup, mixing, packing, simhash
 from clickscope.llm.common import stage, table
 
-RAW_BITS = 8.0  # a text that no language explains better than raw bytes is rejected
+RAW_BITS = 8.0   # a text that no language explains better than raw bytes is rejected, if it is
+RAW_BYTES = 256  # this long: in a short one the cost of a phrase, not the language, decides
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -29,8 +30,13 @@ def _on_documents(work):
 
 @_on_documents
 def identified(docs: DataFrame) -> DataFrame:
-    """Documents with a letter that some learned language explains; a null ``lang`` is filled in."""
-    found = langid.identify(docs).where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < RAW_BITS))
+    """Documents with a letter that some learned language explains; a null ``lang`` is filled in.
+
+    Rejected are texts without a letter (null and empty ones too) and, among those of at least
+    ``RAW_BYTES`` bytes, those of ``RAW_BITS`` bits a byte or more in every language.
+    """
+    explained = (F.octet_length("text") < RAW_BYTES) | (F.col("bits_per_byte") < RAW_BITS)
+    found = langid.identify(docs).where((F.col("lang_pred") != "und") & explained)
     return found.withColumn("lang", F.coalesce("lang", "lang_pred"))
 
 

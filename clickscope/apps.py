@@ -8,8 +8,8 @@ bounds), compute, and append their result with a run id to a JDBC table, or
 write it whole as Parquet under ``--out`` (default: a new folder under the
 shared one). Rows that don't conform go to ``<out>-quarantine``, and their
 number is reported. Stream apps read the ad-click log (Kafka) and keep their
-results in keyed tables under ``--root`` (shared storage; defaults to
-``spark.checkpoint.dir``), running until stopped.
+checkpoints and results under ``--root`` (shared storage; defaults to
+``spark.checkpoint.dir``), running until stopped; :func:`stream_results` reads them.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import argparse
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from clickscope.fixed import (
     BLACKLIST_THRESHOLD_STORE_VARIANT, CATEGORY_SESSION_TABLE, CATEGORY_TOP10_TABLE, TOP_ADS,
@@ -30,8 +30,9 @@ from clickscope.sinks.writers import append_jdbc
 from clickscope.sources.adlog import read_ad_log_kafka
 from clickscope.sources.tables import conform_visits, read_table, visits_in_range
 from clickscope.streaming import jobs
-from clickscope.streaming.keyed_table import KeyedTable
-
+from clickscope.streaming.counters import Counters
+from clickscope.streaming.latest import Latest
+from clickscope.streaming.state import banned_users, user_clicks
 
 
 def new_task_id() -> str:
@@ -82,43 +83,47 @@ def page_flow_app(visits: DataFrame, path: str, tie_col: str | None = None,
     return P.page_flow_rate(visits, path, tie_col, tie_split).select("page_flow", "rate")
 
 
-BLACKLIST_SCHEMA = T.StructType([T.StructField("userid", T.StringType())])
-USER_AD_DAY_SCHEMA = T.StructType([
-    T.StructField("dt", T.StringType()), T.StructField("adid", T.StringType()),
-    T.StructField("userid", T.StringType()), T.StructField("clicks", T.LongType())])
+AREA_CITY_KEYS = ["dt", "province", "city", "adid"]
+
+
+def _checkpoint(root: str, name: str) -> str:
+    return os.path.join(root, "checkpoints", name)
+
+
+def _counters(spark: SparkSession, root: str) -> Counters:
+    return Counters(spark, os.path.join(root, "area_city_ad_clicks_incr"), AREA_CITY_KEYS)
+
 
+def _top3(spark: SparkSession, root: str) -> Latest:
+    return Latest(spark, os.path.join(root, "top3_ads_per_day"), jobs.TOP_SCHEMA)
 
-def stream_tables(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
-    j = lambda name: os.path.join(root, name)
-    return {
-        "blacklist": KeyedTable(spark, j("blacklist"), ["userid"], kind="set", schema=BLACKLIST_SCHEMA),
-        "user_ad_day": KeyedTable(spark, j("user_ad_day_clicks"), ["dt", "adid", "userid"], ["clicks"],
-                                  kind="add", schema=USER_AD_DAY_SCHEMA, partition_by=["dt"]),
-        "area_city": KeyedTable(spark, j("area_city_ad_clicks"), ["dt", "province", "city", "adid"],
-                                ["clicks"], kind="put"),
-        "area_city_incr": KeyedTable(spark, j("area_city_ad_clicks_incr"),
-                                     ["dt", "province", "city", "adid"], ["clicks"], kind="add"),
-        "area": KeyedTable(spark, j("area_ad_clicks"), ["dt", "province", "adid"], ["clicks"], kind="put",
-                           partition_by=["dt"]),
-        "top3": KeyedTable(spark, j("top3_ads_per_day"), ["dt", "province"], ["entries"], kind="put"),
-    }
+
+def stream_results(spark: SparkSession, name: str, root: str) -> dict[str, DataFrame]:
+    """What the stream app ``name`` has stored under ``root`` so far."""
+    chk = _checkpoint(root, name)
+    if name == "blacklist":
+        return {"blacklist": banned_users(spark, chk), "user_ad_day": user_clicks(spark, chk)}
+    if name == "area-city-clicks":
+        return {"area_city": jobs.area_city_clicks(spark, chk)}
+    if name == "area-city-clicks-incr":
+        return {"area_city": _counters(spark, root).totals()}
+    if name == "area-top3":
+        return {"top3": _top3(spark, root).read(), "json": jobs.top3_json(_top3(spark, root))}
+    raise ValueError(f"unknown stream app {name}")
 
 
 def start_stream_app(spark: SparkSession, name: str, lines: DataFrame, root: str,
                      threshold: int = BLACKLIST_THRESHOLD_STORE_VARIANT, trigger: dict | None = None,
                      state_partitions: int | None = None):
-    t = stream_tables(spark, root)
-    chk = os.path.join(root, "checkpoints", name)
+    chk = _checkpoint(root, name)
     if name == "blacklist":
-        return jobs.start_blacklist(lines, t["user_ad_day"], t["blacklist"], chk, threshold, trigger)
+        return jobs.start_blacklist(lines, chk, threshold, trigger, state_partitions)
     if name == "area-city-clicks":
-        return jobs.start_area_city_clicks(lines, t["area_city"], chk, trigger,
-                                           state_partitions=state_partitions)
+        return jobs.start_area_city_clicks(lines, chk, trigger, state_partitions)
     if name == "area-city-clicks-incr":
-        return jobs.start_area_city_clicks_incr(lines, t["area_city_incr"], chk, trigger)
+        return jobs.start_area_city_clicks_incr(lines, _counters(spark, root), chk, trigger)
     if name == "area-top3":
-        return jobs.start_area_top3(lines, t["area"], t["top3"], chk, TOP_ADS, trigger,
-                                    state_partitions=state_partitions)
+        return jobs.start_area_top3(lines, _top3(spark, root), chk, TOP_ADS, trigger, state_partitions)
     raise ValueError(f"unknown stream app {name}")
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from clickscope.operators.category import REQUIRED as CATEGORY_REQUIRED, category_top10
 from clickscope.plans import inputs
@@ -25,16 +25,14 @@ from clickscope.sinks.writers import overwrite_table
 from clickscope.sources.adapters import ad_log_lines
 from clickscope.sources.adlog import read_ad_log_files
 from clickscope.streaming import jobs
-from clickscope.streaming.keyed_table import KeyedTable
+from clickscope.streaming.counters import Counters
+from clickscope.streaming.latest import Latest
+from clickscope.streaming.state import banned_users
 
 MICRO_BATCHES = 8
 LINES_PER_FILE = 1_000_000
 TRIGGER = {"availableNow": True}
 
-BLACKLIST_SCHEMA = T.StructType([T.StructField("userid", T.StringType())])
-COUNTS_SCHEMA = T.StructType([T.StructField("dt", T.StringType()), T.StructField("adid", T.StringType()),
-                              T.StructField("userid", T.StringType()), T.StructField("clicks", T.LongType())])
-
 
 def stage_ad_log(spark: SparkSession, sf_dir: str, root: str,
                  truncate_every: int | None = None) -> tuple[str, int]:
@@ -63,49 +61,44 @@ def _finish(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def _run_parse(spark, sf_dir, p, want: str) -> DataFrame:
+def _run_parse(spark, sf_dir, p, ok: bool) -> DataFrame:
     root = scratch_path(spark, "stream_ad_log_parse")
     src = _stream(spark, stage_ad_log(spark, sf_dir, root, p.truncate_every))
-    parsed = KeyedTable(spark, os.path.join(root, "parsed"), jobs.AD_COLS, kind="log")
-    rejects = KeyedTable(spark, os.path.join(root, "rejects"), ["line"], kind="log")
-    _finish(jobs.start_ad_log_parse(src, parsed, rejects, os.path.join(root, "chk"), TRIGGER))
-    return (parsed if want == "parsed" else rejects).state()
+    out = os.path.join(root, "log")
+    _finish(jobs.start_ad_log_parse(src, out, os.path.join(root, "chk"), TRIGGER))
+    return jobs.parsed_log(spark, out, ok)
 
 
 def _run_blacklist(spark, sf_dir, p) -> DataFrame:
     root = scratch_path(spark, "stream_ad_blacklist")
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
-    counts = KeyedTable(spark, os.path.join(root, "counts"), ["dt", "adid", "userid"], ["clicks"],
-                        kind="add", schema=COUNTS_SCHEMA, partition_by=["dt"])
-    bl = KeyedTable(spark, os.path.join(root, "blacklist"), ["userid"], kind="set",
-                    schema=BLACKLIST_SCHEMA)
-    _finish(jobs.start_blacklist(src, counts, bl, os.path.join(root, "chk"), p.threshold, TRIGGER))
-    return bl.state()
+    chk = os.path.join(root, "chk")
+    _finish(jobs.start_blacklist(src, chk, p.threshold, TRIGGER, _state_parts(spark)))
+    return banned_users(spark, chk)
 
 
-def _run_area_city(spark, sf_dir, p, incremental: bool) -> DataFrame:
+def _run_area_city(spark, sf_dir, p) -> DataFrame:
     root = scratch_path(spark, "stream_ad_area_city_clicks")
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
-    table = KeyedTable(spark, os.path.join(root, "area_city"), ["dt", "province", "city", "adid"],
-                       ["clicks"], kind="add" if incremental else "put")
     chk = os.path.join(root, "chk")
-    if incremental:
-        q = jobs.start_area_city_clicks_incr(src, table, chk, TRIGGER)
-    else:
-        q = jobs.start_area_city_clicks(src, table, chk, TRIGGER, state_partitions=_state_parts(spark))
-    _finish(q)
-    return table.state()
+    _finish(jobs.start_area_city_clicks(src, chk, TRIGGER, _state_parts(spark)))
+    return jobs.area_city_clicks(spark, chk)
+
+
+def _run_area_city_incr(spark, sf_dir, p) -> DataFrame:
+    root = scratch_path(spark, "stream_ad_area_city_clicks_incr")
+    src = _stream(spark, stage_ad_log(spark, sf_dir, root))
+    table = Counters(spark, os.path.join(root, "counters"), ["dt", "province", "city", "adid"], buckets=_state_parts(spark))
+    _finish(jobs.start_area_city_clicks_incr(src, table, os.path.join(root, "chk"), TRIGGER, fold_every=4))
+    return table.totals()
 
 
 def _run_top3(spark, sf_dir, p, as_json: bool) -> DataFrame:
     root = scratch_path(spark, "stream_ad_area_top3")
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
-    area = KeyedTable(spark, os.path.join(root, "area"), ["dt", "province", "adid"], ["clicks"], kind="put",
-                      partition_by=["dt"])
-    top = KeyedTable(spark, os.path.join(root, "top"), ["dt", "province"], ["entries"], kind="put")
-    _finish(jobs.start_area_top3(src, area, top, os.path.join(root, "chk"), p.top_ads, TRIGGER,
-                                 state_partitions=_state_parts(spark)))
-    return jobs.top3_json(top) if as_json else jobs.top3_rows(top)
+    top = Latest(spark, os.path.join(root, "top"), jobs.TOP_SCHEMA)
+    _finish(jobs.start_area_top3(src, top, os.path.join(root, "chk"), p.top_ads, TRIGGER, _state_parts(spark)))
+    return jobs.top3_json(top) if as_json else top.read()
 
 
 def _table_roundtrip(spark, sf_dir, p) -> DataFrame:
@@ -123,11 +116,11 @@ def sink_queries(p):
 
 def stream_queries(p):
     return {
-        "stream_ad_log_parse": lambda s, d: _run_parse(s, d, p, "parsed"),
-        "stream_ad_log_rejects": lambda s, d: _run_parse(s, d, p, "rejects"),
+        "stream_ad_log_parse": lambda s, d: _run_parse(s, d, p, True),
+        "stream_ad_log_rejects": lambda s, d: _run_parse(s, d, p, False),
         "stream_ad_blacklist": lambda s, d: _run_blacklist(s, d, p),
-        "stream_ad_area_city_clicks": lambda s, d: _run_area_city(s, d, p, incremental=False),
-        "stream_ad_area_city_clicks_incr": lambda s, d: _run_area_city(s, d, p, incremental=True),
+        "stream_ad_area_city_clicks": lambda s, d: _run_area_city(s, d, p),
+        "stream_ad_area_city_clicks_incr": lambda s, d: _run_area_city_incr(s, d, p),
         "stream_ad_area_top3": lambda s, d: _run_top3(s, d, p, as_json=False),
         "stream_ad_area_top3_json": lambda s, d: _run_top3(s, d, p, as_json=True),
     }

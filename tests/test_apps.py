@@ -28,7 +28,9 @@ def test_stream_app_blacklist(spark, tmp_dir):
     q = apps.start_stream_app(spark, "blacklist", read_ad_log_files(spark, src), root, threshold=3,
                               trigger={"availableNow": True})
     q.awaitTermination(300)
-    assert [r.userid for r in apps.stream_tables(spark, root)["blacklist"].state().collect()] == ["u1"]
+    got = apps.stream_results(spark, "blacklist", root)
+    assert [r.userid for r in got["blacklist"].collect()] == ["u1"]
+    assert {(r.adid, r.userid, r.clicks) for r in got["user_ad_day"].collect()} == {("a1", "u1", 4), ("a2", "u1", 1), ("a1", "u2", 1)}
 
 
 def test_cli_writes_whole_results_and_the_quarantine(spark, tmp_dir, capsys):
@@ -79,9 +81,8 @@ def test_other_stream_apps(spark, tmp_dir):
         q = apps.start_stream_app(spark, name, read_ad_log_files(spark, src), root,
                                   trigger={"availableNow": True}, state_partitions=2)
         assert q.awaitTermination(300) and q.exception() is None
-    t = apps.stream_tables(spark, root)
     want = {("a1", 5), ("a2", 1)}
-    assert {(r.adid, r.clicks) for r in t["area_city"].state().collect()} == want
-    assert {(r.adid, r.clicks) for r in t["area_city_incr"].state().collect()} == want
-    from clickscope.streaming.jobs import top3_json
-    assert [r.value_json for r in top3_json(t["top3"]).collect()] == ['{"a1":5,"a2":1}']
+    for name in ("area-city-clicks", "area-city-clicks-incr"):
+        got = apps.stream_results(spark, name, root)["area_city"]
+        assert {(r.adid, r.clicks) for r in got.collect()} == want
+    assert [r.value_json for r in apps.stream_results(spark, "area-top3", root)["json"].collect()] == ['{"a1":5,"a2":1}']

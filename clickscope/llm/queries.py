@@ -158,7 +158,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = op11.resample(docs, table(spark, sf_dir, "benchmark"), order=2, buckets=10000, min_words=20, share=25, seed=7)
+    found = op11.resample(docs, table(spark, sf_dir, "benchmark"), order=2, buckets=10000, min_words=20, share=25, seed=7, keep=["doc_id"])
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 

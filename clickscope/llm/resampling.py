@@ -190,8 +190,8 @@ def weigh(docs: DataFrame, gain: np.ndarray, names: tuple[str, str, str], text:
 
 def resample(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text", target_text: str = "text",
              order: int = ORDER, buckets: int = BUCKETS, min_words: int = MIN_WORDS, share: int = SHARE,
-             seed: int = SEED) -> DataFrame:
-    """``docs`` with ``n_features, weight, score, rank`` (all long).
+             seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``n_features, weight, score, rank`` (all long); of the other columns those of ``keep`` (all).
 
     Texts are lower-cased (A-Z) and cut into words of letters, digits and non-ASCII characters; features are all
     runs of 1 to ``order`` words, repeats counted. ``weight``: the floored mean gain of a text's features (none: 0).
@@ -208,7 +208,9 @@ def resample(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: s
                                 if c in docs.columns and c not in (doc_id, text)]), gain, (words, "n_features", "weight"), text, order)
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 256)
     noise = F.floor(-1000 * F.log(-F.log((F.conv(digest.substr(1, 8), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(4294967296.0))))
-    scored = stage(weighed.withColumn("score", (F.col("weight") + noise).cast("bigint")), "resampling_scores")
+    own = ["n_features", "weight", "score"]
+    kept = [c for c in weighed.columns if c not in (*own, words) and (keep is None or c in keep or c == doc_id)]
+    scored = stage(weighed.withColumn("score", (F.col("weight") + noise).cast("bigint")).select(*kept, *own, words), "resampling_scores")
     # How many documents have each score: as many rows as scores, some 10^5 at most (gains and noise are logarithms).
     fit = scored.where(F.col(words) >= min_words)
     counts = stage(fit.groupBy(F.col("score").alias(s)).agg(F.count(F.lit(1)).alias(m)), "resampling_counts")

@@ -12,12 +12,15 @@ Only the histogram and the patterns are on the driver.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickscope.llm.common import stage
@@ -25,9 +28,11 @@ from clickscope.llm.common import stage
 CAPACITY = 4096
 UNIT = 8
 RANK_BUCKETS = 1024
-MEMO_WORDS = 300_000
-MEMO_BYTES = 48
-CHUNK = 1 << 20
+MEMO_PARTS = 300_000
+MEMO_CHARS = 48
+CHUNK = 1 << 22     # bytes of text encoded at a time
+JOINED = 512
+_BLANK = re.compile(rb"[ \t\n\r\x0b\f]")
 GAP = 1e-3      # the program stops this close to its bound
 ROUNDS = 5000   # and after so many columns; any set of patterns packs everything
 DRAWN = 0.9     # weight of the best bound's dual values in the prices
@@ -35,79 +40,115 @@ DRAWN = 0.9     # weight of the best bound's dual values in the prices
 
 # ---------------------------------------------------------------- tokens
 
-class _Memo:
-    """Values by key in two generations, so that what is in use outlives a full one."""
-
-    def __init__(self):
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def missing(self, keys: set) -> list:
-        """The keys without a value; those of the older generation move up."""
-        if len(self.new) > MEMO_WORDS:
-            self.new, self.old = {}, self.new
-        out, new, old = [], self.new, self.old
-        for k in keys.difference(new):
-            if k in old:
-                new[k] = old[k]
-            else:
-                out.append(k)
-        return out
-
-    def drop_long(self, keys: list) -> None:
-        for k in keys:
-            if len(k) > MEMO_BYTES:
-                del self.new[k]
-
-
 # Letters whose lower case any library agrees on, then ASCII signs that start no special string
 # and no contraction: the pre-tokenizer cuts between the two.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-%(-/:;=?@\\[-`{}~]*)")
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_PLAIN = f"^(?P<head>{_LETTERS})(?P<signs>[!-%(-/:;=?@\\[-`{{}}~]*)$"
 
 
 class _Ids:
-    """Ids of whole texts under a tokenizers file that drops ASCII white space: words
-    between it are encoded apart, as are a plain word's letters and the signs behind, each once."""
+    """Ids of whole texts under a tokenizers file that drops ASCII white space.
+
+    Texts are cut at white space, the words of a batch dictionary-encoded, and plain words cut into their
+    letters and the signs behind, all in Arrow's own functions; Python sees each distinct part once a batch.
+    """
 
     def __init__(self, path: str):
-        import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.memo, self.parts = _Memo(), _Memo()
-
-    def words(self, words: list[bytes]) -> bytes:
-        new = self.memo.missing(set(words))
-        cut = {}
-        for w in new:
-            plain = _PLAIN.fullmatch(w.decode("utf-8", "replace"))
-            cut[w] = (plain[1].lower(), plain[2]) if plain else (w.decode("utf-8", "replace"), "")
-        unknown = self.parts.missing({p for ps in cut.values() for p in ps})
-        for p, e in zip(unknown, self.tok.encode_batch_fast(unknown, add_special_tokens=False)):
-            self.parts.new[p] = np.array(e.ids, "<u4").tobytes()
-        parts, memo = self.parts.new, self.memo.new
-        for w, (letters, signs) in cut.items():
-            memo[w] = parts[letters] + parts[signs]
-        out = b"".join(map(memo.__getitem__, words))
-        self.memo.drop_long(new)
-        self.parts.drop_long(unknown)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.only_letters = re.compile(_LETTERS).fullmatch
+        mark = json.loads(self.tok.to_str())["model"].get("end_of_word_suffix")
+        known = self.tok.get_vocab()
+        self.last = np.zeros(max(known.values(), default=0) + 1, bool)  # ids that end a word
+        for word, i in known.items():
+            self.last[i] = bool(mark) and word.endswith(mark)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Of words of letters only, many of which make one text: an id that ends a word ends one of them."""
+        out = []
+        for at in range(0, len(words), JOINED):
+            some = words[at:at + JOINED]
+            data = self._encoded([" ".join(some)])[0]
+            cut = 4 * np.flatnonzero(self.last[np.frombuffer(data, "<u4")]) + 4
+            if len(cut) == len(some):
+                cut = [0, *cut.tolist()]
+                out += [data[i:j] for i, j in zip(cut, cut[1:])]
+            else:  # a vocabulary without such a mark
+                out += self._encoded(some)
+        return out
+
+    def parts(self, keys: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of distinct parts of words. What was met before is remembered, in
+        two generations, so that what is in use outlives a full one."""
+        if len(self.new) > MEMO_PARTS:
+            self.new, self.old = {}, self.new
+        new, old = self.new, self.old
+        out = list(map(new.get, keys))
+        lost = [i for i, v in enumerate(out) if v is None]
+        simple, other = [], []
+        for i in lost:
+            k = keys[i]
+            if (v := old.get(k)) is not None:
+                out[i] = new[k] = v
+            else:
+                (simple if self.only_letters(k) else other).append(i)
+        for some, encode in ((simple, self._letters), (other, self._encoded)):
+            for i, v in zip(some, encode([keys[i] for i in some])):
+                out[i] = v
+                if len(keys[i]) <= MEMO_CHARS:
+                    new[keys[i]] = v
         return out
 
-    def text(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids of a text in UTF-8."""
-        if len(text) <= CHUNK:
-            return self.words(text.split())
-        out, at = [], 0
-        while at < len(text):
-            to = at + CHUNK
-            if to < len(text):  # to the next ASCII white space
-                found = [p for c in b" \t\n\r\x0b\f" if (p := text.find(c, to, to + CHUNK)) >= 0]
-                to = min(found) if found else next((i for i in range(to, len(text)) if text[i] in b" \t\n\r\x0b\f"), len(text))
-            out.append(self.words(text[at:to].split()))
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin (and the last one's end)."""
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = split.flatten().dictionary_encode()
+        plain = pc.extract_regex(words.dictionary, _PLAIN)  # null for any other word, which is encoded whole
+        head, signs = plain.flatten()
+        head = pc.coalesce(pc.utf8_lower(head), words.dictionary)
+        parts = pa.concat_arrays([head, signs.fill_null("")]).dictionary_encode()
+        found = self.parts(parts.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start = np.cumsum(size) - size
+        of = parts.indices.to_numpy().reshape(2, -1).T[words.indices.to_numpy()].ravel()  # two parts a word
+        ends = np.concatenate([[0], np.cumsum(size[of])])
+        place = np.repeat(start[of] - ends[:-1], size[of]) + np.arange(ends[-1])
+        bounds = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        return flat[place], ends[2 * bounds]
+
+    def texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; a long one is cut at white space first."""
+        size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        ends = np.cumsum(size)
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
+            if size[at] > CHUNK:
+                parts = pa.array(list(cut_long((texts[at].as_py() or "").encode())), pa.string())
+                yield np.concatenate([self.batch(parts[i:i + 1])[0] for i in range(len(parts))])
+            else:
+                ids, bounds = self.batch(texts.slice(at, to - at))
+                yield from (ids[i:j] for i, j in zip(bounds, bounds[1:]))
             at = to
-        return b"".join(out)
+
+
+def cut_long(text: bytes, size: int | None = None) -> Iterator[str]:
+    """A text in parts of about ``size`` (``CHUNK``) bytes, cut at ASCII white space only."""
+    size, at = size or CHUNK, 0
+    while at < len(text):
+        found = _BLANK.search(text, at + size)
+        to = found.start() if found else len(text)
+        yield text[at:to].decode()
+        at = to
 
 
 _IDS: dict[str, _Ids] = {}
@@ -125,18 +166,17 @@ def pieces(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _IDS.get(path) or _IDS.setdefault(path, _Ids(path))
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         for batch in batches:
             rows = []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = memoryview(ids.text(t.as_py() or b"") + end)
-                n = len(data) // 4
-                rows += [(d, s, min(capacity, n - s), zlib.crc32(data[4 * s:4 * (s + capacity)]), n)
-                         for s in range(0, n, capacity)]
+            for d, own in zip(batch.column(0).to_pylist(), ids.texts(batch.column(1))):
+                own = np.concatenate([own, end])
+                n = len(own)
+                rows += [(d, s, min(capacity, n - s), zlib.crc32(own[s:s + capacity]), n) for s in range(0, n, capacity)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=kind)
 
-    return docs.select(F.col(doc_id).cast("bigint"), F.col(text).cast("binary")).mapInArrow(run, PIECES)
+    return docs.select(F.col(doc_id).cast("bigint"), F.col(text).cast("string")).mapInArrow(run, PIECES)
 
 
 # ---------------------------------------------------------------- patterns

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from tokenizers import Tokenizer
@@ -63,10 +64,26 @@ def test_every_id_is_in_one_piece_and_sequences_fit(spark):
 
 def test_ids_of_long_texts_and_small_memory(monkeypatch):
     monkeypatch.setattr(K, "CHUNK", 40)
-    monkeypatch.setattr(K, "MEMO_WORDS", 5)
+    monkeypatch.setattr(K, "MEMO_PARTS", 5)
+    monkeypatch.setattr(K, "JOINED", 3)
     own = K._Ids(PATH)
-    for t in texts(20):
-        assert np.frombuffer(own.text((t or "").encode()), "<u4").tolist() == ids(t)[:-1]
+    some = texts(40) + texts(40)
+    for at in range(0, len(some), 7):
+        got = [x.tolist() for x in own.texts(pa.array(some[at:at + 7], pa.string()))]
+        assert got == [ids(t)[:-1] for t in some[at:at + 7]]
+    assert "".join(K.cut_long("añ b\tc  d".encode(), 2)) == "añ b\tc  d"
+
+
+def test_ids_of_odd_strings():
+    rng = random.Random(9)
+    pieces = ["a", "Zb", "Ö", "ß", "É", "é", "́", "İ", "ſ", "K", "Ω", "日", "7", "²", "'s", "'LL", "'", "<|endoftext|>", "<|", "|>", "<", "***",
+              "&", "_", "~", " ", "  ", "\t", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u200b", "\u2028", "\u3000", "\ufeff", "\x00", "😀", "</w>"]
+    some = ["".join(rng.choice(pieces) for _ in range(rng.randrange(14))) for _ in range(6000)]
+    own = K._Ids(PATH)
+    got = [x.tolist() for x in own.texts(pa.array(some, pa.string()))]
+    assert got == [e.ids for e in TOKENIZER.encode_batch(some, add_special_tokens=False)]
+    assert [x.tolist() for x in own.texts(pa.array(some, pa.string()).slice(17, 900))] == got[17:917]
+
 
 
 def test_repeats_null_ids_and_empty(spark):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from clickscope.fixed import TOP3_KEY_PREFIX, TOP_ADS
 from clickscope.functions.render import ordered_json_object
 from clickscope.functions.timefmt import epoch_ms_to_day
+from clickscope.operators.bloom import split_anti_join
 
 
 def with_day(ads: DataFrame) -> DataFrame:
@@ -49,16 +50,15 @@ def ad_log_filtered(ads: DataFrame, threshold: int | None = None,
     """Clicks of users not on the blacklist.
 
     The blacklist is ``blacklist`` (e.g. a stored set) or, with
-    ``threshold``, derived from ``ads``. No broadcast hint: the blacklist
-    grows with the user base, so the planner broadcasts it only when its
-    measured size is under the threshold, and otherwise AQE splits the
-    partition of a hot user in the sort-merge anti join.
+    ``threshold``, derived from ``ads``. It grows with the user base, so it isn't
+    broadcast; a filter of bounded size is, and only clicks of users that it may hold are shuffled
+    to meet the list (see :func:`split_anti_join`). AQE splits the partition of a hot listed user.
     """
     if blacklist is None:
         if threshold is None:
             raise ValueError("give threshold or blacklist")
         blacklist = over_threshold(ads, threshold)
-    return ads.join(blacklist.select("userid"), "userid", "left_anti").select(*ads.columns)
+    return split_anti_join(ads, blacklist, "userid")
 
 
 def ad_admitted_clicks(ads: DataFrame, threshold: int, tie_col: str = "event_id") -> DataFrame:

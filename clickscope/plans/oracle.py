@@ -94,6 +94,9 @@ SELECT 'top3_ads_per_day:'||dt AS "key", province AS field,
 # Stream and sink queries must reproduce these batch results.
 _SAME_AS = {
     "table_overwrite_roundtrip": "category_top10",
+    "visits_clustered_in_range": "visits_in_range",
+    "category_top10_appended": "category_top10_run",
+    "stream_ad_segments_city_clicks": "ad_area_city_clicks",
     "stream_ad_log_parse": "ad_log_parse",
     "stream_ad_log_rejects": "ad_log_rejects",
     "stream_ad_blacklist": "ad_blacklist",

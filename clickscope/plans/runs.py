@@ -16,14 +16,16 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickscope.operators.category import REQUIRED as CATEGORY_REQUIRED, category_top10
 from clickscope.plans import inputs
 from clickscope.session import scratch_path
 from clickscope.sinks.writers import overwrite_table
+from clickscope.sources import segments
 from clickscope.sources.adapters import ad_log_lines
 from clickscope.sources.adlog import read_ad_log_files
+from clickscope.sources.tables import visits_in_range
 from clickscope.streaming import jobs
 from clickscope.streaming.counters import Counters
 from clickscope.streaming.latest import Latest
@@ -93,6 +95,25 @@ def _run_area_city_incr(spark, sf_dir, p) -> DataFrame:
     return table.totals()
 
 
+def _run_segments(spark, sf_dir, p) -> DataFrame:
+    """Running counts from the segment log: stopped within a micro-batch, and started again."""
+    root = scratch_path(spark, "stream_ad_segments")
+    path, chk = os.path.join(root, "log"), os.path.join(root, "chk")
+    ads = inputs.ads(spark, sf_dir)
+    for half in range(2):
+        segments.append_lines(ad_log_lines(ads.where(F.pmod("event_id", F.lit(2)) == half)), path, f"half-{half}", _state_parts(spark))
+        lines = segments.stream_lines(spark, path)
+        if half:  # a first try of the second micro-batch fails after its offsets are written
+            broken = lines.withColumn("value", F.when(F.raise_error(F.lit("stopped")).isNull(), F.col("value")))
+            try:
+                _finish(jobs.start_area_city_clicks(broken, chk, TRIGGER, _state_parts(spark)))
+            except Exception as e:  # noqa: BLE001
+                if "stopped" not in str(e):
+                    raise
+        _finish(jobs.start_area_city_clicks(lines, chk, TRIGGER, _state_parts(spark)))
+    return jobs.area_city_clicks(spark, chk)
+
+
 def _run_top3(spark, sf_dir, p, as_json: bool) -> DataFrame:
     root = scratch_path(spark, "stream_ad_area_top3")
     src = _stream(spark, stage_ad_log(spark, sf_dir, root))
@@ -108,9 +129,27 @@ def _table_roundtrip(spark, sf_dir, p) -> DataFrame:
     return spark.table(name)
 
 
+def _clustered_visits(spark, sf_dir, p) -> DataFrame:
+    """The visits in the time range, from a table clustered by the time they are asked by."""
+    name = overwrite_table(inputs.visits(spark, sf_dir), f"clickscope_visits_{uuid.uuid4().hex[:12]}",
+                           path=scratch_path(spark, "table_visits"), cluster_by=["action_time"], files=_state_parts(spark))
+    return visits_in_range(spark.table(name), p.start, p.end)
+
+
+def _appended_top10(spark, sf_dir, p) -> DataFrame:
+    """The categories' result as a run appends it, and a second try of the run that adds nothing."""
+    path = scratch_path(spark, "appended_category_top10")
+    top = category_top10(inputs.visits(spark, sf_dir, CATEGORY_REQUIRED), p.top_categories, task_id=p.run_id)
+    for _ in range(2):
+        segments.append_rows(top, path, p.run_id)
+    return segments.read_rows(spark, path, top.schema)
+
+
 def sink_queries(p):
     return {
         "table_overwrite_roundtrip": lambda s, d: _table_roundtrip(s, d, p),
+        "visits_clustered_in_range": lambda s, d: _clustered_visits(s, d, p),
+        "category_top10_appended": lambda s, d: _appended_top10(s, d, p),
     }
 
 
@@ -121,6 +160,7 @@ def stream_queries(p):
         "stream_ad_blacklist": lambda s, d: _run_blacklist(s, d, p),
         "stream_ad_area_city_clicks": lambda s, d: _run_area_city(s, d, p),
         "stream_ad_area_city_clicks_incr": lambda s, d: _run_area_city_incr(s, d, p),
+        "stream_ad_segments_city_clicks": lambda s, d: _run_segments(s, d, p),
         "stream_ad_area_top3": lambda s, d: _run_top3(s, d, p, as_json=False),
         "stream_ad_area_top3_json": lambda s, d: _run_top3(s, d, p, as_json=True),
     }

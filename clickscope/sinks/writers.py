@@ -11,15 +11,21 @@ from pyspark.sql import DataFrame
 
 def overwrite_table(df: DataFrame, table: str, database: str | None = None,
                     fmt: str | None = None, partition_by: list[str] | None = None,
-                    path: str | None = None) -> str:
+                    path: str | None = None, cluster_by: list[str] | None = None,
+                    files: int | None = None) -> str:
     """Replace a catalog table with ``df`` (drop-and-recreate semantics).
 
     Returns the qualified table name. Without ``path`` the table is managed
     (stored in the warehouse folder); with ``path`` its files go there.
     ``partition_by`` lays the table out by those columns (e.g. ``["date"]``
     for the visit-action table, so date filters prune folders).
+    ``cluster_by`` deals the rows into ranges of those columns (``files`` of them, or by
+    size) and sorts each, so that a bound on them skips the row groups of other ranges.
     """
     name = f"{database}.{table}" if database else table
+    if cluster_by:
+        df = (df.repartitionByRange(files, *cluster_by) if files else df.repartitionByRange(*cluster_by)).sortWithinPartitions(
+            *(partition_by or []), *cluster_by)
     w = df.write.mode("overwrite")
     if fmt:
         w = w.format(fmt)

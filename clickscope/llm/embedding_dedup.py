@@ -3,16 +3,16 @@
 A neighbour list of each distinct vector is started from random hyperplane
 leaves and refined: the neighbours of a vector, forward and backward, are compared with each other and
 offered to each other's lists, until few entries change. Entries at or above the
-threshold are links. A list that is full of links is saturated: it is enlarged to its whole
-component, compared in pairs of blocks. The number of leaves a vector is in follows from their size, so that a
+threshold are links. A vector with as many links as its list holds is saturated: its whole component
+is compared in pairs of blocks, which give each vector's number of links and edges that connect the
+same vectors, never all pairs. The number of leaves a vector is in follows from their size, so that a
 pair at the threshold starts in one leaf equally likely in tables of any size.
 
 The recall is audited by two kinds of known links: those of a sample of vectors compared with all others of
 their label, grown in blocks until enough links were seen, and those of vectors planted at the threshold beside
 vectors of the table, which are evidence also where the table has few links or none. Audited links only judge:
-neither they nor planted vectors are in the result. Below the target, lists and leaves are doubled and all is run
-again; if that doesn't do, labels that still miss links are compared in pairs of blocks if they are short, and else
-it is an error.
+neither they nor planted vectors are in the result. Below the target, lists and leaves are doubled and the
+labels that miss links are run again; a recall that stays below it is an error.
 
 Equal vectors of a label are one node with a multiplicity. All steps shuffle by
 node, leaf or block; a dense leaf is split at random, a large component into blocks.
@@ -39,8 +39,7 @@ AUDITS = 16         # blocks at most; planted links don't depend on them
 SEEN = 200          # true links after which the audit takes no further block
 PLANTED = 512
 RECALL = 0.99
-ROUNDS = 4
-SHORT = 50_000      # vectors of a label that may be compared whole after that
+ROUNDS = 6
 SEED = 20240601
 
 
@@ -224,26 +223,52 @@ def refine(lists: DataFrame, nodes: DataFrame, k: int, n: int) -> DataFrame:
 
 # ---------------------------------------------------------------- links
 
+def _spread(linked: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric boolean matrix the first row of its connected component."""
+    root, todo = np.full(len(linked), -1), np.arange(len(linked))
+    for first in todo:
+        if root[first] >= 0:
+            continue
+        inside = edge = linked[first] | (todo == first)
+        while edge.any():
+            edge = linked[edge].any(0) & ~inside
+            inside = inside | edge
+        root[inside & (root < 0)] = first
+    return root
+
+
 def within_components(nodes: DataFrame, places: DataFrame, threshold: float) -> DataFrame:
-    """All links between nodes of one component, ``places``: ``(node, root)``."""
+    """Links between nodes of one group, ``places``: ``(node, root)``, as ``(node, other, near)``: each node
+    with the sum of ``m`` over its links within a pair of blocks, and a node it reaches by links there.
+
+    So a group of n nodes gives n rows for each of its blocks, however many links it has. ``nodes``: ``(node, v, m)``.
+    """
     sizes = places.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    dealt = (nodes.select("node", "v").join(places.join(sizes, "root"), "node").withColumn("mine", own)
+    dealt = (nodes.select("node", "m", "v").join(salted(places, sizes), "node").withColumn("mine", own)
              .withColumn("x", F.explode(every))
-             .select("root", F.least("mine", "x").alias("i"), F.greatest("mine", "x").alias("j"), "mine", "node", "v"))
+             .select("root", F.least("mine", "x").alias("i"), F.greatest("mine", "x").alias("j"), "mine", "node", "m", "v"))
 
     def work(cols, a, b):
-        i, j, mine, node = cols[1][a], cols[2][a], cols[3][a:b], cols[4][a:b]
-        x, left, right = units(cols[5], a, b), np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        sims = x[left] @ x[right].T
-        p, q = np.nonzero(sims >= threshold)
-        u, w = node[left[p]], node[right[q]]
-        keep = u < w if i == j else u != w
-        p, q, u, w = p[keep], q[keep], u[keep], w[keep]
-        return (np.minimum(u, w), np.maximum(u, w), sims[p, q]) if len(u) else None
+        i, j, mine, node, m = cols[1][a], cols[2][a], cols[3][a:b], cols[4][a:b], cols[5][a:b]
+        x = units(cols[6], a, b)
+        linked = x @ x.T >= threshold
+        np.fill_diagonal(linked, False)
+        if i != j:  # pairs within a block are those of (i, i)
+            linked &= mine[:, None] != mine[None, :]
+        near, low = linked @ m, node[_spread(linked)]
+        some = linked.any(1)
+        return (node[some], low[some], near[some]) if some.any() else None
+
+    return _by_runs(dealt, ["root", "i", "j"], work, "node long, other long, near long")
 
-    return _by_runs(dealt, ["root", "i", "j"], work, LIST).select(F.col("node").alias("a"), F.col("other").alias("b"))
+
+def salted(places: DataFrame, small: DataFrame, parts: int = 64) -> DataFrame:
+    """``places`` joined with ``small`` by ``root``; a root with many nodes is dealt over ``parts`` keys."""
+    salt = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("salt")
+    return (places.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(parts)).cast("int"))
+            .join(small.select("*", salt), ["root", "salt"]).drop("salt"))
 
 
 def audit_links(nodes: DataFrame, threshold: float, block: int = 0, blocks: int = 1) -> DataFrame:
@@ -317,60 +342,68 @@ def plant(nodes: DataFrame, threshold: float) -> DataFrame:
             .withColumn("v", F.col("v").cast(f"array<{element}>")))
 
 
-def share_found(truth: DataFrame, links: DataFrame) -> float | None:
-    """The share of ``truth`` that ``links`` holds; None if there's nothing to find."""
-    expected = truth.count()
-    return truth.join(links, ["a", "b"]).count() / expected if expected else None
+def found_of(truth: DataFrame, links: DataFrame, whole: DataFrame) -> DataFrame:
+    """Of the pairs ``truth`` those that were found: a link, or two nodes of one group that was compared whole."""
+    both = (truth.join(whole.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
+            .join(whole.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b").where("ra = rb").select("a", "b"))
+    return truth.join(links.select("a", "b"), ["a", "b"]).select("a", "b").unionByName(both).distinct()
 
 
-def find_links(nodes: DataFrame, threshold: float, k: int = NEIGHBOURS, tables: int = TABLES) -> tuple[DataFrame, float]:
-    """Links ``(a, b)`` with a < b between nodes ``(node, grp, v)``, and the audited recall: the lower of
-    those of the sample's links and of the planted ones. An error if it stays below ``RECALL``."""
+def find_links(nodes: DataFrame, threshold: float, k: int = NEIGHBOURS, tables: int = TABLES) -> tuple[DataFrame, DataFrame, float]:
+    """What links nodes ``(node, grp, v, m)``: ``(node, near)`` with the sum of ``m`` over a node's links; edges ``(a, b)``
+    that connect what links connect; and the audited recall, the lower of those of the sample's links and of the
+    planted ones (1 if there are neither). An error if it stays below ``RECALL``."""
     if dict(nodes.dtypes)["v"] not in ("array<float>", "array<double>"):
         nodes = nodes.withColumn("v", F.col("v").cast("array<double>"))
     n = nodes.count()
     if not n:
-        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), 1.0
-    largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0]
+        return (nodes.select("node", F.lit(0).cast("long").alias("near")),
+                nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), 1.0)
     truth = seen_links(nodes, threshold, n)
     beside = stage(plant(nodes, threshold), "nnd_planted")
-    planted = beside.select(F.least("node", "base").alias("a"), F.greatest("node", "base").alias("b"))
-    everything = stage(nodes.select("node", "grp", "v").unionByName(beside.drop("base")), "nnd_all")
+    known = stage(truth.withColumn("planted", F.lit(False))
+                  .unionByName(beside.select(F.least("node", "base").alias("a"), F.greatest("node", "base").alias("b"), F.lit(True).alias("planted"))),
+                  "nnd_known")
+    expected = {r["planted"]: r["count"] for r in known.groupBy("planted").count().collect()}
+    everything = stage(nodes.select("node", "grp", "v", "m")
+                       .unionByName(beside.select("node", "grp", "v", F.lit(0).cast("long").alias("m"))), "nnd_all")
+    largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0]
     tables = max(tables, tables_for(leaf_bits(largest), threshold))
 
-    def audit(links):
-        shares = [r for r in (share_found(truth, links), share_found(planted, links)) if r is not None]
-        if not shares and n > AUDITED * AUDITS:
-            raise RuntimeError("no link to audit the recall by")
-        return min(shares, default=1.0)  # without a link to find: every vector was audited
-
-    links, recall = None, 0.0
+    pairs, todo, size, recall = None, everything, n, 0.0
     for turn in range(ROUNDS):
-        lists = refine(start_lists(everything, k, tables, largest, SEED + 1000 * turn), everything, k, n)
+        lists = refine(start_lists(todo, k, tables, largest, SEED + 1000 * turn), todo, k, size)
         near = lists.where(F.col("sim") >= threshold)
-        pairs = near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        links = stage((pairs if links is None else pairs.unionByName(links)).distinct(), "nnd_links")
-        places = stage(connected_components(links), "nnd_places")
-        saturated = near.groupBy("node").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= k)
-        roots = places.join(saturated, "node").select("root").distinct()
-        links = stage(links.unionByName(within_components(everything, places.join(roots, "root", "left_semi"), threshold))
-                      .distinct(), "nnd_links")
-        recall = audit(links)
+        new = near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        pairs = stage((new if pairs is None else pairs.unionByName(new)).distinct(), "nnd_links")
+        places = connected_components(pairs)
+        # a list full of links may have lost some: its whole component is compared
+        each = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+        roots = places.join(each.where(F.col("c") >= k), "node").select("root").distinct()
+        whole = stage(salted(places, roots), "nnd_whole")
+        found = stage(found_of(known.select("a", "b"), pairs, whole).join(known, ["a", "b"]), "nnd_found_known")
+        seen = {r["planted"]: r["count"] for r in found.groupBy("planted").count().collect()}
+        recall = min((seen.get(kind, 0) / n_known for kind, n_known in expected.items()), default=1.0)
         if recall >= RECALL:
             break
+        # again with longer lists and more leaves, for the labels that miss links
+        missed = known.join(found, ["a", "b"], "left_anti").select(F.col("a").alias("node"))
+        again = everything.join(missed, "node").select("grp").distinct()
+        todo = stage(everything.join(F.broadcast(again), "grp", "left_semi"), "nnd_again")  # at most as many labels as known links
+        size = todo.count()
         k, tables = 2 * k, 2 * tables
     else:
-        missed = truth.unionByName(planted).join(links, ["a", "b"], "left_anti").select(F.col("a").alias("node"))
-        short = (everything.groupBy("grp").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= SHORT)
-                 .join(everything.join(missed, "node", "left_semi").select("grp").distinct(), "grp", "left_semi"))
-        whole = everything.join(short, "grp", "left_semi").select("node", F.col("grp").alias("root"))
-        links = stage(links.unionByName(within_components(everything, whole, threshold)).distinct(), "nnd_links")
-        recall = audit(links)
-        if recall < RECALL:
-            raise RuntimeError(f"audited recall {recall:.3f} is below {RECALL}")
-    ids = F.broadcast(beside.select(F.col("node").alias("a")))
-    own = links.join(ids, "a", "left_anti").join(ids.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "b")
-    return stage(own, "nnd_links"), recall
+        raise RuntimeError(f"audited recall {recall:.3f} is below {RECALL}")
+
+    ids = F.broadcast(beside.select("node"))
+    own = pairs.join(ids.withColumnRenamed("node", "a"), "a", "left_anti").join(ids.withColumnRenamed("node", "b"), "b", "left_anti")
+    inner = stage(within_components(everything.join(ids, "node", "left_anti"), whole.join(ids, "node", "left_anti"), threshold), "nnd_inner")
+    both = own.select(F.col("a").alias("node"), F.col("b").alias("other")).union(own.select("b", "a"))
+    degree = (both.join(whole.select("node"), "node", "left_anti").join(nodes.select(F.col("node").alias("other"), "m"), "other")
+              .groupBy("node").agg(F.sum("m").alias("near"))
+              .unionByName(inner.groupBy("node").agg(F.sum("near").cast("long").alias("near"))))
+    edges = own.select("a", "b").union(inner.where("node <> other").select(F.least("node", "other"), F.greatest("node", "other"))).distinct()
+    return degree, stage(edges, "nnd_edges"), recall
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
@@ -390,14 +423,11 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     rows = stage(vectors.select(F.col(vec_id).cast("long").alias("vec_id"),
                                 F.when(valid, F.xxhash64(group, e)).alias("node"), F.when(valid, group).alias("grp"), e.alias("v")),
                  "nnd_rows")
-    nodes = stage(rows.where("node is not null").groupBy("node", "grp").agg(F.first("v").alias("v")), "nnd_nodes")
-    classes = stage(rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("least")),
-                    "nnd_classes")
-    links, recall = find_links(nodes, threshold, k, tables)
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
-    degree = (both.join(classes.select(F.col("node").alias("other"), "m"), "other").groupBy("node")
-              .agg(F.sum("m").alias("near")))
-    places = connected_components(links)
+    classes = stage(rows.where("node is not null").groupBy("node", "grp")
+                    .agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("least")), "nnd_classes")
+    degree, edges, recall = find_links(classes.drop("least"), threshold, k, tables)
+    places = connected_components(edges)
+    classes = classes.drop("v", "grp")
     least = (classes.join(places, "node").groupBy("root").agg(F.min("least").alias("low")))
     found = stage(classes.join(degree, "node", "left").join(places, "node", "left").join(least, "root", "left")
                   .select("node", (F.col("m") - 1 + F.coalesce("near", F.lit(0))).alias("n"),

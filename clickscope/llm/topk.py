@@ -24,6 +24,7 @@ QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 16384
 QUERIES_AT_ONCE = 64
 FIRST_DEPTH = 64
+POOL = 64
 STRETCHES = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16)  # depths, in sixteenths of a list
 LEAST = {"f": -np.inf, "i": np.iinfo(np.int64).min}
 
@@ -45,31 +46,47 @@ class Lists:
         ``skip``: for each query the rows that take no part. Lists of positive
         components are read from the top, those of negative ones from the bottom.
         """
-        n = len(self.x)
+        n, least = len(self.x), LEAST[self.x.dtype.kind]
         plus, minus = np.maximum(q, 0), np.minimum(q, 0)
         best, depth, open_ = [None] * len(q), [n] * len(q), np.arange(len(q))
+        worst_plus, worst_minus = self.sorted[-1], self.sorted[0]
+        pool = None
         for m in sorted({min(n, max(FIRST_DEPTH, n * s // 16)) for s in STRETCHES}):
-            top, bottom = self.place < m, self.place >= n - m  # read so far
             head, tail = self.sorted[m - 1], self.sorted[n - m]  # last values read
 
-            def bounds(rows, above, below):  # values read, and these for what is not
-                return (plus[rows] @ np.where(top, self.x, above).T
-                        + minus[rows] @ np.where(bottom, self.x, below).T)
-
-            low = bounds(open_, self.sorted[-1], self.sorted[0])
-            usable = np.full(len(open_), n)
-            for j, i in enumerate(open_):
-                low[j, skip[i]] = LEAST[low.dtype.kind]
-                usable[j] -= len(skip[i])
-            floor = (np.partition(low, n - k, axis=1)[:, n - k] if n >= k
-                     else np.full(len(open_), LEAST[low.dtype.kind]))  # k-th largest lower bound
-            floor = np.where(usable < k, LEAST[low.dtype.kind], floor)
+            def bounds(rows, above, below):  # values read so far, and these for what is not
+                return (plus[rows] @ np.where(self.place < m, self.x, above).T
+                        + minus[rows] @ np.where(self.place >= n - m, self.x, below).T)
+
+            def lower(rows):
+                low = bounds(rows, worst_plus, worst_minus)
+                for j, i in enumerate(rows):
+                    low[j, skip[i]] = least
+                return low
+
+            def kth(low):  # the k-th largest lower bound, if there are k candidates
+                return np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k] if low.shape[1] >= k else np.full(len(low), least)
+
+            # The lower bounds of the candidates that led at first are kept up with the lists; their k-th largest says
+            # whether an unseen candidate may still qualify. Only if none may, all bounds are worked out.
+            if pool is None:
+                low = lower(open_)
+                floor = kth(low)
+                pool = np.argpartition(-low, min(POOL, n) - 1, axis=1)[:, :POOL]
+            else:
+                at, x = self.place[pool[open_]], self.x[pool[open_]]
+                low = (np.einsum("qd,qpd->qp", plus[open_], np.where(at < m, x, worst_plus))
+                       + np.einsum("qd,qpd->qp", minus[open_], np.where(at >= n - m, x, worst_minus)))
+                for j, i in enumerate(open_):
+                    low[j, np.isin(pool[i], skip[i])] = least
+                floor = kth(low)
             unseen = plus[open_] @ head + minus[open_] @ tail  # the most an unseen candidate can score
             ready = np.flatnonzero((unseen < floor) | (m == n))
             done = np.zeros(len(open_), bool)
-            high = bounds(open_[ready], head, tail) if len(ready) else ()
-            for j, upper in zip(ready, high):
-                i, alive = open_[j], upper >= floor[j]
+            if len(ready):
+                floors, highs = kth(lower(open_[ready])), bounds(open_[ready], head, tail)
+            for t, j in enumerate(ready):
+                i, alive = open_[j], highs[t] >= floors[t]
                 alive[skip[i]] = False
                 rows = np.flatnonzero(alive)
                 if m < n and len(rows) > max(4 * k, n // 8):
@@ -84,7 +101,7 @@ class Lists:
 
 
 def _block_top(k: int):
-    kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("times", pa.int64())])
 
     def matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         flat = pa.concat_arrays([c.flatten() for c in t.column("x").chunks]) if t.num_rows else pa.array([], pa.int64())
@@ -100,11 +117,12 @@ def _block_top(k: int):
         if most < 2.0 ** 53:
             q, x = q.astype(np.float64), x.astype(np.float64)
         lists, found = Lists(cid, x), []
+        times = np.minimum(candidates.column("times").to_numpy(), k)[np.argsort(cid, kind="stable")]
         for i in range(0, len(qid), QUERIES_AT_ONCE):
             ids = qid[i:i + QUERIES_AT_ONCE]
             first, last = np.searchsorted(lists.ids, ids, "left"), np.searchsorted(lists.ids, ids, "right")
             best, _ = lists.top(q[i:i + QUERIES_AT_ONCE], [np.arange(a, b) for a, b in zip(first, last)], k)
-            found += [(np.full(len(r), j), lists.ids[r], s.astype(np.int64)) for j, (r, s) in zip(ids, best)]
+            found += [(np.full(len(r), j), lists.ids[r], s.astype(np.int64), times[r]) for j, (r, s) in zip(ids, best)]
         cols = [np.concatenate(c) for c in zip(*found)]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=kind)
 
@@ -127,13 +145,13 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     """``(query_id, rank, vec_id, score)``: the ``k`` best of all other vectors for each vector whose id divides by ``every``.
 
     Ties go to the smaller vec_id. Rows with the query's own id are no candidates of
-    it. Repeated rows with one id and vector count once; rows with one id but
+    it. A repeated row is a candidate each time, and one query; rows with one id but
     different vectors, and vectors of different lengths, are compared as
     they are (lengths: with vectors of their own length only). Vectors that are null, empty, or hold null or
     non-finite components take no part. An empty table gives no row. Scores
     beyond 64 bits aren't supported.
     """
-    v = stage(quantised(vectors, vec_id, embedding, scale).distinct()
+    v = stage(quantised(vectors, vec_id, embedding, scale).groupBy("id", "x").agg(F.count(F.lit(1)).alias("times"))
               .withColumn("dims", F.size("x")), "topk_vectors")
     n, m = v.agg(F.count(F.lit(1)), F.count(F.when(F.pmod("id", F.lit(every)) == 0, 1))).first()
     nq, nc = -(-m // query_block) or 1, -(-n // candidate_block) or 1
@@ -145,7 +163,8 @@ def top_k(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
                   .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<bigint>"))))
     keys = ["dims", "qb", "cb"]
     found = (queries.groupBy(*keys).cogroup(candidates.groupBy(*keys))
-             .applyInArrow(_block_top(k), "query_id long, vec_id long, score long"))
+             .applyInArrow(_block_top(k), "query_id long, vec_id long, score long, times long"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return (found.distinct().withColumn("rank", rank).where(F.col("rank") <= k)
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))  # at most k
+    return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -5,12 +5,10 @@ from clickscope.llm import topk as T
 
 
 def brute(rows, k, scale=256, every=50):
-    ok = {}
-    for i, e in rows:
-        if i is not None and e and all(v is not None and np.isfinite(v) for v in e):
-            ok.setdefault((i, tuple(int(np.floor(float(np.float32(v)) * scale)) for v in e)))
+    ok = [(i, tuple(int(np.floor(float(np.float32(v)) * scale)) for v in e)) for i, e in rows
+          if i is not None and e and all(v is not None and np.isfinite(v) for v in e)]
     out = []
-    for qi, q in ok:
+    for qi, q in set(ok):
         if qi % every == 0:
             s = sorted((-sum(a * b for a, b in zip(q, x)), i) for i, x in ok if i != qi and len(x) == len(q))
             out += [(qi, r + 1, i, -v) for r, (v, i) in enumerate(s[:k])]
@@ -28,7 +26,7 @@ def test_equals_brute_force(spark):
     rows += [(1000 + i, rows[50][1]) for i in range(20)]  # ties
     rows += [(2000, None), (2050, [None] * 8), (2100, [float("nan")] * 8), (2150, [float("inf")] + [0.0] * 7),
              (2200, [0.0] * 8), (None, [0.1] * 8), (2250, []), (2300, [0.5, 0.5]), (2301, [0.25, 0.1])]
-    rows += [rows[0], rows[0], rows[100]]
+    rows += [rows[0], rows[0], rows[100]] + [rows[7]] * 9 + [rows[33]] * 2  # repeats are candidates each time
     got = T.top_k(frame(spark, rows), query_block=2, candidate_block=60).collect()
     assert sorted(map(tuple, got)) == brute(rows, 5)
 
@@ -53,3 +51,14 @@ def test_lists_stop_early_and_are_exact():
             want = np.lexsort((np.arange(4000), -full))[:5]
             assert rows.tolist() == want.tolist() and score.tolist() == full[want].tolist()
         assert max(depth) < 4000
+
+
+def test_registered_query_and_sql_agree_on_repeats(spark, tmp_path):
+    import duckdb
+    from clickscope.llm import queries as Q
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(0, 0.2, 6).tolist()) for i in range(120)]
+    frame(spark, rows + [rows[0], rows[3], rows[3]]).select("vec_id", "embedding", "label").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert sorted(map(tuple, Q.op8_exact_top_k(spark, str(tmp_path)).collect())) == sorted(con.execute(Q.OP8_SQL).fetchall())

@@ -102,7 +102,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = """WITH l AS (SELECT doc_id, unnest(range(0, len(a))) AS pos, unnest(a) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
-x AS (SELECT *, {'d': doc_id, 'p': pos} AS place FROM l WHERE trim(line) <> ''),
+x AS (SELECT *, {'d': doc_id, 'p': pos} AS place FROM l WHERE trim(line, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) <> ''),
 f AS (SELECT line, min(place) AS first, length(line) AS n, length(replace(line, 'e', '')) AS e,
   length(replace(line, 'a', '')) AS a, length(replace(line, 'n', '')) AS m, length(replace(line, 't', '')) AS t
   FROM x GROUP BY line),
@@ -143,7 +143,7 @@ OP8_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(
   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
   CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+  FROM (SELECT DISTINCT vec_id, x FROM v WHERE vec_id % 50 = 0) q JOIN v c ON q.vec_id <> c.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 

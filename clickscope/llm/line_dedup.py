@@ -9,7 +9,8 @@ each line is indexed under (length, segment number, segment) and probes the leng
 from its own down to ``edits`` less, at the few starts that the pigeonhole argument leaves (before
 and after the segment the errors share out). A bit filter of fixed size over the index
 keys drops most probes that nothing answers before they are shuffled. Pairs are verified with a banded
-bit-parallel edit distance. An index key of more than ``HOT`` lines isn't expanded into pairs:
+bit-parallel edit distance. A line first meets the earliest line of each of its keys only; what that
+decides isn't expanded further. An index key of more than ``HOT`` lines isn't expanded into pairs at all:
 its lines are dealt into blocks, and semi joins ask only whether any earlier line is near.
 
 Lines travel as two 64-bit hashes and lengths; texts are fetched for candidates only.
@@ -28,7 +29,9 @@ MIN_CHARS = 24
 HOT = 32
 FREQUENT = 2000
 FILTER_BITS = 26
-_LETTERS = "aeinorst"  # their counts differ by at most 2 for each edit
+FIRST = 16   # columns of the distance matrix after which a pair may be given up
+BLANKS = " \t\n\r\x0b\f"  # a line of nothing else is white space
+_LETTERS = "abcdefghijklmnopqrstuvwxyz ,."  # an edit changes all counts together by 2 at most
 
 
 # ---------------------------------------------------------------- edit distance
@@ -39,10 +42,9 @@ def _let(value: Column, body) -> Column:
 
 def _alike(a: Column, b: Column) -> Column:
     """Length of the longest common beginning, by halving steps."""
-    room = F.least(F.length(a), F.length(b))
     steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
-    return F.aggregate(steps, F.lit(0), lambda done, step: F.when(
-        (step <= room - done) & (F.substr(a, done + 1, step) == F.substr(b, done + 1, step)), done + step).otherwise(done))
+    return _let(F.least(F.length(a), F.length(b)), lambda room: F.aggregate(steps, F.lit(0), lambda done, step: F.when(
+        (step <= room - done) & (F.substr(a, done + 1, step) == F.substr(b, done + 1, step)), done + step).otherwise(done)))
 
 
 def near(a: Column, b: Column, edits: int) -> Column:
@@ -89,9 +91,24 @@ def near(a: Column, b: Column, edits: int) -> Column:
 
         start = F.struct(F.lit(((1 << (edits + 1)) - 1) << edits).cast("bigint").alias("vp"),
                          F.lit(0).cast("bigint").alias("vn"), F.least(F.lit(edits), m).cast("bigint").alias("d"))
-        distance = F.when(n == 0, m).otherwise(F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["d"]))
+
+        def hopeless(s: Column) -> Column:  # every cell of the band's column is above the threshold
+            cells = [s["d"]]
+            for r in range(2 * edits, 0, -1):
+                cells.append(cells[-1] - bit(s["vp"], r) + bit(s["vn"], r))
+            return F.least(*cells) > edits
+
+        # Texts that aren't near are told by the first columns.
+        few = F.aggregate(F.sequence(F.lit(1), F.least(n, F.lit(FIRST))), start, step)
+        whole = _let(few, lambda s: F.when(n <= FIRST, s["d"]).when((m >= FIRST + edits) & hopeless(s), F.lit(edits + 1).cast("bigint"))
+                     .otherwise(F.aggregate(F.sequence(F.lit(FIRST + 1), n), s, step, lambda t: t["d"])))
+        distance = F.when(n == 0, m).otherwise(whole)
         return (F.abs(m - n) <= edits) & (distance <= edits)
 
+    def verified(x: Column) -> Column:
+        split = F.struct(F.split(x["p"], "").alias("p"), F.split(x["t"], "").alias("t"), x["m"].alias("m"), x["n"].alias("n"))
+        return F.when(ends_fit(x["p"], x["t"], x["m"], x["n"], edits), _let(split, within)).otherwise(False)
+
     # What both begin and end with alike is cut off first, which leaves the distance as it is; the
     # characters of the rest are split off once for a pair, not once for each use.
     def middles(x: Column) -> Column:
@@ -102,8 +119,8 @@ def near(a: Column, b: Column, edits: int) -> Column:
         def tails(y: Column) -> Column:
             def cut(tail: Column) -> Column:
                 m, n = F.length(y["u"]) - tail, F.length(y["v"]) - tail
-                return _let(F.struct(F.split(F.substr(y["u"], F.lit(1), m), "").alias("p"),
-                                     F.split(F.substr(y["v"], F.lit(1), n), "").alias("t"), m.alias("m"), n.alias("n")), within)
+                return _let(F.struct(F.substr(y["u"], F.lit(1), m).alias("p"), F.substr(y["v"], F.lit(1), n).alias("t"),
+                                     m.alias("m"), n.alias("n")), verified)
             return _let(_alike(y["ru"], y["rv"]), cut)
 
         return _let(_alike(x["a"], x["b"]), rest)
@@ -111,28 +128,49 @@ def near(a: Column, b: Column, edits: int) -> Column:
     return _let(F.struct(a.alias("a"), b.alias("b")), middles)
 
 
-def may_be_near(a: Column, b: Column, edits: int) -> Column:
-    """False only for texts more than ``edits`` edits apart."""
-    def count(x, c):
-        return F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))
-    return (F.abs(F.length(a) - F.length(b)) <= edits) & (
-        reduce(lambda x, y: x + y, [F.abs(count(a, c) - count(b, c)) for c in _LETTERS]) <= 2 * edits)
+def ends_fit(p: Column, t: Column, m: Column, n: Column, edits: int) -> Column:
+    """False only for texts more than ``edits`` edits apart, of lengths ``m`` and ``n``, that neither begin nor end alike.
+
+    The first and the last column of any alignment are edits then. So one edit leaves one
+    character at most, and two leave what lies between them equal.
+    """
+    short = F.least(m, n) <= 1
+    if edits == 1:
+        return short
+    if edits != 2:
+        return F.lit(True)
+    ways = [(1, 1), (1, 0), (0, 1)]  # characters of either text that an edit takes
+    return reduce(lambda x, y: x | y, [short, *[
+        (m - i - j == n - k - l) & (F.substr(p, F.lit(1 + i), m - (i + j)) == F.substr(t, F.lit(1 + k), n - (k + l)))
+        for i, k in ways for j, l in ways]])
+
+
+def letter_counts(line: Column) -> Column:
+    """How often each of ``_LETTERS`` occurs."""
+    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in _LETTERS])
+
+
+def may_be_near(a: Column, b: Column, edits: int, a_letters: Column | None = None, b_letters: Column | None = None) -> Column:
+    """False only for texts more than ``edits`` edits apart; the counts of their letters may be given."""
+    x, y = (letter_counts(t) if n is None else n for t, n in ((a, a_letters), (b, b_letters)))
+    apart = reduce(lambda p, q: p + q, [F.abs(x[i] - y[i]) for i in range(len(_LETTERS))])
+    return (F.abs(F.length(a) - F.length(b)) <= edits) & (apart <= 2 * edits)
 
 
 # ---------------------------------------------------------------- segments
 
 def _pieces(lines: DataFrame, edits: int, places: list[tuple[int, int, int]], least: int) -> DataFrame:
-    """``(h, key)``: for each line and each ``(less, i, shift)`` the key of segment ``i`` of a line ``less``
+    """``(h, d, key)``: for each line and each ``(less, i, shift)`` the key of segment ``i`` of a line ``less``
     characters shorter, cut out ``shift`` characters off its place."""
     k = edits + 1
     table = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(x, ("less", "i", "shift"))]) for x in places])
-    rows = lines.select("h", "line", "n", F.explode(table).alias("x")).select(
-        "h", "line", "n", (F.col("n") - F.col("x.less")).alias("other"), F.col("x.i").alias("i"), F.col("x.shift").alias("shift"))
+    rows = lines.select("h", "d", "line", "n", F.explode(table).alias("x")).select(
+        "h", "d", "line", "n", (F.col("n") - F.col("x.less")).alias("other"), F.col("x.i").alias("i"), F.col("x.shift").alias("shift"))
     base, longer = F.floor(F.col("other") / k).cast("int"), F.col("other") % k  # the last segments are longer
     start = 1 + F.col("i") * base + F.greatest(F.lit(0), F.col("i") - k + longer) + F.col("shift")
-    rows = rows.select("h", "line", "n", "other", "i", start.alias("at"), (base + (F.col("i") >= k - longer).cast("int")).alias("size"))
+    rows = rows.select("h", "d", "line", "n", "other", "i", start.alias("at"), (base + (F.col("i") >= k - longer).cast("int")).alias("size"))
     return (rows.where((F.col("other") >= least) & (F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("n")))
-            .select("h", F.xxhash64("other", "i", F.substr("line", F.col("at"), F.col("size"))).alias("key")))
+            .select("h", "d", F.xxhash64("other", "i", F.substr("line", F.col("at"), F.col("size"))).alias("key")))
 
 
 def index_keys(lines: DataFrame, edits: int, least: int) -> DataFrame:
@@ -191,47 +229,80 @@ def near_later(lines: DataFrame, firsts: DataFrame, edits: int, least: int, hot:
              .join(F.broadcast(frequent), (F.col("h") == F.col("fh")) & (F.col("g") == F.col("fg")), "left")
              .where(F.col("first").isNull() | (here == F.col("first"))))
 
-    # The index: the lines of each key, up to one more than HOT.
-    index = index_keys(keyed, edits, least).repartition("key").distinct()  # one shuffle, by key
-    first_few = F.row_number().over(Window.partitionBy("key").orderBy("h"))
-    groups = stage(index.withColumn("rn", first_few).where(F.col("rn") <= hot + 1)
-                   .groupBy("key").agg(F.collect_list("h").alias("ids")), "line_index")
+    # The index: the lines of each key, earliest documents first, in lists: the first of HOT + 1 lines, which tells
+    # a hot key, the others of HOT.
+    index = (index_keys(keyed, edits, least).repartition("key")  # one shuffle, by key
+             .groupBy("key", "h").agg(F.min("d").alias("d")))
+    by_age = F.row_number().over(Window.partitionBy("key").orderBy("d", "h"))
+    lists = stage(index.withColumn("rn", by_age)
+                  .withColumn("part", F.when(F.col("rn") <= hot + 1, 0).otherwise(F.ceil((F.col("rn") - (hot + 1)) / hot)).cast("int"))
+                  .groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("rn", "h"))).alias("ids"))
+                  .select("key", "part", F.col("ids.h").alias("ids")), "line_index")
+    groups = lists.where("part = 0").select("key", "ids")
     # Probes, most of which no key answers, pass a filter of bounded size before they are shuffled.
-    probes = may_hold(probe_keys(keyed, edits, least), "key", stage(bit_filter(groups, "key"), "line_filter"))
+    probes = may_hold(probe_keys(keyed, edits, least).drop("d"), "key", stage(bit_filter(groups, "key"), "line_filter"))
     met = stage(probes.distinct().join(groups, "key"), "line_matches")
-    shared = groups.where((F.size("ids") > 1) & (F.size("ids") <= hot))
-    pairs = stage(met.where(F.size("ids") <= hot).select("h", F.explode("ids").alias("other"))
-                  .union(shared.select(F.explode("ids").alias("h"), "ids").select("h", F.explode("ids").alias("other")))
-                  .where("h <> other").select(F.least("h", "other").alias("h"), F.greatest("h", "other").alias("other"))
-                  .distinct(), "line_pairs")
-    hot_keys = groups.where(F.size("ids") > hot).select("key")
-    hot_index = stage(index_keys(keyed, edits, least).join(hot_keys, "key", "left_semi").distinct(), "line_hot_index")
-    heat = stage(met.where(F.size("ids") > hot).select("key", "h").union(hot_index.select("key", "h")), "line_heat")
-    wanted = stage(pairs.select("h").union(pairs.select("other")).union(heat.select("h")).distinct(), "line_wanted")
+    shared = groups.where(F.size("ids") > 1)
+    hot_keys = stage(groups.where(F.size("ids") > hot).select("key", F.col("ids")[0].alias("least")), "line_hot_keys")
+    hot_index = stage(lists.where((F.col("part") > 0) | (F.size("ids") > hot)).select("key", F.explode("ids").alias("h"))
+                      .join(hot_keys, "key"), "line_hot_index")
+    heat = stage(met.where(F.size("ids") > hot).select("key", "h", F.col("ids")[0].alias("least")).union(hot_index), "line_heat")
+
+    cold_met, cold_shared = met.where(F.size("ids") <= hot), shared.where(F.size("ids") <= hot)
+    members = cold_shared.select("key", F.explode("ids").alias("h"))
+    answered = groups.join(cold_met.select("key").distinct(), "key", "left_semi").select(F.explode("ids").alias("h"))
+    wanted = stage(met.select("h").union(answered).union(members.select("h")).union(heat.select("h")).distinct(), "line_wanted")
     # staged, or the semi join below would be planned before the filter and shuffle all lines
     some = stage(may_hold(keyed.select("h", "g", "line"), "h", stage(bit_filter(wanted, "h"), "line_filter")), "line_some")
     texts = stage(some.join(wanted, "h", "left_semi").groupBy("h", "g").agg(F.first("line").alias("line"))
-                  .join(firsts.select("h", "g", "first"), ["h", "g"]).select("h", "line", "first"), "line_texts")
+                  .join(firsts.select("h", "g", "first"), ["h", "g"])
+                  .select("h", "line", "first", letter_counts(F.col("line")).alias("letters")), "line_texts")
 
     def named(tag: str) -> DataFrame:
-        return texts.select(F.col("h").alias(f"{tag}h"), F.col("line").alias(f"{tag}line"), F.col("first").alias(f"{tag}first"))
+        return texts.select(*[F.col(c).alias(f"{tag}{c}") for c in texts.columns])
 
     a, b = F.col("aline"), F.col("bline")
-    both = pairs.join(named("a"), F.col("h") == F.col("ah")).join(named("b"), F.col("other") == F.col("bh"))
-    later = F.when(F.col("afirst") < F.col("bfirst"), F.col("bh")).otherwise(F.col("ah"))
-    cold = both.where(may_be_near(a, b, edits)).where(near(a, b, edits)).select(later.alias("h"))
-
+    alike = may_be_near(a, b, edits, F.col("aletters"), F.col("bletters"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The later line of each pair of near ones."""
+        pairs = (pairs.where("h <> other").select(F.least("h", "other").alias("h"), F.greatest("h", "other").alias("other")).distinct())
+        both = pairs.join(named("a"), F.col("h") == F.col("ah")).join(named("b"), F.col("other") == F.col("bh"))
+        later = F.when(F.col("afirst") < F.col("bfirst"), F.col("bh")).otherwise(F.col("ah"))
+        return both.where(alike).where(near(a, b, edits)).select(later.alias("h"))
+
+    # A line is decided by one near line before it. So each line first meets only the earliest line of
+    # each of its keys, which leaves few of a family of near copies to be compared with one another.
+    one = (cold_met.select("h", F.col("ids")[0].alias("other"))
+           .union(cold_shared.select(F.explode(F.slice("ids", 2, hot)).alias("h"), F.col("ids")[0].alias("other")))
+           .union(heat.select("h", F.col("least").alias("other"))))
+    decided = stage(verified(one).distinct(), "line_decided")
+    undecided = stage(texts.select("h").join(decided, "h", "left_anti"), "line_open")
+
+    # Then whatever pair has an undecided line, but for those just compared.
+    rest = F.slice("ids", 2, hot)
+    open_ids = stage(groups.where(F.size("ids") <= hot).select("key", F.explode("ids").alias("h"))
+                     .join(undecided, "h", "left_semi").groupBy("key").agg(F.collect_list("h").alias("open")), "line_open_keys")
+    cold = verified(cold_met.join(undecided, "h", "left_semi").select("h", F.explode(rest).alias("other"))
+                    .union(cold_met.join(open_ids, "key").select("h", F.explode(F.array_except("open", F.array(F.col("ids")[0]))).alias("other")))
+                    .union(cold_shared.join(open_ids, "key").select(F.explode("open").alias("h"), rest.alias("ids"))
+                           .select("h", F.explode("ids").alias("other"))))
+
+    # Keys of more than HOT lines aren't expanded: their lines are dealt into blocks.
     blocks = hot_index.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / hot).alias("blocks"))
-    sides = {}
-    for tag, rows in (("a", heat), ("b", hot_index)):
-        sides[tag] = rows.join(blocks, "key").join(named(tag), F.col("h") == F.col(f"{tag}h")).withColumnRenamed("key", f"{tag}key")
-    probing = sides["a"].withColumn("ablock", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("h", "blocks")
-    held = sides["b"].withColumn("bblock", F.pmod(F.xxhash64("bh"), F.col("blocks"))).drop("h", "blocks")
+
+    def side(rows: DataFrame, tag: str) -> DataFrame:
+        rows = rows.drop("least").join(blocks, "key").join(named(tag), F.col("h") == F.col(f"{tag}h")).withColumnRenamed("key", f"{tag}key")
+        if tag == "a":
+            return rows.withColumn("ablock", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("h", "blocks")
+        return rows.withColumn("bblock", F.pmod(F.xxhash64("bh"), F.col("blocks"))).drop("h", "blocks")
+
     meet = ((F.col("akey") == F.col("bkey")) & (F.col("ablock") == F.col("bblock")) & (F.col("ah") != F.col("bh"))
-            & may_be_near(a, b, edits) & near(a, b, edits))
-    warm = (probing.join(held, meet & (F.col("bfirst") < F.col("afirst")), "left_semi").select(F.col("ah").alias("h"))
-            .union(held.join(probing, meet & (F.col("afirst") < F.col("bfirst")), "left_semi").select(F.col("bh").alias("h"))))
-    return cold.union(warm).distinct()
+            & alike & near(a, b, edits))
+    open_heat, open_index = heat.join(undecided, "h", "left_semi"), hot_index.join(undecided, "h", "left_semi")
+    warm = (side(open_heat, "a").join(side(hot_index, "b"), meet & (F.col("bfirst") < F.col("afirst")), "left_semi").select(F.col("ah").alias("h"))
+            .union(side(open_index, "b").join(side(heat, "a"), meet & (F.col("afirst") < F.col("bfirst")), "left_semi").select(F.col("bh").alias("h"))))
+    return decided.union(cold).union(warm).distinct()
 
 
 def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS,
@@ -240,7 +311,7 @@ def line_decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``d`` is the id, ``th`` xxhash64 of its text; ``dropped`` lists line numbers (from 0).
     """
-    lines = lines_of(docs, doc_id, text).where(F.trim("line") != "")
+    lines = lines_of(docs, doc_id, text).where(F.btrim("line", F.lit(BLANKS)) != "")
     narrow = stage(lines.drop("line"), "line_rows")
     firsts = stage(narrow.groupBy("h", "g").agg(F.min(F.struct("d", "th", "pos")).alias("first"),
                                                 F.count(F.lit(1)).alias("times")), "line_firsts")

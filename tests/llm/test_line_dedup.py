@@ -5,6 +5,9 @@ from pyspark.sql import Row, functions as F
 from clickscope.llm import line_dedup as L
 
 
+BLANKS = " \t\n\r\x0b\f"
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -21,7 +24,7 @@ def brute(rows, edits, least):
     for i, t in order:
         for k, line in enumerate((t or "").split("\n") if t is not None else []):
             first.setdefault(line, (i is not None, i or 0, k))
-    lines = [x for x in first if x.strip(" ") and len(x) >= least]
+    lines = [x for x in first if x.strip(BLANKS) and len(x) >= least]
     for x in lines:
         near[x] = any(first[y] < first[x] and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits
                       for y in lines if y != x)
@@ -29,7 +32,7 @@ def brute(rows, edits, least):
     for i, t in rows:
         got = [[], []]
         for k, line in enumerate(t.split("\n") if t is not None else []):
-            if line.strip(" "):
+            if line.strip(BLANKS):
                 if first[line] != (i is not None, i or 0, k):
                     got[0].append(k)
                 elif near.get(line):
@@ -54,7 +57,7 @@ def corpus(seed, n=60, alphabet="abcd é"):
         lines = [mutate(rng, rng.choice(base), rng.randrange(5)) if rng.random() < 0.6 else rng.choice(base)
                  for _ in range(rng.randrange(0, 8))]
         rows.append((i, "\n".join(x + " " * (rng.random() < 0.05) for x in lines)))
-    return rows + [(900, None), (901, ""), (902, "\n\n"), (903, " \n x"), (None, base[0] + "\n" + base[1]), (904, "y" * 3000)]
+    return rows + [(900, None), (901, ""), (902, "\n\n"), (903, " \n x"), (905, "\t\r\n\r\n\t\n\x0b\f\r\n\r"), (906, "a\r\n\r\nb\r\n\r\na\r"), (None, base[0] + "\n" + base[1]), (904, "y" * 3000)]
 
 
 def frame(spark, rows):
@@ -91,6 +94,9 @@ def test_verification_equals_the_plain_distance(spark):
         a = "".join(rng.choice("abé") for _ in range(rng.randrange(0, 14)))
         pairs.append((a, mutate(rng, a, rng.randrange(5)) if a and rng.random() < 0.7 else
                       "".join(rng.choice("abé") for _ in range(rng.randrange(0, 14)))))
+    for _ in range(250):  # long enough to be given up early, edits at both ends
+        a = "".join(rng.choice("abcdé ") for _ in range(rng.randrange(15, 70)))
+        pairs.append((a, rng.choice("abx") + mutate(rng, a, rng.randrange(4))[rng.randrange(2):] + rng.choice(["", "y"])))
     df = spark.createDataFrame(pairs, "a string, b string")
     for k in (1, 2, 3):
         for r in df.select("a", "b", L.near(F.col("a"), F.col("b"), k).alias("n"),

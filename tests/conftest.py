@@ -2,6 +2,10 @@ import os
 import sys
 import tempfile
 
+# Small matrices: threads that wait for one another cost more than they save beside Spark's tasks.
+for _name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):
+    os.environ.setdefault(_name, "1")
+
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

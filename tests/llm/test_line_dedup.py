@@ -105,6 +105,35 @@ def test_verification_equals_the_plain_distance(spark):
             assert r.n == within and (r.m or not within), r
 
 
+def test_keys_are_those_of_characters_and_ascii_lines_are_cut_by_bytes(spark):
+    rng = random.Random(7)
+    lines = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(3, 40))) for alphabet in ("abc ", "abé ", "日本𝄞a") for _ in range(30)]
+    df = spark.createDataFrame([(i, 0, x, len(x)) for i, x in enumerate(lines)], "h long, d long, line string, n int")
+    for keys, places in ((L.index_keys, [(0, i, 0) for i in range(3)]),
+                         (L.probe_keys, [(0, 1, -1), (0, 1, 1), (1, 0, 0), (1, 1, 0), (1, 1, 1), (1, 2, 1), (2, 0, 0), (2, 1, 1), (2, 2, 2)])):
+        pieces = []
+        for h, x in enumerate(lines):
+            for less, i, shift in places:
+                m = len(x) - less
+                cuts = [0]
+                for j in range(3):
+                    cuts.append(cuts[-1] + m // 3 + (j >= 3 - m % 3))
+                a, b = cuts[i] + shift, cuts[i + 1] + shift
+                if m >= 5 and a >= 0 and b <= len(x):
+                    pieces.append((h, m, i, x[a:b]))
+        want = spark.createDataFrame(pieces, "h long, other int, i int, piece string").select("h", F.xxhash64("other", "i", "piece").alias("key"))
+        got = keys(df, 2, 5)
+        assert sorted(got.select("h", "key").collect()) == sorted(want.collect())
+        assert "cast(line" in got._jdf.queryExecution().optimizedPlan().toString()  # ASCII lines: cut by bytes
+
+
+def test_white_space_is_told_from_the_left_only(spark):
+    lines = ["", " ", "\t\r \x0b\f", " x", "x ", "é\t", "\u00a0", "\u2003 "]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(lines))], "doc_id long, text string")
+    got = L.line_decisions(df, min_chars=5)
+    assert [(r.d, r.dropped) for r in got.collect()] == [(2, [3, 4, 5, 6, 7])]
+
+
 def test_repeated_rows_and_empty(spark):
     rows = [(1, "same line here\nother"), (1, "same line here\nother"), (2, "same line here")]
     got = {(r.doc_id, r.text): r.n_exact for r in L.dedup_lines(frame(spark, rows)).collect()}

@@ -16,15 +16,17 @@ counts are those of one walk through the whole text.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from clickscope.llm.common import crc_mod, fresh
+from clickscope.llm.common import crc_mod, fresh, release
 
 ROWS_PER_LANGUAGE = 16
 CHARS_PER_ROW = 2000
@@ -33,33 +35,36 @@ MAX_LANGUAGES = 256
 SEGMENT = 4096
 SYNC = 128
 WAVE_BYTES = 4 << 20
+ROWS = 2048
 
 _LETTER = regex.compile(r"\p{L}")
 
 
-def automaton(data: bytes) -> list[dict[int, int]]:
-    """Transitions of the suffix automaton of ``data``; state 0 is the start."""
-    nxt, link, length, last = [{}], [-1], [0], 0
+def automaton(data: list[int], width: int) -> array:
+    """Transitions of the suffix automaton of ``data``, symbols below ``width``: a row of next
+    states for each state (-1: none); state 0 is the start."""
+    none = array("i", [-1]) * width
+    nxt, link, length, last = array("i", none), [-1], [0], 0
     for c in data:
-        cur = len(nxt)
-        nxt.append({})
+        cur = len(link)
+        nxt.extend(none)
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
+        while p >= 0 and nxt[p * width + c] < 0:
+            nxt[p * width + c] = cur
             p = link[p]
         if p >= 0:
-            q = nxt[p][c]
+            q = nxt[p * width + c]
             if length[q] == length[p] + 1:
                 link[cur] = q
             else:
-                twin = len(nxt)
-                nxt.append(dict(nxt[q]))
+                twin = len(link)
+                nxt.extend(nxt[q * width:(q + 1) * width])
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and nxt[p].get(c) == q:
-                    nxt[p][c] = twin
+                while p >= 0 and nxt[p * width + c] == q:
+                    nxt[p * width + c] = twin
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
@@ -77,23 +82,27 @@ class Parser:
         used = sorted(set().union(*map(set, samples.values())))
         self.symbol = np.zeros(256, np.int64)  # 0: a byte that no sample has
         self.symbol[used] = np.arange(1, len(used) + 1)
-        width, tables, roots, base = len(used) + 1, [], [], 0
-        for n in self.names:
-            states = automaton(samples[n])
-            t = np.full((len(states), width), -1, np.int64)
-            for s, edges in enumerate(states):
-                if edges:
-                    t[s, self.symbol[list(edges)]] = list(edges.values())
-            start = t[0].copy()
-            ends = np.where(t < 0, 1, 0)  # a phrase ends before this byte
-            ends += (t < 0) & (start < 0)  # and the byte is one by itself
+        width = len(used) + 1
+        found = [automaton(self.symbol[np.frombuffer(samples[n], np.uint8)].tolist(), width) for n in self.names]
+        size = sum(map(len, found))
+        kind = np.int32 if size << 2 < 2 ** 31 else np.int64
+        self.table, roots, base = np.empty(size, kind), [], 0
+        for k in range(len(found)):  # one language at a time, each in its place
+            states = np.frombuffer(found[k], np.intc).reshape(-1, width)
+            missing, start = states < 0, states[0].copy()
+            ends = missing.astype(np.int8)  # a phrase ends before this byte
+            ends += missing & (start < 0)  # and the byte is one by itself
             ends[0] = start < 0
-            t = np.where(t < 0, np.maximum(start, 0), t)
-            tables.append(((base + t) * width << 2 | ends).ravel())  # next row's place, phrases ended
+            t = self.table[base * width:base * width + states.size].reshape(states.shape)
+            t[:] = states
+            np.copyto(t, np.maximum(start, 0), where=missing, casting="same_kind")
+            t += base
+            t *= width << 2
+            t |= ends  # next row's place, phrases ended
             roots.append(base * width << 2)
             base += len(states)
-        kind = np.int32 if base * width << 2 < 2 ** 31 else np.int64
-        self.table, self.roots = np.concatenate(tables).astype(kind), np.array(roots, kind)
+            found[k] = states = missing = ends = None
+        self.roots = np.array(roots, kind)
 
     def _walk(self, text, order, sizes, entry, stop=None):
         """Walk segments (rows of ``text`` in ``order``, longest first) from ``entry``.
@@ -232,20 +241,41 @@ def _parser(samples: dict[str, bytes]) -> Parser:
     return _PARSERS[key][1]
 
 
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in slices of at most ``ROWS`` rows and ``WAVE_BYTES`` bytes, or one longer text:
+    only a slice is held as Python objects."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + WAVE_BYTES, side="right"))
+        to = min(max(at + 1, to), at + ROWS)
+        yield texts.slice(at, to - at)
+        at = to
+
+
+def predictions(batches: Iterator[pa.Array], samples: dict[str, bytes]) -> Iterator[pa.Array]:
+    """A struct ``(lang_pred, score, bits_per_byte)`` for each text. A worker outlives the task and then
+    keeps the model's tables only, as the stages that follow need the memory."""
+    parser = _parser(samples)
+    texts = some = None
+    for texts in batches:
+        found = []
+        for some in slices(texts):
+            found += parser.predict(some.to_pylist())
+        cols = list(zip(*found)) or [(), (), ()]
+        yield pa.StructArray.from_arrays(
+            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.float64())],
+            ["lang_pred", "score", "bits_per_byte"])
+    texts = some = found = cols = None
+    release()
+
+
 def language(text, samples: dict[str, bytes]):
     """A struct column ``(lang_pred, score, bits_per_byte)`` of a text column."""
 
     @arrow_udf("struct<lang_pred:string,score:double,bits_per_byte:double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        parser = _parser(samples)
-        for texts in batches:
-            found = []
-            for k in range(0, len(texts), 2048):
-                found += parser.predict(texts[k:k + 2048].to_pylist())
-            cols = list(zip(*found)) or [(), (), ()]
-            yield pa.StructArray.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.float64())],
-                ["lang_pred", "score", "bits_per_byte"])
+        yield from predictions(batches, samples)
 
     # else a filter on the result would be pushed below the projection and parse every text twice
     return run.asNondeterministic()(F.col(text))

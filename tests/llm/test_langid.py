@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Row
 
 from clickscope.llm import langid as L
@@ -33,6 +35,34 @@ def test_phrase_counts_equal_a_plain_search(monkeypatch):
         assert (L.Parser(samples).counts(texts) == want).all()
 
 
+def test_tables_are_built_in_little_more_than_their_own_memory():
+    rng = random.Random(2)
+    samples = {n: bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz ", k=4000)) for n in "wxyz"}
+    tracemalloc.start()
+    try:
+        size = L.Parser(samples).table.nbytes
+        assert tracemalloc.get_traced_memory()[1] < 4 * size
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_a_slice_and_releases_the_rest(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("ab é", k=rng.randrange(60))) for _ in range(300)] + [None, "", "a" * 500, None]
+    samples, held, released = {"x": b"abba", "y": "é a".encode()}, [], []
+    whole = L.Parser(samples).predict(texts)
+    predict = L.Parser.predict
+    monkeypatch.setattr(L, "WAVE_BYTES", 200)
+    monkeypatch.setattr(L, "ROWS", 20)
+    monkeypatch.setattr(L.Parser, "predict", lambda self, some: held.append(some) or predict(self, some))
+    monkeypatch.setattr(L, "release", lambda: released.append(len(held)))
+    array = pa.array(["cut off", *texts])[1:]
+    got = [tuple(r.values()) for x in L.predictions(iter([array[:150], array[150:150], array[150:]]), samples) for r in x.to_pylist()]
+    assert got == whole and sum(held, []) == texts
+    assert all(len(s) == 1 or len(s) <= 20 and sum(len((t or "").encode()) for t in s) <= 200 for s in held)
+    assert released == [len(held)]
+
+
 def rows():
     rng = random.Random(5)
     kinds = {"en": "the of and tion ing er".split(), "de": "ung ver sch ein ä ß".split(), "ru": "ов ст на пр".split()}
